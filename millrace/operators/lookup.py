@@ -35,16 +35,27 @@ def fits_broadcast(
 
 
 def join_lookup(
-    df: DataFrame, table: DataFrame, keys: Sequence[str], null_safe: bool = False, bounded: bool = False
+    df: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    broadcast: bool | None = None,
 ) -> DataFrame:
-    """Left join a per-key table. Broadcast when ``bounded`` by construction or found small;
-    otherwise a shuffle join, whose hot keys AQE splits."""
-    renamed = table.select(*[F.col(f"`{k}`").alias(f"__{k}") for k in keys],
-                           *[F.col(f"`{c}`") for c in table.columns if c not in keys])
+    """Left join a table of one row per key.
+
+    ``broadcast`` is True for a table bounded by construction, False where both sides are of
+    one size, and None to look at the table's size. What is not broadcast goes through a
+    shuffle join, whose hot keys AQE splits.
+    """
+    renamed = table.select(
+        *[F.col(f"`{k}`").alias(f"__{k}") for k in keys],
+        *[F.col(f"`{c}`") for c in table.columns if c not in keys],
+    )
     matches = [
         F.col(f"`{k}`").eqNullSafe(F.col(f"`__{k}`")) if null_safe else F.col(f"`{k}`") == F.col(f"`__{k}`")
         for k in keys
     ]
-    if bounded or fits_broadcast(table):
-        renamed = F.broadcast(renamed)
-    return df.join(renamed, reduce(lambda a, b: a & b, matches), "left").drop(*[f"__{k}" for k in keys])
+    if broadcast is None:
+        broadcast = fits_broadcast(table)
+    right = F.broadcast(renamed) if broadcast else renamed
+    return df.join(right, reduce(lambda a, b: a & b, matches), "left").drop(*[f"__{k}" for k in keys])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.lookup import fits_broadcast
+from millrace.session import settle
 
 ACCURACY = 100_000
 
@@ -63,8 +64,11 @@ def quantile_table(
     values = df.select(*keys, F.inline(entries)).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     group = [*keys, "column"]
     brackets = _brackets(values, group, probs, accuracy)
-    # Without keys there is one row per column; with keys the number of groups is checked.
-    bounded = not keys or fits_broadcast(df.select(*keys).distinct())
+    # Without keys there is one row per column; with keys the number of groups is checked, on
+    # a copy of the brackets that was worked out once.
+    if keys:
+        brackets = settle(brackets)
+    bounded = not keys or fits_broadcast(brackets)
     right = brackets.select(
         *[F.col(g).alias(f"__g_{g}") for g in group], *[c for c in brackets.columns if c not in group]
     )

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -45,3 +45,15 @@ def _local_dir() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own for one run, below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Work a small aggregate out once and cut its lineage, with a reliable checkpoint.
+
+    For tables of one row per group that several later steps read: without it each of them
+    would scan the big table again. It runs a job when called.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

@@ -32,9 +32,15 @@ def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def replace_columns(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
-    """One projection that swaps columns in place and keeps their order."""
-    return df.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])
+def replace_columns(
+    df: DataFrame, new: Mapping[str, Column], held: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One projection that swaps columns in place and keeps their order.
+
+    ``held`` are columns the new ones read, such as table statistics, and do not stay.
+    """
+    columns = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
+    return (df.withColumns(dict(held)) if held else df).select(*columns)
 
 
 # -- duplicates ---------------------------------------------------------------------------
@@ -120,14 +126,15 @@ def _fill(df, columns, strategy, order_by, keys) -> DataFrame:
         return [c for c in columns if strategy[c] == name and (is_numeric(df, c) or not numeric_only)]
 
     new: dict[str, Column] = {}
+    held: dict[str, Column] = {}
     means = chosen("mean", True)
     if means:
-        mean = scalars(df, **{c: F.avg(F.col(f"`{c}`")) for c in means})
-        new |= {c: F.coalesce(F.col(f"`{c}`").cast("double"), mean[c]) for c in means}
+        held["__mean"] = scalars(df, **{c: F.avg(F.col(f"`{c}`")) for c in means})
+        new |= {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.col("__mean")[c]) for c in means}
     medians = chosen("median", True)
     if medians:
-        middle = table_quantiles(df, medians, [0.5])
-        new |= {c: F.coalesce(F.col(f"`{c}`").cast("double"), middle[c][0]) for c in medians}
+        held["__median"] = table_quantiles(df, medians, [0.5])
+        new |= {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.col("__median")[c][0]) for c in medians}
     for c in chosen("mode", False):
         new[c] = F.coalesce(F.col(f"`{c}`"), most_frequent(df, c))
     for c in chosen("zero", True):
@@ -139,7 +146,7 @@ def _fill(df, columns, strategy, order_by, keys) -> DataFrame:
         if not order_by:
             raise ValueError("forward_fill needs order_by: a table has no row order of its own")
         df = forward_fill(df, forward, order_by, keys)
-    return replace_columns(df, new) if new else df
+    return replace_columns(df, new, held) if new else df
 
 
 # -- single columns -----------------------------------------------------------------------
@@ -163,7 +170,8 @@ def null_outliers(df: DataFrame, columns: Sequence[str], z: float = Thresholds.o
     columns = [c for c in present(df, columns) if is_numeric(df, c)]
     if not columns:
         return df
-    stats = scalars(
+    stats = F.col("__stats")
+    held = scalars(
         df,
         **{c: F.struct(F.avg(F.col(f"`{c}`")).alias("mean"), F.stddev_samp(F.col(f"`{c}`")).alias("std")) for c in columns},
     )
@@ -175,6 +183,7 @@ def null_outliers(df: DataFrame, columns: Sequence[str], z: float = Thresholds.o
             )
             for c in columns
         },
+        {"__stats": held},
     )
 
 

@@ -15,7 +15,8 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def scalars(df: DataFrame, **aggregates: Column) -> Column:
     """One-row aggregate as a struct that any projection of the same plan can read.
 
-    It runs as a scalar subquery: partial sums per task, one row in the end, no join.
+    It runs as a scalar subquery: partial sums per task, one row in the end, no join. Put it
+    into a column before reading several fields, so that the plan holds the subquery once.
     """
     return df.agg(F.struct(*[c.alias(name) for name, c in aggregates.items()]).alias("s")).scalar()
 

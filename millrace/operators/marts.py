@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import bands as B
 from millrace.functions.numbers import round_half_even
-from millrace.operators.lookup import join_lookup, scalars
+from millrace.operators.lookup import fits_broadcast, join_lookup, scalars
 from millrace.operators.quantiles import group_medians, table_quantiles
 from millrace.operators.slices import rank_within
 from millrace.operators.warehouse import counts_by
@@ -147,7 +147,10 @@ def add_region(df: DataFrame, country: str = "pais_normalizado") -> DataFrame:
 def add_salary_rank(df: DataFrame) -> DataFrame:
     """Dense rank by mean salary, highest first; countries without one come last."""
     mean = F.col("Salario_Promedio")
-    return rank_within(settle(df), [mean.isNull(), -mean], "Ranking_Salario", dense=True)
+    means = settle(df)
+    return rank_within(
+        means, [mean.isNull(), -mean], "Ranking_Salario", dense=True, small=fits_broadcast(means)
+    )
 
 
 def geography_table(fact: DataFrame) -> DataFrame:
@@ -181,7 +184,9 @@ def technology_popularity(fact: DataFrame) -> DataFrame:
         "Tecnologia", "Tipo", "Total_Menciones", "Salario_Promedio",
         F.coalesce("__median", F.lit(0.0)).alias("Salario_Mediano"),
     )
-    return rank_within(settle(full), [-F.col("Total_Menciones"), F.col("Tecnologia")], "Popularidad_Rank", ["Tipo"])
+    counted = settle(full)
+    order = [-F.col("Total_Menciones"), F.col("Tecnologia")]
+    return rank_within(counted, order, "Popularidad_Rank", ["Tipo"], small=fits_broadcast(counted))
 
 
 def top_per_group(df: DataFrame, group: str, by: str, tie: str, k: int) -> DataFrame:

@@ -8,6 +8,7 @@ turns that into an entry with an ``error``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -23,7 +24,7 @@ from millrace.config import MiningLimits
 from millrace.functions.numbers import round_half_even
 from millrace.operators.lookup import join_lookup, scalars
 from millrace.operators.quantiles import quantile_table, table_quantiles
-from millrace.operators.transform import label_encode
+from millrace.operators.transform import label_encode, label_encode_all
 from millrace.operators.warehouse import INVESTMENTS, JOBS, PROFILES
 from millrace.session import settle
 
@@ -117,12 +118,13 @@ def top_rules(rules: DataFrame, k: int = 5) -> DataFrame:
 
 def standardized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``column_z``: mean 0 and population deviation 1; a constant column becomes 0."""
-    stats = scalars(df, **{c: F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")) for c in columns})
+    held = scalars(df, **{c: F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")) for c in columns})
+    stats = F.col("__s")
     scaled = {
         f"{c}_z": (F.col(c) - stats[c]["m"]) / F.when(stats[c]["s"] == 0, F.lit(1.0)).otherwise(stats[c]["s"])
         for c in columns
     }
-    return df.withColumns(scaled)
+    return df.withColumn("__s", held).withColumns(scaled).drop("__s")
 
 
 def cluster_features(fact: DataFrame) -> DataFrame:
@@ -133,8 +135,9 @@ def cluster_features(fact: DataFrame) -> DataFrame:
     people = fact.where(F.col("fuente_datos") == PROFILES).select(
         "id_registro", "edad", "salario_usd", F.coalesce("pais_normalizado", F.lit("Unknown")).alias("pais_normalizado")
     )
-    middle = table_quantiles(people, ["edad", "salario_usd"], [0.5])
-    coded = label_encode(people, "pais_normalizado", "__pais")
+    held = table_quantiles(people, ["edad", "salario_usd"], [0.5])
+    middle = F.col("__median")
+    coded = label_encode(people, "pais_normalizado", "__pais").withColumn("__median", held)
     filled = coded.select(
         "id_registro", "edad", "salario_usd", "pais_normalizado",
         F.coalesce("edad", middle["edad"][0]).alias("__edad"),
@@ -162,7 +165,11 @@ class Clustering:
 
 
 def kmeans(features: DataFrame, k: int, limits: MiningLimits = MiningLimits()) -> Clustering:
-    """Best of several k-means runs; clusters are numbered from 1 in the order of their centers."""
+    """Best of several k-means runs; clusters are numbered from 1 in the order of their centers.
+
+    The runs share one stored copy of the vectors. Spark may drop it under memory pressure or
+    with an executor and works it out again.
+    """
     columns = [f"{c}_z" for c in CLUSTER_FEATURES]
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(features)
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -195,14 +202,14 @@ def cluster_profile(assigned: DataFrame) -> DataFrame:
         F.sum("salario_usd").alias("s_sal"),
     )
     total = scalars(assigned, n=F.count(F.lit(1)))["n"]
+    share = round_half_even(F.col("cantidad_perfiles") * F.lit(100.0) / total, 2)
     named = F.when(F.col("pais_normalizado").isNotNull(), F.struct(-F.col("n"), F.col("pais_normalizado")))
     return places.groupBy("cluster").agg(
         F.sum("n").alias("cantidad_perfiles"),
-        round_half_even(F.sum("n") * F.lit(100.0) / F.first(total), 2).alias("porcentaje"),
         round_half_even(F.try_divide(F.sum("s_edad"), F.sum("n_edad")), 2).alias("edad_promedio"),
         round_half_even(F.try_divide(F.sum("s_sal"), F.sum("n_sal")), 2).alias("salario_promedio"),
         F.min_by("pais_normalizado", named).alias("pais_predominante"),
-    )
+    ).withColumn("porcentaje", share)
 
 
 # -- splits and scores --------------------------------------------------------------------
@@ -293,15 +300,22 @@ def single_regression(table: DataFrame, feature: str, label: str = "label") -> D
     )
 
 
-def _assembled(table: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+@contextmanager
+def _assembled(table: DataFrame, features: Sequence[str]):
+    """Training and test rows with their feature vectors; training rows are kept while a model
+    passes over them."""
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(table)
-    return vectors.where(~F.col("es_prueba")), vectors.where("es_prueba")
+    train = vectors.where(~F.col("es_prueba")).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield train, vectors.where("es_prueba")
+    finally:
+        train.unpersist()
 
 
 def fit_linear(table: DataFrame, features: Sequence[str] = REGRESSION_FEATURES):
     """Model and test predictions of a least-squares fit on the training rows."""
-    train, test = _assembled(table, features)
-    model = LinearRegression(solver="normal").fit(train)
+    with _assembled(table, features) as (train, test):
+        model = LinearRegression(solver="normal").fit(train)
     return model, model.transform(test)
 
 
@@ -309,11 +323,11 @@ def fit_forest_regressor(
     table: DataFrame, features: Sequence[str] = REGRESSION_FEATURES, limits: MiningLimits = MiningLimits(),
     max_depth: int = MAX_DEPTH,
 ):
-    train, test = _assembled(table, features)
     forest = RandomForestRegressor(
         numTrees=limits.trees, seed=limits.seed, featureSubsetStrategy="all", maxDepth=max_depth
     )
-    model = forest.fit(train)
+    with _assembled(table, features) as (train, test):
+        model = forest.fit(train)
     return model, model.transform(test)
 
 
@@ -333,26 +347,25 @@ def classifier_table(fact: DataFrame) -> DataFrame:
     table = demand_label(fact).select(
         "id_registro", "label", *[F.coalesce(c, F.lit("Unknown")).alias(name) for name, c in source.items()]
     )
-    for name in CLASSIFIER_FEATURES:
-        table = label_encode(table, name, f"__{name}").drop(name).withColumnRenamed(f"__{name}", name)
-    return table
+    coded = label_encode_all(table, {c: f"__{c}" for c in CLASSIFIER_FEATURES})
+    return coded.select("id_registro", "label", *[F.col(f"__{c}").alias(c) for c in CLASSIFIER_FEATURES])
 
 
 def fit_forest_classifier(
     table: DataFrame, features: Sequence[str] = CLASSIFIER_FEATURES, limits: MiningLimits = MiningLimits(),
     max_depth: int = MAX_DEPTH,
 ):
-    train, test = _assembled(table, features)
     forest = RandomForestClassifier(numTrees=limits.trees, seed=limits.seed, maxDepth=max_depth)
-    model = forest.fit(train)
+    with _assembled(table, features) as (train, test):
+        model = forest.fit(train)
     return model, model.transform(test)
 
 
 def fit_logistic(table: DataFrame, features: Sequence[str] = CLASSIFIER_FEATURES):
     """L2 penalty of weight 1 on the summed loss, hence 1/n on Spark's mean loss."""
-    train, test = _assembled(table, features)
-    rows = max(1, train.count())
-    model = LogisticRegression(regParam=1.0 / rows, standardization=False, maxIter=1000).fit(train)
+    with _assembled(table, features) as (train, test):
+        rows = max(1, train.count())
+        model = LogisticRegression(regParam=1.0 / rows, standardization=False, maxIter=1000).fit(train)
     return model, model.transform(test)
 
 

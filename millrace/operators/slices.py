@@ -60,12 +60,22 @@ def _before(keys: Sequence[str]):
 
 
 def rank_within(
-    df: DataFrame, order: Sequence[Column], out: str, keys: Sequence[str] = (), dense: bool = False
+    df: DataFrame,
+    order: Sequence[Column],
+    out: str,
+    keys: Sequence[str] = (),
+    dense: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """Rank from 1 by the ascending order columns, per key or over the whole table.
 
-    ``dense`` gives equal order values one rank; otherwise the order must be total.
+    ``dense`` gives equal order values one rank; otherwise the order must be total. ``small``
+    says that the table was found to be small: it then takes one plain window.
     """
+    if small:
+        window = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
+        rank = F.dense_rank() if dense else F.row_number()
+        return df.withColumn(out, rank.over(window).cast("long"))
     sliced = with_slice(df, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
     window = Window.partitionBy(*keys, "__slice").orderBy("__order")
     ranked = sliced.withColumn("__local", (F.dense_rank() if dense else F.row_number()).over(window))

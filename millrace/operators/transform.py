@@ -82,12 +82,29 @@ def one_hot(df: DataFrame, column: str, values: Sequence | None = None) -> DataF
 
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Rank of the value among the sorted values, from 0; null is -1."""
-    out = out or f"{column}_encoded"
-    values = settle(df.where(F.col(column).isNotNull()).select(column).distinct())
-    codes = rank_within(values, [F.col(column)], "__code")
-    coded = join_lookup(df, codes, [column], broadcast=fits_broadcast(values))
-    code = F.coalesce(F.col("__code") - 1, F.lit(-1)).cast("int")
-    return coded.select(*[F.col(f"`{c}`") for c in df.columns], code.alias(out))
+    return label_encode_all(df, {column: out or f"{column}_encoded"})
+
+
+def label_encode_all(df: DataFrame, outs: Mapping[str, str]) -> DataFrame:
+    """Label codes of several columns; columns of one type share the pass for their values."""
+    kinds: dict[T.DataType, list[str]] = {}
+    for c in outs:
+        kinds.setdefault(df.schema[c].dataType, []).append(c)
+    coded = df
+    for columns in kinds.values():
+        entries = F.array(*[F.struct(F.lit(c).alias("__of"), F.col(f"`{c}`").alias("__value")) for c in columns])
+        values = settle(df.select(F.inline(entries)).where(F.col("__value").isNotNull()).distinct())
+        small = fits_broadcast(values)
+        codes = rank_within(values, [F.col("__value")], "__code", ["__of"], small=small)
+        if not small and len(columns) > 1:
+            codes = settle(codes)
+        for c in columns:
+            one = codes.where(F.col("__of") == c).select(F.col("__value").alias(c), F.col("__code").alias(f"__code_{c}"))
+            coded = join_lookup(coded, one, [c], broadcast=small)
+    return coded.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[F.coalesce(F.col(f"`__code_{c}`") - 1, F.lit(-1)).cast("int").alias(out) for c, out in outs.items()],
+    )
 
 
 def target_encode(df: DataFrame, column: str, target: str) -> DataFrame:
@@ -180,19 +197,20 @@ def scale(df: DataFrame, columns: Sequence[str], method: str = "min_max") -> Dat
     columns = [c for c in present(df, columns) if is_numeric(df, c)]
     if not columns:
         return df
+    stats = F.col("__s")
     if method == "min_max":
-        stats = scalars(df, **{c: F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")) for c in columns})
+        held = scalars(df, **{c: F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")) for c in columns})
         parts = {c: (stats[c]["lo"], stats[c]["hi"] - stats[c]["lo"]) for c in columns}
     elif method == "z_score":
-        stats = scalars(df, **{c: F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")) for c in columns})
+        held = scalars(df, **{c: F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")) for c in columns})
         parts = {c: (stats[c]["mean"], stats[c]["std"]) for c in columns}
     elif method == "robust":
-        stats = table_quantiles(df, columns, [0.25, 0.5, 0.75])
+        held = table_quantiles(df, columns, [0.25, 0.5, 0.75])
         parts = {c: (stats[c][1], stats[c][2] - stats[c][0]) for c in columns}
     else:
         raise ValueError(f"unknown scaling {method!r}")
-    return df.select(
-        "*",
+    return df.withColumn("__s", held).select(
+        *[F.col(f"`{c}`") for c in df.columns],
         *[
             F.try_divide((F.col(c) - center).cast("double"), spread.cast("double")).alias(f"{c}_normalized")
             for c, (center, spread) in parts.items()
@@ -219,13 +237,13 @@ def bin_equal_width(df: DataFrame, column: str, bins: int, labels: Sequence[str]
     """
     if labels and len(labels) != bins:
         raise ValueError("as many labels as bins are needed")
-    stats = scalars(df, lo=F.min(column).cast("double"), hi=F.max(column).cast("double"))
-    x, low = F.col(column).cast("double"), stats["lo"]
-    width = (stats["hi"] - low) / F.lit(float(bins))
+    held = scalars(df, lo=F.min(column).cast("double"), hi=F.max(column).cast("double"))
+    x, low = F.col(column).cast("double"), F.col("__s")["lo"]
+    width = (F.col("__s")["hi"] - low) / F.lit(float(bins))
     place = F.ceil(F.try_divide(x - low, width)) - 1
     index = F.when(x.isNotNull(), F.when(width == 0, F.lit((bins - 1) // 2)).otherwise(
         F.least(F.lit(bins - 1), F.greatest(F.lit(0), place))).cast("int"))
-    return df.withColumn(f"{column}_binned", _labelled(index, labels))
+    return df.withColumn("__s", held).withColumn(f"{column}_binned", _labelled(index, labels)).drop("__s")
 
 
 def bin_quantile(df: DataFrame, column: str, bins: int, labels: Sequence[str] | None = None) -> DataFrame:

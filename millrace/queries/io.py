@@ -1 +1,142 @@
-"""Queries."""
+"""Source and sink queries. They write to a folder of their own below the shared one."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.operators import validate
+from millrace.operators import warehouse as wh
+from millrace.plans import runs
+from millrace.queries.base import query, r, rounded
+from millrace.queries.warehouse import FACT, fact
+from millrace.session import scratch_path
+from millrace.sources import csv, sinks
+
+# Orders with gaps written as tokens, quotes, commas and outer blanks.
+NOTED = """SELECT *, CASE o_orderkey % 6 WHEN 0 THEN 'N/A' WHEN 1 THEN 'null' WHEN 2 THEN 'says "yes", maybe'
+ WHEN 3 THEN '  padded ' WHEN 4 THEN NULL ELSE o_orderpriority END AS note,
+ CASE WHEN o_orderkey % 7 = 0 THEN 'NaN' ELSE CAST(o_custkey AS STRING) END AS amount FROM {orders}"""
+READ_BACK = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderpriority,
+ CASE o_orderkey % 6 WHEN 2 THEN 'says "yes", maybe' WHEN 3 THEN '  padded ' WHEN 5 THEN o_orderpriority END AS note,
+ CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS amount FROM orders"""
+CSV_SCHEMA = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+        T.StructField("o_orderpriority", T.StringType()),
+        T.StructField("note", T.StringType()),
+        T.StructField("amount", T.LongType()),
+    ]
+)
+
+
+def _csv(t, name):
+    path = scratch_path(t.spark, name)
+    csv.write_csv(t.sql(NOTED), path)
+    return path
+
+
+@query("scan_csv", READ_BACK)
+def _(t):
+    return csv.scan_csv(t.spark, _csv(t, "orders-csv"), CSV_SCHEMA)
+
+
+@query("scan_csv_inferred", READ_BACK)
+def _(t):
+    read = csv.scan_csv(t.spark, _csv(t, "orders-csv"))
+    return read.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+@query(
+    "tag_source_union",
+    """SELECT id_oferta AS id, 'jobs' AS source FROM {jobs} UNION ALL SELECT id_programa, 'investment' FROM {investments}
+ UNION ALL SELECT id_persona, 'profiles' FROM {profiles}""",
+)
+def _(t):
+    jobs = csv.tag_source(t.jobs.select(F.col("id_oferta").alias("id")), "jobs")
+    programmes = csv.tag_source(t.investments.select(F.col("id_programa").alias("id")), "investment")
+    people = csv.tag_source(t.profiles.select(F.col("id_persona").alias("id")), "profiles")
+    return jobs.unionByName(programmes).unionByName(people)
+
+
+@query(
+    "fact_partitioned",
+    f"SELECT id_registro, salario_usd, pais_normalizado, fuente_datos FROM ({FACT}) WHERE fuente_datos = 'perfiles_habilidades'",
+)
+def _(t):
+    path = scratch_path(t.spark, "fact")
+    sinks.write_table(fact(t), path, partition_by="fuente_datos")
+    kept = t.spark.read.parquet(path).where(F.col("fuente_datos") == wh.PROFILES)
+    return kept.select("id_registro", "salario_usd", "pais_normalizado", "fuente_datos")
+
+
+@query(
+    "tables_written",
+    "SELECT 'jobs' AS tabla, count(*) AS filas FROM orders UNION ALL SELECT 'people', count(*) FROM customer",
+)
+def _(t):
+    path = scratch_path(t.spark, "tables")
+    tables = {"jobs": t.jobs, "people": t.profiles, "none": t.jobs.where("job_key < 0"), "absent": None}
+    rows = None
+    for name in sinks.write_tables(tables, path):
+        one = t.spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("filas"))
+        one = one.select(F.lit(name).alias("tabla"), "filas")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+RUN = datetime(2024, 11, 16, 10, 30)
+
+
+@query(
+    "report_appended",
+    """SELECT 'empleos' AS dataset, 'completeness' AS part, count(*) AS checks FROM (SELECT unnest(range(7)))
+ UNION ALL SELECT 'perfiles', 'completeness', count(*) FROM (SELECT unnest(range(6)))""",
+)
+def _(t):
+    path = scratch_path(t.spark, "report")
+    for name, df in (("empleos", t.orders), ("perfiles", t.customer)):
+        sinks.append_report(validate.validation_report(df, {}, name, as_of=RUN), path)
+    written = t.spark.read.parquet(path).where("part = 'completeness'")
+    return written.groupBy("dataset", "part").agg(F.count(F.lit(1)).alias("checks"))
+
+
+@query(
+    "run_metrics",
+    f"""WITH c AS (SELECT count(*) AS n FROM {{copied}}), o AS (SELECT count(*) AS n FROM orders), p AS (SELECT count(*) AS n,
+ (count(edad) + count(salario_actual_usd)) * 50.0 / count(*) AS filled FROM {{profiles}})
+ SELECT '2024-11-16T10:30:00' AS fecha_ejecucion, o.n AS empleos, p.n AS perfiles, o.n + p.n AS total_registros,
+ {r("(100 + round_even(filled * 100.0, 0) / 100.0) / 2", 2)} AS puntuacion, 'passed' AS estado_empleos,
+ CASE WHEN (100 + filled) / 2 > 90 THEN 'EXCELENTE' ELSE 'BUENO' END AS estado_general,
+ c.n - o.n AS duplicados_empleos, CAST(0 AS BIGINT) AS duplicados_perfiles FROM c, o, p""",
+)
+def _(t):
+    jobs, people = t.copied, t.profiles.select("edad", "salario_actual_usd", "id_persona")
+    loaded = {"jobs": jobs.dropDuplicates(), "profiles": people}
+    reports = validate.validation_report(loaded["jobs"], {}, "empleos", as_of=RUN).unionByName(
+        validate.validation_report(people.drop("id_persona"), {}, "perfiles", as_of=RUN)
+    )
+    metrics = runs.run_metrics({"jobs": jobs, "profiles": people}, loaded, reports, RUN)
+    path = scratch_path(t.spark, "metrics")
+    sinks.write_json_document(metrics, path)
+    read = t.spark.read.schema(metrics.schema).json(path)
+    return rounded(
+        read.select(
+            "fecha_ejecucion",
+            "registros_procesados.empleos",
+            "registros_procesados.perfiles",
+            "registros_procesados.total_registros",
+            F.col("registros_procesados.puntuacion_calidad_datos").alias("puntuacion"),
+            F.col("resultados_validacion.empleos").alias("estado_empleos"),
+            "resumen_calidad.estado_general",
+            F.col("resumen_calidad.duplicados_eliminados.empleos").alias("duplicados_empleos"),
+            F.col("resumen_calidad.duplicados_eliminados.perfiles").alias("duplicados_perfiles"),
+        ),
+        2,
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -10,7 +11,28 @@ from pyspark.sql import functions as F
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd", "dd-MM-yyyy")
 
 
+# Widths of the numeric fields of a date pattern.
+_NUMERIC = re.compile(r"yyyy|MM|dd|HH|mm|ss|S+")
+
+
+def _shape(pattern: str) -> str | None:
+    """Regular expression of the texts an all-numeric pattern can read, else None."""
+    if re.search("[A-Za-z]", _NUMERIC.sub("", pattern)):
+        return None
+    parts, end = [], 0
+    for field in _NUMERIC.finditer(pattern):
+        parts += [re.escape(pattern[end : field.start()]), rf"\d{{{len(field.group())}}}"]
+        end = field.end()
+    return "^" + "".join(parts) + re.escape(pattern[end:]) + "$"
+
+
+def _attempt(text: Column, pattern: str) -> Column:
+    """Parse only what has the pattern's shape: a failed parse costs an exception."""
+    parsed, shape = F.try_to_timestamp(text, F.lit(pattern)), _shape(pattern)
+    return F.when(text.rlike(shape), parsed) if shape else parsed
+
+
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that reads the text gives the timestamp; no format gives null."""
     text = c.cast("string")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.coalesce(*[_attempt(text, f) for f in formats])

@@ -235,7 +235,7 @@ def stratified_split(
     """
     hashed = df.withColumn("__h", hash_share(F.col(key)))
     cuts = quantile_table(hashed, ["__h"], [test_share], [label]).select(label, F.col("q")[0].alias("__cut"))
-    joined = join_lookup(hashed, cuts, [label])
+    joined = join_lookup(hashed, settle(cuts), [label])
     return joined.withColumn("es_prueba", F.col("__h") <= F.col("__cut")).drop("__h", "__cut")
 
 

@@ -44,6 +44,27 @@ def _brackets(values: DataFrame, group: list[str], probs: Sequence[float], accur
     return sketch.select(*group, "__n", *lows, *highs)
 
 
+def _with_brackets(
+    values: DataFrame, brackets: DataFrame, keys: list[str], group: list[str], columns: int
+) -> DataFrame:
+    """Each value with the size and the brackets of its group.
+
+    One column without keys has one group, read as a scalar. More columns have a row each.
+    With keys the number of groups is looked at, on brackets that are worked out once.
+    """
+    names = [c for c in brackets.columns if c not in group]
+    if not keys and columns == 1:
+        one = brackets.agg(F.first(F.struct(*names))).scalar()
+        return values.withColumn("__b", one).select(*group, "__x", "__b.*")
+    if keys:
+        brackets = settle(brackets)
+    right = brackets.select(*[F.col(g).alias(f"__g_{g}") for g in group], *names)
+    if not keys or fits_broadcast(brackets):
+        right = F.broadcast(right)
+    match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group])
+    return values.join(right, match)
+
+
 def quantile_table(
     df: DataFrame,
     columns: Sequence[str],
@@ -58,24 +79,15 @@ def quantile_table(
     probs = [float(p) for p in probs]
     if probs != sorted(probs):
         raise ValueError("probabilities must ascend")
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("__x")) for c in columns]
-    )
-    values = df.select(*keys, F.inline(entries)).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("__x")) for c in columns]
+    if len(columns) == 1:
+        spread = df.select(*keys, F.lit(columns[0]).alias("column"), F.col(columns[0]).cast("double").alias("__x"))
+    else:
+        spread = df.select(*keys, F.inline(F.array(*entries)))
+    values = spread.where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     group = [*keys, "column"]
     brackets = _brackets(values, group, probs, accuracy)
-    # Without keys there is one row per column; with keys the number of groups is checked, on
-    # a copy of the brackets that was worked out once.
-    if keys:
-        brackets = settle(brackets)
-    bounded = not keys or fits_broadcast(brackets)
-    right = brackets.select(
-        *[F.col(g).alias(f"__g_{g}") for g in group], *[c for c in brackets.columns if c not in group]
-    )
-    match = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group]
-    )
-    tagged = values.join(F.broadcast(right) if bounded else right, match)
+    tagged = _with_brackets(values, brackets, list(keys), group, len(columns))
 
     span = range(len(probs))
     inside = reduce(lambda a, b: a | b, [F.col("__x").between(F.col(f"lo{i}"), F.col(f"hi{i}")) for i in span])

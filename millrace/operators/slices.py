@@ -77,13 +77,13 @@ def rank_within(
         rank = F.dense_rank() if dense else F.row_number()
         return df.withColumn(out, rank.over(window).cast("long"))
     sliced = with_slice(df, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
-    window = Window.partitionBy(*keys, "__slice").orderBy("__order")
-    ranked = sliced.withColumn("__local", (F.dense_rank() if dense else F.row_number()).over(window))
+    window = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    ranked = sliced.drop("__order").withColumn("__local", (F.dense_rank() if dense else F.row_number()).over(window))
     last = ranked.groupBy(*keys, "__slice").agg(F.max("__local").alias("__last"))
     carried = last.withColumn("__carry", F.sum("__last").over(_before(keys)))
     joined = _carry_join(ranked, carried, keys)
     rank = F.col("__local") + F.coalesce(F.col("__carry"), F.lit(0))
-    return joined.withColumn(out, rank.cast("long")).drop("__local", "__carry", "__slice", "__order")
+    return joined.withColumn(out, rank.cast("long")).drop("__local", "__carry", "__slice")
 
 
 def forward_fill(
@@ -91,9 +91,7 @@ def forward_fill(
 ) -> DataFrame:
     """Replace nulls by the last value above them, per key or over the whole table."""
     sliced = with_slice(df, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
-    window = (
-        Window.partitionBy(*keys, "__slice").orderBy("__order").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    window = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     last = sliced.groupBy(*keys, "__slice").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__order"))).alias(c) for c in columns]
     )
@@ -101,9 +99,9 @@ def forward_fill(
     carried = last.withColumn(
         "__carry", F.struct(*[F.last(c, ignorenulls=True).over(before).alias(c) for c in columns])
     )
-    filled = sliced
-    for c in columns:
-        filled = filled.withColumn(c, F.last(c, ignorenulls=True).over(window))
+    # One projection, so that an order column that is itself filled still orders by its raw value.
+    values = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
+    filled = sliced.withColumns(values).drop("__order")
     joined = _carry_join(filled, carried, keys)
     return joined.select(
         *[

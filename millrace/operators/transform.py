@@ -14,7 +14,7 @@ from millrace.functions import bands as B
 from millrace.functions import text
 from millrace.operators.clean import is_numeric, present
 from millrace.operators.lookup import fits_broadcast, join_lookup, scalars
-from millrace.operators.quantiles import group_medians, table_quantiles
+from millrace.operators.quantiles import quantile_table, table_quantiles
 from millrace.operators.slices import rank_within
 from millrace.session import settle
 
@@ -164,8 +164,9 @@ def aggregate(
     if missing:
         raise ValueError(f"columns not found: {missing}")
     listed = any(not isinstance(f, str) for f in aggregations.values())
-    df = df.dropna(subset=list(group_by))
-    results, medians = [], {}
+    keys = list(group_by)
+    df = df.dropna(subset=keys)
+    results, picks, medians = [], [], {}
     for column, functions in aggregations.items():
         for name in [functions] if isinstance(functions, str) else functions:
             out = f"{column}_{name}" if listed else column
@@ -175,17 +176,26 @@ def aggregate(
             if name in PICKS:
                 if not order_by:
                     raise ValueError(f"{name} needs order_by")
-                place = F.when(F.col(column).isNotNull(), F.struct(*order_by))
-                value = PICKS[name](F.col(column), place)
-            elif name in AGGREGATES:
+                place = order_by[0] if len(order_by) == 1 else F.struct(*order_by)
+                value = PICKS[name](F.col(column), F.when(F.col(column).isNotNull(), place))
+                picks.append((out, value))
+                continue
+            if name in AGGREGATES:
                 value = AGGREGATES[name](F.col(column))
             else:
                 raise ValueError(f"unknown aggregate {name!r}")
             results.append((out, value))
-    keys = list(group_by)
-    grouped = df.groupBy(*keys).agg(*[v.alias(o) for o, v in results]) if results else df.select(*keys).distinct()
-    for out, column in medians.items():
-        grouped = join_lookup(grouped, group_medians(df, column, keys, out), keys, broadcast=False)
+    # A pick by several order columns sorts its rows, so it does not share the hash aggregate.
+    if len(order_by) == 1:
+        results, picks = results + picks, []
+    parts = [df.groupBy(*keys).agg(*[v.alias(o) for o, v in p]) for p in (results, picks) if p]
+    if medians:
+        table = quantile_table(df, sorted(set(medians.values())), [0.5], keys)
+        found = [F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(o) for o, c in medians.items()]
+        parts.append(table.groupBy(*keys).agg(*found))
+    grouped = parts[0] if results or picks else df.select(*keys).distinct()
+    for part in parts[1 if results or picks else 0 :]:
+        grouped = join_lookup(grouped, part, keys, broadcast=False)
     return grouped
 
 

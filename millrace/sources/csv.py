@@ -13,6 +13,7 @@ NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
 
 
 def _field(c: str, target: T.DataType | None, null_tokens: Sequence[str]) -> Column:
@@ -28,9 +29,13 @@ def infer_schema(texts: DataFrame) -> T.StructType:
     aggregates = []
     for i, c in enumerate(texts.columns):
         col = F.col(f"`{c}`")
+        fits = {
+            "long": col.try_cast("long").isNotNull(),
+            "double": col.rlike(NUMBER),
+            "boolean": F.lower(col).isin("true", "false"),
+        }
         aggregates.append(F.count(col).alias(f"n{i}"))
-        for name, kind in kinds:
-            aggregates.append(F.count_if(col.isNotNull() & col.try_cast(kind).isNull()).alias(f"{name}{i}"))
+        aggregates += [F.count_if(col.isNotNull() & ~fits[name]).alias(f"{name}{i}") for name, _ in kinds]
     row = texts.agg(*aggregates).first()
     fields = []
     for i, c in enumerate(texts.columns):

@@ -29,14 +29,12 @@ def clean_text(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Upper-case every letter that follows a non-letter, lower-case the others.
 
-    ``initcap`` splits at blanks only, so it serves the plain-ASCII values; the rest is cut
-    into runs of letters and non-letters.
+    ``initcap`` starts a word after a blank only. So each non-letter gets a marked blank behind
+    it, and the marks go again afterwards.
     """
-    runs = F.regexp_extract_all(
-        F.lower(c), F.lit(r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"), F.lit(1)
-    )
-    titled = F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
-    return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(F.array_join(titled, ""))
+    mark = "\u0001 "
+    marked = F.regexp_replace(F.lower(c), r"([^\p{Lu}\p{Ll}\p{Lt}])", f"$1{mark}")
+    return F.replace(F.initcap(marked), F.lit(mark), F.lit(""))
 
 
 def word_count(c: Column) -> Column:

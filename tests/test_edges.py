@@ -26,7 +26,7 @@ def test_clean_text(spark):
 
 
 def test_title_case_follows_letters(spark):
-    values = ["node.js o'neil", "SAN josé", "3d maps", "ñandú-x", None, "", "plain words", "a1b2"]
+    values = ["node.js o'neil", "SAN josé", "3d maps", "ñandú-x", None, "", "plain words", "a1b2", "o''x", " straße", "ÁREA  x"]
     assert column(spark, values, "string", text.title_case) == [v.title() if v is not None else None for v in values]
 
 

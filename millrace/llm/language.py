@@ -173,7 +173,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
 def predict(docs: DataFrame, network: Network | None, columns: list[str]) -> DataFrame:
     """``columns`` with lang_pred and score for each document."""
     letters = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    kept = docs.select(*columns, "text", letters.alias("has_letter_"))
+    kept = docs.select(*dict.fromkeys([*columns, "text"]), letters.alias("has_letter_"))
     names = [*columns, "lang_pred", "score"]
     head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields if f.name in columns)
     shared = Shared(docs.sparkSession, network)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language, mixing, pii, secrets, simhash, tiling
+from millrace.llm import covertree, language, lm, mixing, pages, pii, repeats, secrets, simhash, tiling
 from millrace.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -71,3 +71,38 @@ def op8_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_find_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
+
+
+@query
+def op7_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, folder, "embeddings"))
+
+
+ORACLES["op7_embedding_duplicates"] = """
+WITH RECURSIVE sound AS (
+ SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+ WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least AS (SELECT u, min(v) AS m FROM reach GROUP BY 1),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.m, e.vec_id)) AS component_id,
+ e.vec_id = least(e.vec_id, coalesce(l.m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN counts c ON e.vec_id = c.u LEFT JOIN least l ON e.vec_id = l.u"""
+
+
+@query
+def op2_score_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"))
+
+
+@query
+def op10_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op3_extract_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))

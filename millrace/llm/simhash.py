@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import LOWER, pieces, text_bytes, words
@@ -34,7 +34,7 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 #: Distinct fingerprints that one task compares with each other, at most.
-BUCKET = 2_000
+BUCKET = 20_000
 
 
 def _fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
@@ -181,3 +181,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     prints = written(fingerprints(docs, ["doc_id"]), "simhash-prints")
     joined = cluster(prints, radius)
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Of each group of near-duplicates the row with the smallest doc_id, all its columns; one of rows that are equal."""
+    key = F.xxhash64("doc_id", "text")
+    prints = written(fingerprints(docs.select("doc_id", "text", key.alias("key_")), ["doc_id", "key_"]), "simhash-prints")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key_")
+    best = cluster(prints, radius).withColumn("root_", F.coalesce("component_id", F.lit(-1))).groupBy("root_").agg(F.min(order).alias("best"))
+    rows = docs.withColumn("key_", key).join(best.select(F.col("best.key_").alias("key_")), "key_", "left_semi")
+    first = F.row_number().over(Window.partitionBy("key_").orderBy(F.lit(1)))
+    return rows.withColumn("place_", first).filter("place_ = 1").select(*docs.columns)

@@ -149,6 +149,20 @@ def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple]]:
     return blocks
 
 
+def _matches(block: Block, batch: pa.RecordBatch, least: int, coverage: float) -> list[tuple]:
+    """(row, item, words marked, words, coverage) of all pairs of a batch and a block that reach the coverage."""
+    data, offsets = text_bytes(batch.column("text"))
+    found = []
+    for low, high in pieces(offsets):
+        hashes, first = tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+        for t, i in sorted(block.candidates(hashes, first)):
+            test = block.words[i]
+            matched = tile(hashes[first[t] : first[t + 1]], test, min(least, len(test)))
+            if matched >= coverage * len(test):
+                found.append((low + t, block.ids[i], matched, len(test), matched / len(test)))
+    return found
+
+
 def find_tests(docs: DataFrame, benchmark: DataFrame, columns: list[str], seed: int = SEED, least: int = LEAST, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``columns``, item_id, matched (words of the test marked), item_words and coverage, for each pair found."""
     kept = docs.select(*columns, "text")
@@ -162,15 +176,7 @@ def find_tests(docs: DataFrame, benchmark: DataFrame, columns: list[str], seed:
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.get()
             for batch in batches:
-                data, offsets = text_bytes(batch.column("text"))
-                found = []
-                for low, high in pieces(offsets):
-                    hashes, first = tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-                    for t, i in sorted(block.candidates(hashes, first)):
-                        test = block.words[i]
-                        matched = tile(hashes[first[t] : first[t + 1]], test, min(least, len(test)))
-                        if matched >= coverage * len(test):
-                            found.append((low + t, block.ids[i], matched, len(test), matched / len(test)))
+                found = _matches(block, batch, least, coverage)
                 if found:
                     at = pa.array([f[0] for f in found])
                     arrays = [batch.column(c).take(at) for c in columns]
@@ -194,3 +200,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame
         F.max("coverage").alias("coverage"),
         F.array_sort(F.collect_set("item_id")).alias("items"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int = LEAST, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents that hold no test, with all their columns; each block of the benchmark filters in the task of the document."""
+    out = docs
+    for rows in _blocks(benchmark, block_words):
+        shared = Shared(docs.sparkSession, Block(rows, seed))
+
+        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            block = shared.get()
+            for batch in batches:
+                stays = np.ones(batch.num_rows, bool)
+                stays[[f[0] for f in _matches(block, batch, least, coverage)]] = False
+                yield batch.filter(pa.array(stays))
+
+        out = out.mapInArrow(work, docs.schema)
+    return out

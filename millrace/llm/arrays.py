@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task works on at once; one longer text makes a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

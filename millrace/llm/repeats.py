@@ -29,12 +29,14 @@ from millrace.llm.common import written
 from millrace.llm.suffixes import repeated, runs
 
 LENGTH = 100
-GRAM = 20
+GRAM = 24
 LAST_ID = 2**63 - 1
+#: Windows of a run, at most: a place packs the start of a run and its windows into one number.
+MOST = (1 << 20) - 1
 
 
 def _anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(owner, text) to the runs of all texts: (hash, owner, start, windows)."""
+    """(owner, text) to the runs of all texts: (hash, owner, place). A run has fewer windows than a window has bytes."""
     gram = max(1, min(GRAM, length // 2))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,10 +46,10 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
             for low, high in pieces(offsets):
                 part = data[offsets[low] : offsets[high]]
                 of, start, count, hashes = runs(byte_codes(part), offsets[low : high + 1] - offsets[low], length, gram)
-                arrays = [hashes, owner[low:high][of], start.astype(np.int32), count.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["hash", "owner", "start", "windows"])
+                arrays = [hashes, owner[low:high][of], (start << 20) | count]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["hash", "owner", "place"])
 
-    return texts.mapInArrow(work, "hash long, owner long, start int, windows int")
+    return texts.mapInArrow(work, "hash long, owner long, place long")
 
 
 def _packed(texts: DataFrame, columns: list[str]) -> DataFrame:
@@ -72,31 +74,40 @@ def _slices(rows: DataFrame, length: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            found = batch.column("runs")
+            ends = np.asarray(found.offsets).astype(np.int64)
+            flat = found.values
+            hashes, n, place = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("hash", "n", "place"))
+            starts, counts = place >> 20, place & MOST
+            ranks, owners = batch.column("rank").to_numpy(), batch.column("owner").to_numpy()
+            first, cut, at = 0, [], []
+
+            def out(first, last, cut=cut, at=at, hashes=hashes, n=n, starts=starts, ranks=ranks, owners=owners):
+                of = np.repeat(np.arange(first, last), np.bincount(np.array([t for t, _ in at], np.int64) - first, minlength=last - first))
+                pick = np.array([i for _, i in at], np.int64)
+                arrays = [pa.array(v) for v in (hashes[pick], n[pick], ranks[of], starts[pick], owners[of])]
+                batch = pa.RecordBatch.from_arrays([*arrays, pa.array(cut, pa.binary())], names=["hash", "n", "rank", "start", "owner", "slice"])
+                cut.clear(), at.clear()
+                return batch
+
             size = 0
-            for packed, rank, owner, found in zip(*[batch.column(c).to_pylist() for c in ("packed", "rank", "owner", "runs")], strict=True):
+            for t, packed in enumerate(batch.column("packed").to_pylist()):
                 text = _unpack(packed)
-                for run in found:
-                    start = run["start"]
-                    piece = text[start : start + run["windows"] + length - 1]
-                    if len(piece) < length:  # of another text with the same hash
-                        continue
-                    for column, value in zip(out, (run["hash"], run["n"], rank, start, owner, piece), strict=True):
-                        column.append(value)
-                    size += len(piece)
-                if size > 8 << 20:
-                    yield _sliced(out)
-                    out, size = [[] for _ in range(6)], 0
-            yield _sliced(out)
+                for i in range(ends[t], ends[t + 1]):
+                    piece = text[starts[i] : starts[i] + counts[i] + length - 1]
+                    if len(piece) >= length:  # else a run of another text with the same hash
+                        cut.append(piece)
+                        at.append((t, i))
+                        size += len(piece)
+                if size > 4 << 20:
+                    yield out(first, t + 1)
+                    first, size = t + 1, 0
+            if cut:
+                yield out(first, batch.num_rows)
 
     return rows.select("packed", "rank", "owner", "runs").mapInArrow(work, "hash long, n long, rank long, start long, owner long, slice binary")
 
 
-def _sliced(columns: list[list]) -> pa.RecordBatch:
-    arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, names=["hash", "n", "rank", "start", "owner", "slice"])
-
-
 def _kept(packed: bytes, spans: list, length: int) -> tuple[int, int, str]:
     """Removed bytes, removed stretches, hash of the rest; ``spans`` are (start, windows) of repeated windows."""
     text = _unpack(packed)
@@ -125,8 +136,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     anchors = _anchors(keyed.select("owner", "text"), length)
     again = anchors.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
-    found = anchors.join(again, "hash").groupBy("hash", "owner", "start", "windows").agg(F.max("n").alias("n"))
-    per_text = found.groupBy("owner").agg(F.collect_list(F.struct("start", "windows", "hash", "n")).alias("runs"))
+    found = anchors.join(again, "hash").groupBy("hash", "owner", "place").agg(F.max("n").alias("n"))
+    per_text = found.groupBy("owner").agg(F.collect_list(F.struct("place", "hash", "n")).alias("runs"))
     wanted = written(per_text.join(first.select("owner", "rank"), "owner"), "repeats-runs")
 
     packed = _packed(keyed, ["rank", "owner"])

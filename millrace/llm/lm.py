@@ -224,6 +224,19 @@ def fit(training: DataFrame, of: np.ndarray, prior: np.ndarray, rounds: int = RO
     return table
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words (h, c) above a count that at most ``most`` words reach, by a histogram of eighth powers of two."""
+    step = F.floor(F.log2("c") * 8)
+    bins = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()  # a few hundred rows
+    least, total = 10**6, 0
+    for r in sorted(bins, key=lambda r: -r["step"]):
+        total += r["n"]
+        if total > most:
+            break
+        least = r["step"]
+    return counts.filter(step >= least).select("h", "c")
+
+
 def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -242,7 +255,7 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     n_all, v_all = int(n_class.sum()), int(v_class.sum())
     table = fit(training, of, n_class)
 
-    top = counts.orderBy(F.desc("c"), "h").limit(hot).select("h", "c").toPandas().sort_values("h")
+    top = most_frequent(counts, hot).toPandas().sort_values("h")
     base = float(np.log10(n_all + v_all + 1))
     words_in_class = np.log10(n_class + v_class + 1)
     shared = Shared(spark, (table, of, words_in_class, top["h"].to_numpy(np.int64), np.log10(top["c"].to_numpy(float) + 1)))

@@ -80,9 +80,8 @@ def op7_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op7_embedding_duplicates"] = """
 WITH RECURSIVE sound AS (
- SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
- WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-  AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+ SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+ WHERE label IS NOT NULL AND coalesce((SELECT bool_and(x IS NOT NULL AND isfinite(x)) AND bool_or(x <> 0) FROM unnest(embedding) t(x)), false)),
 links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),

@@ -133,7 +133,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     """Distinct fingerprints (column x) to edges (u, v) that connect all that lie within the radius."""
     spark = distinct.sparkSession
     found = []
-    masks = covering_masks(list(range(64)), radius)
+    masks, fan = covering_masks(list(range(64)), radius), 2 ** (radius + 1)
     # (table, mask so far): the masks of a split extend the mask of the bucket that is split
     frame = distinct.select("x", F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("t"), F.lit(_signed(m)).alias("m")) for i, m in enumerate(masks)])).alias("k"))
     frame = frame.select("x", F.col("k.t").alias("t"), F.col("k.m").alias("m"), F.col("x").bitwiseAND(F.col("k.m")).alias("y"))
@@ -146,17 +146,17 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
         buckets = small.groupBy("t", "y").agg(F.collect_list("x").alias("xs")).select("xs")  # no list is longer than a bucket
         found.append(written(buckets.mapInArrow(_bucket_links(radius), "u long, v long"), "simhash-links"))
         hot = sizes.filter(F.col("n") > bucket)
-        tables = [r["t"] for r in hot.select("t").distinct().collect()]  # 7 tables, then 49, …: as many as there are masks, not rows
+        tables = [r["t"] for r in hot.select("t").distinct().collect()]  # as many as there are masks, not rows
         if not tables:
             break
         finer = {}
         for t in tables:
             rest = [b for b in range(64) if not known[t] >> b & 1]
             for i, m in enumerate(covering_masks(rest, radius)):
-                finer[t * 8 + i + 1] = known[t] | m
+                finer[t * fan + i + 1] = known[t] | m
         again = frame.join(hot.select("t", "y"), ["t", "y"], "left_semi")
-        steps = F.explode(F.sequence(F.lit(1), F.lit(2 ** (radius + 1) - 1)))
-        again = again.select("x", "t", steps.alias("i")).select("x", (F.col("t") * 8 + F.col("i")).alias("t"))
+        steps = F.explode(F.sequence(F.lit(1), F.lit(fan - 1)))
+        again = again.select("x", "t", steps.alias("i")).select("x", (F.col("t") * fan + F.col("i")).alias("t"))
         table = spark.createDataFrame([(t, _signed(m)) for t, m in finer.items()], "t long, m long")
         frame = written(again.join(F.broadcast(table), "t").select("x", "t", "m", F.col("x").bitwiseAND(F.col("m")).alias("y")), "simhash-split")
         known = finer

@@ -28,3 +28,5 @@ class MiningLimits:
     seed: int = 42
     trees: int = 50
     kmeans_restarts: int = 10
+    max_depth: int = 10
+    min_leaf: int = 1

@@ -48,6 +48,6 @@ def band(c: Column, bands: Bands, include_lowest: bool = False) -> Column:
     above = c >= bands.edges[0] if include_lowest else c > bands.edges[0]
     chain = None
     for high, label in zip(bands.edges[1:], bands.labels, strict=True):
-        inside = above if math.isinf(high) else above & (c <= high)
+        inside = above & ~F.isnan(c.cast("double")) if math.isinf(high) else above & (c <= high)
         chain = F.when(inside, label) if chain is None else chain.when(inside, label)
     return chain

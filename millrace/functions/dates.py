@@ -32,7 +32,20 @@ def _attempt(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(shape), parsed) if shape else parsed
 
 
+# Texts in ISO order: month and day of one digit, a time, a fraction and a zone may be there.
+ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?( ?(Z|UTC|[+-]\d{1,2}(:?\d{2})?))?)?$"
+
+
+def _iso(text: Column) -> Column:
+    zoned = F.regexp_replace(text, r" ?([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(text.rlike(ISO), zoned.try_cast("timestamp"))
+
+
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that reads the text gives the timestamp; no format gives null."""
-    text = c.cast("string")
-    return F.coalesce(*[_attempt(text, f) for f in formats])
+    """First format that reads the text gives the timestamp; no format gives null.
+
+    Date-times in ISO order are read besides the default formats, but not besides given ones.
+    """
+    text = F.trim(c.cast("string"))
+    iso = [_iso(text)] if tuple(formats) == DATE_FORMATS else []
+    return F.coalesce(*[_attempt(text, f) for f in formats], *iso)

@@ -43,6 +43,13 @@ def replace_columns(
     return (df.withColumns(dict(held)) if held else df).select(*columns)
 
 
+def nan_as_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NaN of floating columns is a gap like any other: null."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    chosen = [c for c in floating if columns is None or c in columns]
+    return replace_columns(df, {c: F.nullif(F.col(f"`{c}`"), F.lit(float("nan"))) for c in chosen}) if chosen else df
+
+
 # -- duplicates ---------------------------------------------------------------------------
 
 
@@ -111,6 +118,7 @@ def fill_missing(
     for c, s in strategy.items():
         if s not in STRATEGIES:
             raise ValueError(f"unknown strategy {s!r} for {c}")
+    df = nan_as_null(df, list(strategy))
     todo: list[str] = []
     for c in df.columns:
         if strategy.get(c) == "drop":
@@ -170,6 +178,7 @@ def null_outliers(df: DataFrame, columns: Sequence[str], z: float = Thresholds.o
     columns = [c for c in present(df, columns) if is_numeric(df, c)]
     if not columns:
         return df
+    df = nan_as_null(df, columns)
     stats = F.col("__stats")
     held = scalars(
         df,
@@ -237,7 +246,7 @@ def clean_frame(
     numeric = config.get("numeric_columns", [])
     thousands = config.get("thousands")
 
-    df = drop_duplicates(df)
+    df = drop_duplicates(nan_as_null(df))
     if config.get("impute_after_parse"):
         df = parse_currency(df, numeric, thousands)
     df = fill_missing(df, strategy, order_by, keys)

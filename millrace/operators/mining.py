@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import StorageLevel
+from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -35,7 +36,6 @@ LOWEST_GRADE = "Baja"
 CLUSTER_FEATURES = ("edad", "salario_usd", "pais")
 REGRESSION_FEATURES = ("inversion_usd", "duracion_meses", "satisfaccion_promedio")
 CLASSIFIER_FEATURES = ("tecnologia_principal", "pais", "nivel_experiencia")
-MAX_DEPTH = 10
 
 
 class NotEnoughData(ValueError):
@@ -67,17 +67,10 @@ def baskets(fact: DataFrame) -> DataFrame:
 def frequent_itemsets(basket: DataFrame, min_support: float = MiningLimits.min_support) -> DataFrame:
     """Item sets in at least that share of the baskets: ``items, frecuencia, soporte``.
 
-    A basket has at most two items. Equal baskets are counted first; only the distinct ones
-    are split into their one or three item sets.
+    Baskets may have any number of items; an item counts once in a basket. Item sets are sorted.
     """
-    distinct = basket.groupBy("items").agg(F.count(F.lit(1)).alias("n"))
-    first, second = F.element_at("items", 1), F.try_element_at("items", F.lit(2))
-    subsets = F.when(second.isNull(), F.array(F.array(first))).otherwise(
-        F.array(F.array(first), F.array(second), F.sort_array("items"))
-    )
-    counts = distinct.select(F.explode(subsets).alias("items"), "n").groupBy("items").agg(
-        F.sum("n").alias("frecuencia")
-    )
+    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(basket.select(F.array_distinct("items").alias("items"))).freqItemsets
+    counts = found.select(F.sort_array("items").alias("items"), F.col("freq").alias("frecuencia"))
     total = scalars(basket, n=F.count(F.lit(1)))["n"]
     return counts.withColumn("soporte", F.try_divide(F.col("frecuencia").cast("double"), total)).where(
         F.col("soporte") >= min_support
@@ -87,7 +80,6 @@ def frequent_itemsets(basket: DataFrame, min_support: float = MiningLimits.min_s
 def association_rules(itemsets: DataFrame, min_confidence: float = MiningLimits.min_confidence) -> DataFrame:
     """Rules between single items: ``si_usa, entonces_usa, confianza, soporte``.
 
-    With support s at most 2/s single items are frequent, which bounds the broadcast.
     """
     single = itemsets.where(F.size("items") == 1).select(
         F.element_at("items", 1).alias("si_usa"), F.col("frecuencia").alias("__alone")
@@ -101,7 +93,7 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MiningLimits.
     directed = pair.select(F.inline(ways), "frecuencia", "soporte")
     confidence = F.col("frecuencia").cast("double") / F.col("__alone")
     return (
-        directed.join(F.broadcast(single), "si_usa")
+        directed.join(single, "si_usa")
         .withColumn("confianza", confidence)
         .where(F.col("confianza") >= min_confidence)
         .select("si_usa", "entonces_usa", "confianza", "soporte")
@@ -321,10 +313,11 @@ def fit_linear(table: DataFrame, features: Sequence[str] = REGRESSION_FEATURES):
 
 def fit_forest_regressor(
     table: DataFrame, features: Sequence[str] = REGRESSION_FEATURES, limits: MiningLimits = MiningLimits(),
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
 ):
     forest = RandomForestRegressor(
-        numTrees=limits.trees, seed=limits.seed, featureSubsetStrategy="all", maxDepth=max_depth
+        numTrees=limits.trees, seed=limits.seed, featureSubsetStrategy="all", maxDepth=max_depth or limits.max_depth,
+        minInstancesPerNode=limits.min_leaf,
     )
     with _assembled(table, features) as (train, test):
         model = forest.fit(train)
@@ -353,9 +346,11 @@ def classifier_table(fact: DataFrame) -> DataFrame:
 
 def fit_forest_classifier(
     table: DataFrame, features: Sequence[str] = CLASSIFIER_FEATURES, limits: MiningLimits = MiningLimits(),
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
 ):
-    forest = RandomForestClassifier(numTrees=limits.trees, seed=limits.seed, maxDepth=max_depth)
+    forest = RandomForestClassifier(
+        numTrees=limits.trees, seed=limits.seed, maxDepth=max_depth or limits.max_depth, minInstancesPerNode=limits.min_leaf
+    )
     with _assembled(table, features) as (train, test):
         model = forest.fit(train)
     return model, model.transform(test)

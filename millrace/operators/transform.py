@@ -18,8 +18,8 @@ from millrace.operators.quantiles import quantile_table, table_quantiles
 from millrace.operators.slices import rank_within
 from millrace.session import settle
 
+#: Values that a column may spread over columns if they are not given; every caller can pass another limit.
 MAX_CATEGORIES = 1_000
-MAX_CROSS_ROWS = 10_000
 
 # -- names and derived columns ------------------------------------------------------------
 
@@ -65,18 +65,18 @@ def derive_columns(df: DataFrame, age: str = "age", salary: str = "salary") -> D
 
 def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:
     """Sorted values of a column that becomes columns itself; too many raise."""
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
+    found = df.where(F.col(f"`{column}`").isNotNull()).select(f"`{column}`").distinct().limit(limit + 1).collect()
     if len(found) > limit:
         raise ValueError(f"{column} has more than {limit} values to spread over columns")
     return sorted(r[0] for r in found)
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence | None = None) -> DataFrame:
-    """Indicator per value but the first; a null row has none set. Given values save a job."""
-    values = sorted(values) if values is not None else categories(df, column)
+def one_hot(df: DataFrame, column: str, values: Sequence | None = None, limit: int = MAX_CATEGORIES) -> DataFrame:
+    """Indicator per value but the first; a null row has none set. Given values save a job and have no limit."""
+    values = sorted(values) if values is not None else categories(df, column, limit)
     return df.select(
         "*",
-        *[F.coalesce(F.col(column) == F.lit(v), F.lit(False)).alias(f"{column}_{v}") for v in values[1:]],
+        *[F.coalesce(F.col(f"`{column}`") == F.lit(v), F.lit(False)).alias(f"{column}_{v}") for v in values[1:]],
     )
 
 
@@ -305,13 +305,15 @@ def merge(
     right_on: str | Sequence[str] | None = None,
     how: str = "inner",
     suffixes: tuple[str, str] = ("_x", "_y"),
+    null_keys: bool = True,
 ) -> DataFrame:
     """Equi-join where null keys match null keys.
 
     Equally named keys become one column; other columns both sides have get the suffixes.
     An outer join runs as a left join plus the unmatched right rows: AQE splits a hot key in
-    those two, not in a full outer join. A cross join is taken only with a side that is
-    counted to be small, so the result stays linear in the other side.
+    those two, not in a full outer join. Without keys the columns that both sides have are the
+    keys. Null keys of both sides multiply; ``null_keys=False`` lets them match nothing. A cross join
+    gives every pair, so one side should be a small table of the caller's.
     """
     if how == "cross":
         return _merge_cross(left, right, suffixes)
@@ -319,15 +321,18 @@ def merge(
         raise ValueError(f"unknown join {how!r}")
     lkeys = [left_on] if isinstance(left_on, str) else list(left_on or [])
     rkeys = [right_on] if isinstance(right_on, str) else list(right_on or lkeys)
+    if not lkeys and not rkeys:
+        lkeys = rkeys = [c for c in left.columns if c in right.columns]
     if not lkeys or len(lkeys) != len(rkeys):
         raise ValueError("left_on and right_on must name as many columns")
     shared_keys = {lk for lk, rk in zip(lkeys, rkeys, strict=True) if lk == rk}
     overlap = (set(left.columns) & set(right.columns)) - shared_keys
     lhs = left.toDF(*[f"__l_{c}" for c in left.columns])
     rhs = right.toDF(*[f"__r_{c}" for c in right.columns])
+    same = Column.eqNullSafe if null_keys else Column.__eq__
     match = reduce(
         lambda a, b: a & b,
-        [F.col(f"`__l_{lk}`").eqNullSafe(F.col(f"`__r_{rk}`")) for lk, rk in zip(lkeys, rkeys, strict=True)],
+        [same(F.col(f"`__l_{lk}`"), F.col(f"`__r_{rk}`")) for lk, rk in zip(lkeys, rkeys, strict=True)],
     )
 
     def output(joined: DataFrame) -> DataFrame:
@@ -356,11 +361,7 @@ def _merge_cross(left: DataFrame, right: DataFrame, suffixes: tuple[str, str]) -
     overlap = set(left.columns) & set(right.columns)
     lhs = left.toDF(*[c + suffixes[0] if c in overlap else c for c in left.columns])
     rhs = right.toDF(*[c + suffixes[1] if c in overlap else c for c in right.columns])
-    if fits_broadcast(rhs, MAX_CROSS_ROWS):
-        return lhs.crossJoin(F.broadcast(rhs))
-    if fits_broadcast(lhs, MAX_CROSS_ROWS):
-        return F.broadcast(lhs).crossJoin(rhs)
-    raise ValueError(f"a cross join needs one side of at most {MAX_CROSS_ROWS} rows")
+    return lhs.crossJoin(rhs)
 
 
 # -- text features and pivots -------------------------------------------------------------
@@ -383,33 +384,48 @@ def pivot(
     index: str | Sequence[str],
     columns: str,
     values: str | Sequence[str],
-    aggfunc: str = "mean",
+    aggfunc: str | Sequence[str] = "mean",
     column_values: Sequence | None = None,
+    order_by: str | None = None,
+    limit: int = MAX_CATEGORIES,
 ) -> DataFrame:
-    """Index by column table of one aggregate; empty cells are 0.
+    """Index by column table of aggregates; empty cells are 0.
 
-    Given ``column_values`` save the job that finds them. Several ``values`` give columns
-    named ``values_column``.
+    Given ``column_values`` save the job that finds them and have no limit. Several ``values`` give columns
+    named ``values_column``, several functions ``function_values_column``. ``first`` and ``last`` go by the column
+    ``order_by``; ``median`` is exact and keeps the distinct values of a cell in memory.
     """
-    if aggfunc not in AGGREGATES:
-        raise ValueError(f"unknown aggregate {aggfunc!r}")
+    functions = [aggfunc] if isinstance(aggfunc, str) else list(aggfunc)
+
+    def aggregate_of(name: str, c: Column) -> Column:
+        if name in PICKS:
+            if order_by is None:
+                raise ValueError(f"{name} needs order_by: a table has no row order of its own")
+            return PICKS[name](c, F.when(c.isNotNull(), F.col(f"`{order_by}`")))
+        if name == "median":
+            return F.median(c)
+        if name not in AGGREGATES:
+            raise ValueError(f"unknown aggregate {name!r}")
+        return AGGREGATES[name](c)
+
     keys = [index] if isinstance(index, str) else list(index)
     listed = not isinstance(values, str)
     measures = list(values) if listed else [values]
-    df = df.dropna(subset=[*keys, columns])
-    if aggfunc not in ("sum", "count", "size"):
-        df = df.dropna(how="all", subset=measures)
+    cells = [(f, m, aggregate_of(f, F.col(f"`{m}`"))) for f in functions for m in measures]
+    df = df.dropna(subset=[f"`{c}`" for c in [*keys, columns]])
+    if not set(functions) & {"sum", "count", "size"}:
+        df = df.dropna(how="all", subset=[f"`{m}`" for m in measures])
     if column_values is None:
-        column_values = categories(df, columns)
-    wide = df.groupBy(*keys).pivot(columns, list(column_values)).agg(
-        *[AGGREGATES[aggfunc](F.col(m)).alias(f"__{m}") for m in measures]
-    )
-    cells = []
-    for m in measures:
+        column_values = categories(df, columns, limit)
+    wide = df.groupBy(*[f"`{k}`" for k in keys]).pivot(columns, list(column_values))
+    wide = wide.agg(*[cell.alias(f"__{i}") for i, (_, _, cell) in enumerate(cells)])
+    out = []
+    for i, (f, m, _) in enumerate(cells):
         for v in column_values:
-            source = f"{v}___{m}" if len(measures) > 1 else f"{v}"
-            cells.append(F.coalesce(F.col(f"`{source}`"), F.lit(0)).alias(f"{m}_{v}" if listed else f"{v}"))
-    return wide.select(*keys, *cells)
+            source = f"{v}___{i}" if len(cells) > 1 else f"{v}"
+            name = f"{m}_{v}" if listed or len(functions) > 1 else f"{v}"
+            out.append(F.coalesce(F.col(f"`{source}`"), F.lit(0)).alias(f"{f}_{name}" if len(functions) > 1 else name))
+    return wide.select(*[f"`{k}`" for k in keys], *out)
 
 
 # -- all of it ----------------------------------------------------------------------------

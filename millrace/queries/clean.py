@@ -276,3 +276,29 @@ def _(t):
         },
     )
     return rounded(cleaned.withColumn("published", F.to_date("published")))
+
+
+DATETIMES = """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN concat(substr(CAST(o_orderdate AS STRING), 1, 10), ' 10:30:00')
+ WHEN 1 THEN concat(substr(CAST(o_orderdate AS STRING), 1, 10), 'T23:05:09')
+ ELSE concat(CAST(year(o_orderdate) AS STRING), '-', CAST(month(o_orderdate) AS STRING), '-', CAST(day(o_orderdate) AS STRING)) END AS published FROM {orders}"""
+
+
+@query(
+    "parse_datetimes",
+    f"SELECT o_orderkey, strftime(try_strptime(published, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d']), '%Y-%m-%d %H:%M:%S') AS published FROM ({DATETIMES})",
+)
+def _(t):
+    parsed = clean.standardize_dates(t.sql(DATETIMES), ["published"])
+    return parsed.withColumn("published", F.date_format("published", "yyyy-MM-dd HH:mm:ss"))
+
+
+NANS = "SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) WHEN l_partkey % 5 = 0 THEN NULL ELSE l_quantity END AS quantity FROM {lineitem}"
+
+
+@query(
+    "nan_as_null",
+    f"""WITH n AS (SELECT l_orderkey, l_linenumber, nullif(quantity, 'NaN'::DOUBLE) AS q FROM ({NANS}))
+ SELECT l_orderkey, l_linenumber, {r("coalesce(q, (SELECT avg(q) FROM n))")} AS quantity FROM n""",
+)
+def _(t):
+    return rounded(clean.fill_missing(t.sql(NANS), {"quantity": "mean"}))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.config import MiningLimits
 from millrace.functions.numbers import round_half_even
 from millrace.operators import mining
 from millrace.queries.base import query, r, rounded
@@ -77,9 +76,8 @@ def _(t):
 
 @query("kmeans_assign")
 def _(t):
-    limits = MiningLimits(kmeans_restarts=3)
     rows = t.profiles.count()
-    return mining.kmeans(mining.cluster_features(fact(t)), mining.cluster_count(rows), limits).assigned
+    return mining.kmeans(mining.cluster_features(fact(t)), mining.cluster_count(rows)).assigned
 
 
 @query("cluster_profile", f"{WITH_ASSIGNED} {PROFILE}")
@@ -133,12 +131,12 @@ def _(t):
 
 @query("rf_regression")
 def _(t):
-    return mining.regression_scores(mining.fit_forest_regressor(_regression(t), max_depth=5)[1])
+    return mining.regression_scores(mining.fit_forest_regressor(_regression(t))[1])
 
 
 @query("feature_importance")
 def _(t):
-    model, _ = mining.fit_forest_regressor(_regression(t), max_depth=5)
+    model, _ = mining.fit_forest_regressor(_regression(t))
     return mining.importances(t.spark, mining.REGRESSION_FEATURES, model)
 
 
@@ -189,7 +187,7 @@ def _classification(t):
 
 @query("rf_classifier")
 def _(t):
-    return mining.classification_scores(mining.fit_forest_classifier(_classification(t), max_depth=5)[1])
+    return mining.classification_scores(mining.fit_forest_classifier(_classification(t))[1])
 
 
 @query("logistic_regression")
@@ -225,9 +223,8 @@ def _(t):
 
 @query("mining_summary")
 def _(t):
-    limits = MiningLimits(kmeans_restarts=2, trees=10)
     rows = fact(t).persist()
     try:
-        return mining.mining_summary(t.spark, mining.run_analyses(rows, limits))
+        return mining.mining_summary(t.spark, mining.run_analyses(rows))
     finally:
         rows.unpersist()

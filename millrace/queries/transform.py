@@ -184,7 +184,7 @@ def _(t):
 # Two sides with null keys, unmatched keys and a column name in common.
 LEFT = """SELECT CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE s_suppkey END AS supp, s_name AS name, s_acctbal FROM {supplier}"""
 RIGHT = """SELECT CASE WHEN l_orderkey % 500 = 0 THEN NULL ELSE l_suppkey * 2 END AS supp, l_returnflag AS name,
- l_orderkey, l_partkey, l_linenumber FROM {lineitem} WHERE l_linestatus = 'O'"""
+ l_orderkey, l_partkey, l_linenumber FROM {lineitem}"""
 
 
 def _merged(t, how):
@@ -299,3 +299,24 @@ def _(t):
         },
     )
     return changed.withColumn("salario_normalized", F.rint(F.col("salario_normalized") * 1e6) / 1e6 + 0.0)
+
+
+@query(
+    "merge_common_columns",
+    """SELECT s.s_suppkey AS supp, s.s_name, l.l_orderkey, l.l_linenumber FROM {supplier} s
+ JOIN {lineitem} l ON s.s_suppkey = l.l_suppkey""",
+)
+def _(t):
+    left = t.supplier.selectExpr("s_suppkey AS supp", "s_name")
+    right = t.lineitem.selectExpr("l_suppkey AS supp", "l_orderkey", "l_linenumber")
+    return transform.merge(left, right)
+
+
+@query(
+    "pivot_many",
+    "SELECT status, "
+    + ", ".join(f"""{r(f"coalesce(median(price) FILTER (flag = '{v}'), 0)", 4)} AS "median_price_{v}", coalesce(max(price) FILTER (flag = '{v}'), 0) AS "max_price_{v}" """ for v in "ANR")
+    + " FROM {gappy} WHERE price IS NOT NULL AND flag IS NOT NULL GROUP BY status",
+)
+def _(t):
+    return rounded(transform.pivot(t.gappy, "status", "flag", "price", ["median", "max"], ["A", "N", "R"]), 4)

@@ -84,11 +84,10 @@ def _(t):
 
 @query(
     "experience_band",
-    f"SELECT id_registro, anos_experiencia, nivel_experiencia_grupo FROM ({FACT}) WHERE fuente_datos = 'perfiles_habilidades'",
+    f"SELECT id_registro, anos_experiencia, nivel_experiencia_grupo FROM ({FACT})",
 )
 def _(t):
-    people = fact(t).where(F.col("fuente_datos") == wh.PROFILES)
-    return people.select("id_registro", "anos_experiencia", "nivel_experiencia_grupo")
+    return fact(t).select("id_registro", "anos_experiencia", "nivel_experiencia_grupo")
 
 
 @query("title_case_place", f"SELECT id_registro, pais_normalizado, ciudad_normalizada FROM ({FACT})")

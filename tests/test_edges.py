@@ -232,10 +232,39 @@ def test_merge_on_different_names(spark):
     assert got.count() == 5
 
 
-def test_cross_join_needs_a_small_side(spark):
-    big = spark.range(20_001)
-    with pytest.raises(ValueError):
-        transform.merge(big, big.withColumnRenamed("id", "j"), how="cross")
+def test_merge_without_keys_and_without_null_keys(spark):
+    left = spark.createDataFrame([(1, "x"), (None, "y")], "k int, l string")
+    right = spark.createDataFrame([(1, 5), (None, 6)], "k int, r int")
+    assert sorted(transform.merge(left, right).collect(), key=str) == [(1, "x", 5), (None, "y", 6)]
+    assert transform.merge(left, right, null_keys=False).collect() == [(1, "x", 5)]
+
+
+def test_pivot_of_several_functions_and_a_name_with_a_point(spark):
+    rows = [("r", "c1", 1, 1.0), ("r", "c1", 2, 5.0), ("r", "c1", 3, 9.5), ("r", "c2", 1, None)]
+    df = spark.createDataFrame(rows, "i string, c string, o int, `v.x` double")
+    got = transform.pivot(df, "i", "c", "v.x", ["median", "first", "last"], ["c1", "c2"], order_by="o").first().asDict()
+    assert got == {"i": "r", "median_v.x_c1": 5.0, "median_v.x_c2": 0.0, "first_v.x_c1": 1.0, "first_v.x_c2": 0.0, "last_v.x_c1": 9.5, "last_v.x_c2": 0.0}
+    assert "a.b_y" in transform.one_hot(df.sparkSession.createDataFrame([("x",), ("y",)], "`a.b` string"), "a.b").columns
+
+
+def test_nan_is_a_gap(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "x double")
+    assert [r[0] for r in clean.fill_missing(df, {"x": "mean"}).collect()] == [1.0, 2.0, 2.0, 3.0]
+    wide = spark.createDataFrame([(float(i % 2),) for i in range(40)] + [(1e6,), (float("nan"),)], "x double")
+    assert [r[0] for r in clean.null_outliers(wide, ["x"]).collect()].count(None) == 2
+    assert transform.add_band(df, "x", bands.SALARY_RANGE, "b").where("x = double('NaN')").first()["b"] is None
+
+
+def test_iso_date_times(spark):
+    texts = ["2024-11-16 10:30:00", "2024-11-16T10:30:00Z", "2024-1-5", "2024-11-16T12:30:00+0200", "2024-13-01 00:00:00", "soon"]
+    got = clean.standardize_dates(spark.createDataFrame([(t,) for t in texts], "d string"), ["d"]).select(F.date_format("d", "yyyy-MM-dd HH:mm"))
+    assert [r[0] for r in got.collect()] == ["2024-11-16 10:30", "2024-11-16 10:30", "2024-01-05 00:00", "2024-11-16 10:30", None, None]
+
+
+def test_itemsets_of_three(spark):
+    baskets = spark.createDataFrame([(i, ["a", "b", "c"]) for i in range(12)], "id int, items array<string>")
+    got = {tuple(r["items"]): r["frecuencia"] for r in mining.frequent_itemsets(baskets, 0.5).collect()}
+    assert got == dict.fromkeys([("a",), ("b",), ("c",), ("a", "b"), ("a", "c"), ("b", "c"), ("a", "b", "c")], 12)
 
 
 def test_aggregate_names_and_nulls(spark):

@@ -139,17 +139,36 @@ def blocks(source: str) -> list[tuple[int, str]]:
     return out
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """(page_id, url, key, html) to kinds and texts of the blocks."""
+def _articles(pages: DataFrame, schema: str) -> DataFrame:
+    """(page_id, url, text, n_chars) of the pages with an article; nothing repeated elsewhere can change these."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [blocks(source or "") for source in batch.column("html").to_pylist()]
+            at = [i for i, f in enumerate(found) if any(k == ARTICLE for k, _ in f)]
+            yield _extracted(batch, at, [" ".join(t for k, t in found[i] if k == ARTICLE) for i in at])
+
+    return pages.select("page_id", "url", "html").mapInArrow(work, schema)
+
+
+def _extracted(batch: pa.RecordBatch, at: list[int], texts: list[str]) -> pa.RecordBatch:
+    pick = pa.array(at, pa.int64())
+    arrays = [batch.column("page_id").take(pick), batch.column("url").take(pick), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars"])
+
+
+def _others(pages: DataFrame) -> DataFrame:
+    """(page_id, url, key) and kinds and texts of the blocks of the pages without an article."""
     carried = ["page_id", "url", "key"]
     head = ", ".join(f"{c} {t}" for c, t in pages.dtypes if c in carried)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [blocks(source or "") for source in batch.column("html").to_pylist()]
-            kinds = pa.array([[k for k, _ in f] for f in found], pa.list_(pa.int32()))
-            texts = pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], kinds, texts], names=[*carried, "kinds", "texts"])
+            found = [(i, f) for i, f in enumerate(blocks(s or "") for s in batch.column("html").to_pylist()) if all(k != ARTICLE for k, _ in f)]
+            pick = pa.array([i for i, _ in found], pa.int64())
+            kinds = pa.array([[k for k, _ in f] for _, f in found], pa.list_(pa.int32()))
+            texts = pa.array([[t for _, t in f] for _, f in found], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pick) for c in carried], kinds, texts], names=[*carried, "kinds", "texts"])
 
     return pages.select(*carried, "html").mapInArrow(work, f"{head}, kinds array<int>, texts array<string>")
 
@@ -191,9 +210,7 @@ def _streams(pages: DataFrame, width: int) -> DataFrame:
 
 
 def _text(kinds: list[int], texts: list[str], spans: list[tuple[int, int]]) -> str:
-    """Blocks of the article; without any, what no span (first token, tokens) covers of the blocks that are no furniture."""
-    if ARTICLE in kinds:
-        return " ".join(t for k, t in zip(kinds, texts, strict=True) if k == ARTICLE)
+    """What no span (first token, end) covers of the blocks that are no furniture."""
     out, at = [], 0
     for kind, text in zip(kinds, texts, strict=True):
         own = len(text.encode().split())  # white space of ASCII, as the streams count
@@ -214,15 +231,15 @@ def extract(pages: DataFrame, width: int = WIDTH) -> DataFrame:
     again = streams.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
     marks = repeated(streams.join(again, "hash"), width, 8, later=False)
     spans = marks.groupBy("owner").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("windows") + width - 1).alias("stop"))).alias("spans"))
-    found = _parsed(keyed).join(written(spans, "pages-spans"), F.col("key") == F.col("owner"), "left")
-    kinds = ", ".join(f"{c} {t}" for c, t in pages.dtypes if c in ("page_id", "url"))
+    found = _others(keyed).join(written(spans, "pages-spans"), F.col("key") == F.col("owner"), "left")
+    kinds = dict(pages.dtypes)
+    schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*[batch.column(c).to_pylist() for c in ("kinds", "texts", "spans")], strict=True)
             texts = [_text(k, t, [(s["start"], s["stop"]) for s in spans or []]) for k, t, spans in rows]
-            arrays = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars"])
+            yield _extracted(batch, list(range(len(texts))), texts)
 
-    head = {p.split()[0]: p for p in kinds.split(", ")}
-    return found.select("page_id", "url", "kinds", "texts", "spans").mapInArrow(work, f"{head['page_id']}, {head['url']}, text string, n_chars long")
+    rest = found.select("page_id", "url", "kinds", "texts", "spans").mapInArrow(work, schema)
+    return _articles(keyed, schema).unionByName(rest)

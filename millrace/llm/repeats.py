@@ -36,20 +36,20 @@ MOST = (1 << 20) - 1
 
 
 def _anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(owner, text) to the runs of all texts: (hash, owner, place). A run has fewer windows than a window has bytes."""
+    """(mark, text) to the runs of all texts: (hash, mark, place). A run has fewer windows than a window has bytes."""
     gram = max(1, min(GRAM, length // 2))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            owner = batch.column("owner").to_numpy()
+            mark = batch.column("mark").to_numpy()
             for low, high in pieces(offsets):
                 part = data[offsets[low] : offsets[high]]
                 of, start, count, hashes = runs(byte_codes(part), offsets[low : high + 1] - offsets[low], length, gram)
-                arrays = [hashes, owner[low:high][of], (start << 20) | count]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["hash", "owner", "place"])
+                arrays = [hashes, mark[low:high][of], (start << 20) | count]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["hash", "mark", "place"])
 
-    return texts.mapInArrow(work, "hash long, owner long, place long")
+    return texts.mapInArrow(work, "hash long, mark long, place long")
 
 
 def _packed(texts: DataFrame, columns: list[str]) -> DataFrame:
@@ -134,11 +134,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     slim = keyed.select("rank", "owner", F.md5(F.col("text").cast("binary")).alias("digest"))
     first = written(slim.groupBy("owner", "digest").agg(F.min("rank").alias("rank")), "repeats-texts")
 
-    anchors = _anchors(keyed.select("owner", "text"), length)
+    # runs go by ids, which are shorter on their way than hashes; runs of a second text of an id do no harm
+    mark = F.coalesce("doc_id", "owner").cast("long")
+    anchors = _anchors(keyed.select(mark.alias("mark"), "text"), length)
     again = anchors.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
-    found = anchors.join(again, "hash").groupBy("hash", "owner", "place").agg(F.max("n").alias("n"))
-    per_text = found.groupBy("owner").agg(F.collect_list(F.struct("place", "hash", "n")).alias("runs"))
-    wanted = written(per_text.join(first.select("owner", "rank"), "owner"), "repeats-runs")
+    per_text = anchors.join(again, "hash").groupBy("mark").agg(F.collect_set(F.struct("place", "hash", "n")).alias("runs"))
+    its_mark = F.when(F.col("rank") == LAST_ID, F.col("owner")).otherwise(F.col("rank"))
+    wanted = written(per_text.join(first.select("owner", "rank", its_mark.alias("mark")), "mark").drop("mark"), "repeats-runs")
 
     packed = _packed(keyed, ["rank", "owner"])
     slices = _slices(packed.join(wanted, ["owner", "rank"]), length)

@@ -26,7 +26,7 @@ from millrace.llm.arrays import prefix_sums, span_hashes
 #: Runs of one hash that meet in a task, at most.
 GROUP = 20_000
 #: Windows in one suffix array, about.
-WINDOWS = 100_000
+WINDOWS = 300_000
 
 
 def runs(codes: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:

@@ -1,49 +1,60 @@
 """Ordered work without a single task: range slices with a carried prefix.
 
 A window over a whole table, or over a key that holds a third of it, would run in one task.
-Here the order is first cut into about ``TARGET`` slices. The cut points are values of the
-order key picked by their hash, so the choice is repeatable when a lost task reruns, follows
-the data and works for every sortable type. Windows then run per slice, and what earlier
-slices pass on is a table of at most one row per key and slice. Results are exact; the cut
-points decide only where the work is split.
+Here the order is first cut into slices of about ``ROWS_PER_SLICE`` rows, ``TARGET`` at least.
+The cut points are values of the order key picked by their hash, so the choice is repeatable
+when a lost task reruns, follows the data and works for every sortable type. Windows then run
+per slice, and what earlier slices pass on is a table of at most one row per key and slice.
+Results are exact; the cut points decide only where the work is split. The key that is cut
+has a tie-breaker, so equal order values do not keep a slice together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TARGET = 128
-STEPS = 8  # the descent tells 2**STEPS slices apart, twice the expected number
+ROWS_PER_SLICE = 1_000_000
+MOST = 2**16  # beyond 65 billion rows the slices grow instead of the list of cut points
+STEPS = 17  # the descent tells twice as many slices apart as there can be expected
 
 
-def with_slice(df: DataFrame, order_key: Column, target: int = TARGET) -> DataFrame:
+def tie_breaker(df: DataFrame) -> Column:
+    """Hash of the whole row: rows of equal order go apart, equal rows stay together."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+
+
+def with_slice(df: DataFrame, order_key: Column, target: int = TARGET, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``__order`` (the key) and ``__slice`` (number of cut points below it)."""
     keyed = df.withColumn("__order", order_key)
     rows = keyed.agg(F.count(F.lit(1))).scalar()
-    every = F.greatest(F.lit(1), F.floor(rows / F.lit(target)))
+    wanted = F.least(F.lit(MOST), F.greatest(F.lit(target), F.ceil(rows / F.lit(rows_per_slice))))
+    every = F.greatest(F.lit(1), F.floor(rows / wanted))
     cuts = (
         keyed.where(F.pmod(F.xxhash64("__order"), every) == 0)
-        .agg(F.slice(F.sort_array(F.collect_set("__order")), 1, 2**STEPS - 1))
+        .agg(F.sort_array(F.collect_set("__order")))
         .scalar()
     )
-    keyed = keyed.withColumn("__cuts", cuts).withColumn("__slice", F.lit(0))
-    for step in (2**i for i in range(STEPS - 1, -1, -1)):
-        ahead = F.col("__slice") + step
-        keyed = keyed.withColumn(
-            "__slice",
-            F.when(F.try_element_at("__cuts", ahead) < F.col("__order"), ahead).otherwise(F.col("__slice")),
-        )
+    keyed = keyed.withColumn("__cuts", cuts)
+    # Binary search as one fold: steps as columns of their own would be inlined into each other.
+    found = F.aggregate(
+        F.array(*[F.lit(2**i) for i in range(STEPS - 1, -1, -1)]),
+        F.lit(0),
+        lambda at, step: at
+        + F.when(F.try_element_at("__cuts", at + step) < F.col("__order"), step).otherwise(F.lit(0)),
+    )
+    keyed = keyed.withColumn("__slice", found)
     return keyed.drop("__cuts")
 
 
 def _carry_join(df: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the prefix of each (keys, slice). Without keys it has at most 2**STEPS rows."""
+    """Attach the prefix of each (keys, slice). Without keys the rows already lie by slice."""
     right = carried.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col("__slice").alias("__r_slice"), "__carry")
-    if not keys:
-        right = F.broadcast(right)
     match = F.col("__slice") == F.col("__r_slice")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
@@ -51,7 +62,7 @@ def _carry_join(df: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def _before(keys: Sequence[str]):
-    """Earlier slices of the same key; each key has at most 2**STEPS rows here."""
+    """Earlier slices of the same key; each key has at most a row per slice here."""
     return (
         Window.partitionBy(*(keys or [F.lit(0)]))
         .orderBy("__slice")
@@ -76,9 +87,12 @@ def rank_within(
         window = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
         rank = F.dense_rank() if dense else F.row_number()
         return df.withColumn(out, rank.over(window).cast("long"))
-    sliced = with_slice(df, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+    if dense:
+        return _dense_rank(df, order, out, keys)
+    parts = [*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]]
+    sliced = with_slice(df, F.struct(*parts))
     window = Window.partitionBy(*keys, "__slice").orderBy(*order)
-    ranked = sliced.drop("__order").withColumn("__local", (F.dense_rank() if dense else F.row_number()).over(window))
+    ranked = sliced.drop("__order").withColumn("__local", F.row_number().over(window))
     last = ranked.groupBy(*keys, "__slice").agg(F.max("__local").alias("__last"))
     carried = last.withColumn("__carry", F.sum("__last").over(_before(keys)))
     joined = _carry_join(ranked, carried, keys)
@@ -86,12 +100,27 @@ def rank_within(
     return joined.withColumn(out, rank.cast("long")).drop("__local", "__carry", "__slice")
 
 
+def _dense_rank(df: DataFrame, order: Sequence[Column], out: str, keys: Sequence[str]) -> DataFrame:
+    """Number the distinct order values, which have no ties, and join the numbers to the rows."""
+    names = [f"__v{i}" for i in range(len(order))]
+    valued = df.withColumns(dict(zip(names, order, strict=True)))
+    values = valued.select(*keys, *names).distinct()
+    ranked = rank_within(values, [F.col(n) for n in names], out, keys)
+    right = ranked.select(*[F.col(c).alias(f"__r_{c}") for c in [*keys, *names]], out)
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in [*keys, *names]])
+    return valued.join(right, match).select(*[F.col(f"`{c}`") for c in df.columns], out)
+
+
 def forward_fill(
     df: DataFrame, columns: Sequence[str], order: Sequence[Column], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace nulls by the last value above them, per key or over the whole table."""
-    sliced = with_slice(df, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
-    window = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    """Replace nulls by the last value above them, per key or over the whole table.
+
+    Rows of equal order are taken in the order of a hash of the row.
+    """
+    tied = df.withColumn("__tie", tie_breaker(df))
+    sliced = with_slice(tied, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col("__tie")))
+    window = Window.partitionBy(*keys, "__slice").orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
     last = sliced.groupBy(*keys, "__slice").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__order"))).alias(c) for c in columns]
     )

@@ -96,3 +96,35 @@ def test_slices_split_the_rows(spark):
     sizes = slices.with_slice(df, F.struct("id")).groupBy("__slice").count().toPandas()["count"]
     assert 80 <= len(sizes) <= 200
     assert sizes.max() < 100_000 * 0.1
+
+
+def _largest_slice(df, *order):
+    key = F.struct(*order, slices.tie_breaker(df))
+    return slices.with_slice(df, key).groupBy("__slice").count().agg(F.max("count")).first()[0]
+
+
+def test_slices_split_ties_and_hot_ranges(spark):
+    tied = spark.range(100_000).select("id", (F.col("id") % 100).alias("day"))
+    assert _largest_slice(tied, "day") < 10_000
+    # one key holds a third of the rows, all of them on one day
+    hot = spark.range(90_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("day"))
+    assert _largest_slice(hot, "day") < 9_000
+
+
+def test_slices_grow_with_the_rows(spark):
+    df = spark.range(60_000)
+    many = slices.with_slice(df, F.struct("id"), rows_per_slice=100).groupBy("__slice").count().toPandas()["count"]
+    assert 450 <= len(many) <= 750 and many.max() < 2_000
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_forward_fill_under_ties(spark, keys):
+    """A null takes the last value among the rows before it, in the order of day and row hash."""
+    df = spark.range(5_000).select(
+        "id", (F.col("id") % 20).alias("day"), (F.col("id") % 3).cast("string").alias("k"),
+        F.when(F.col("id") % 4 == 0, F.col("id").cast("double")).alias("x"),
+    )
+    frame = df.withColumn("tie", slices.tie_breaker(df)).toPandas().sort_values(["day", "tie"])
+    want = (frame.groupby("k")["x"] if keys else frame["x"]).ffill().set_axis(frame["id"]).sort_index()
+    got = slices.forward_fill(df, ["x"], [F.col("day")], keys).toPandas().set_index("id")["x"].sort_index()
+    np.testing.assert_array_equal(got.to_numpy(), want.to_numpy())

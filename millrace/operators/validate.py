@@ -8,7 +8,8 @@ duplicate count needs a shuffle of the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,10 +37,16 @@ STATUS_WORDS = {
 QUALITY_BANDS = ((90, "EXCELENTE"), (80, "BUENO"), (70, "REGULAR"))
 LOWEST_QUALITY = "NECESITA_MEJORA"
 
-SEVERITY = {"skipped": 0, "passed": 0, "warning": 1, "failed": 2, "error": 3}
+# A failed rule outweighs one that could not be evaluated.
+SEVERITY = {"skipped": 0, "passed": 0, "warning": 1, "error": 2, "failed": 3}
 
 _DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
+# Type names with a width accept one type only.
+_WIDTHS = {
+    "int8": T.ByteType, "int16": T.ShortType, "int32": T.IntegerType, "int64": T.LongType,
+    "float32": T.FloatType, "float64": T.DoubleType,
+}
 
 
 def _rows() -> Column:
@@ -70,7 +77,10 @@ def run_checks(df: DataFrame, checks: Sequence[Column]) -> DataFrame:
 
 
 def _same_type(actual: T.DataType, expected: str) -> bool:
-    """Type families: the name ``int`` accepts all integers, ``float`` all floats, and so on."""
+    """Type families: the name ``int`` accepts all integers, ``float`` all floats, and so on;
+    ``int64`` and other names with a width accept that type alone."""
+    if expected in _WIDTHS:
+        return isinstance(actual, _WIDTHS[expected])
     families = {
         "int": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
         "float": (T.FloatType, T.DoubleType, T.DecimalType),
@@ -86,6 +96,8 @@ def _same_type(actual: T.DataType, expected: str) -> bool:
 
 
 def _cast_target(expected: str) -> str:
+    if expected in _WIDTHS:
+        return _WIDTHS[expected]().simpleString()
     names = {"int": "bigint", "float": "double", "string": "string", "object": "string", "datetime": "timestamp", "bool": "boolean"}
     return next((kind for family, kind in names.items() if expected.startswith(family)), expected)
 
@@ -206,8 +218,41 @@ def _rule_columns(rule: Mapping) -> list[str]:
     return [rule["column1"], rule["column2"]] if rule["type"] == "relationship" else [rule["column"]]
 
 
-def violation(rule: Mapping) -> Column:
-    """True where a row breaks the rule. Nulls pass ranges and relations, but are no category."""
+def _column_kind(kind: T.DataType) -> str:
+    """What a column can be compared with."""
+    families = {"number": T.NumericType, "text": T.StringType, "date": _DATES, "bool": T.BooleanType}
+    return next((name for name, kinds in families.items() if isinstance(kind, kinds)), "other")
+
+
+def _value_kind(value) -> str:
+    families = {"bool": bool, "number": (int, float, Decimal), "text": str, "date": (date, datetime)}
+    return next((name for name, kinds in families.items() if isinstance(value, kinds)), "other")
+
+
+def _is_date_text(value) -> bool:
+    try:
+        datetime.fromisoformat(value)
+    except (TypeError, ValueError):
+        return False
+    return True
+
+
+def _evaluable(df: DataFrame, rule: Mapping) -> bool:
+    """Whether the types of a rule's sides can be compared, so that no row stops the report."""
+    kinds = [_column_kind(df.schema[c].dataType) for c in _rule_columns(rule)]
+    if rule["type"] == "relationship":
+        return kinds[0] == kinds[1] != "other"
+    if rule["type"] == "range":
+        bounds = [b for b in (rule.get("min"), rule.get("max")) if b is not None]
+        return all(_value_kind(b) == kinds[0] or (kinds[0] == "date" and _is_date_text(b)) for b in bounds)
+    return True
+
+
+def violation(df: DataFrame, rule: Mapping) -> Column:
+    """True where a row breaks the rule. Nulls pass ranges and relations, but are no category.
+
+    Valid values of another type than the column equal none of its values.
+    """
     if rule["type"] == "range":
         c = F.col(f"`{rule['column']}`")
         bounds = []
@@ -219,7 +264,9 @@ def violation(rule: Mapping) -> Column:
             raise ValueError("a range rule needs min or max")
         broken = reduce(lambda a, b: a | b, bounds)
     elif rule["type"] == "categorical":
-        broken = ~F.coalesce(F.col(f"`{rule['column']}`").isin(*rule.get("valid_values", [])), F.lit(False))
+        kind = _column_kind(df.schema[rule["column"]].dataType)
+        fitting = [v for v in rule.get("valid_values", []) if kind in (_value_kind(v), "date", "other")]
+        broken = ~F.coalesce(F.col(f"`{rule['column']}`").isin(*fitting), F.lit(False)) if fitting else F.lit(True)
     elif rule["type"] == "relationship":
         operator = rule.get("operator", ">")
         if operator not in _BROKEN:
@@ -231,7 +278,8 @@ def violation(rule: Mapping) -> Column:
 
 
 def rule_checks(df: DataFrame, rules: Mapping[str, Mapping]) -> list[Column]:
-    """Violations per rule; a rule on an absent column is ``skipped``."""
+    """Violations per rule. A rule on an absent column is ``skipped``; one that compares types which
+    cannot be compared is an ``error`` and the others go on. Unknown rule types and operators raise."""
     checks = []
     for name, rule in rules.items():
         columns = _rule_columns(rule)
@@ -239,7 +287,11 @@ def rule_checks(df: DataFrame, rules: Mapping[str, Mapping]) -> list[Column]:
         if any(c not in df.columns for c in columns):
             checks.append(_result("rules", name, label, F.lit("skipped")))
             continue
-        broken = F.count_if(violation(rule))
+        broken_row = violation(df, rule)
+        if not _evaluable(df, rule):
+            checks.append(_result("rules", name, label, F.lit("error")))
+            continue
+        broken = F.count_if(broken_row)
         checks.append(
             _result("rules", name, label, _flag(broken > 0, "failed"), broken, percent(broken, _rows()))
         )
@@ -248,7 +300,7 @@ def rule_checks(df: DataFrame, rules: Mapping[str, Mapping]) -> list[Column]:
 
 def invalid_values(df: DataFrame, rule: Mapping) -> DataFrame:
     """The distinct values that break a categorical rule, all of them, with their counts."""
-    broken = df.where(violation(rule)).groupBy(F.col(f"`{rule['column']}`").alias("value"))
+    broken = df.where(violation(df, rule)).groupBy(F.col(f"`{rule['column']}`").alias("value"))
     return broken.agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -283,7 +335,7 @@ def completeness_checks(
 
 
 def worst(status: Column) -> Column:
-    """Most severe status of a group, as an aggregate: error, failed, warning, passed."""
+    """Most severe status of a group, as an aggregate: failed, error, warning, passed."""
     rank = F.coalesce(*[F.when(status == s, F.lit(v)) for s, v in SEVERITY.items()])
     top = F.max(rank)
     names = {v: s for s, v in SEVERITY.items() if s != "skipped"}
@@ -292,9 +344,11 @@ def worst(status: Column) -> Column:
 
 def _decides(result) -> Column:
     """Whether a result counts for the verdict: rules, completeness and missing columns do.
-    Quality findings, extra columns and other types are reported but decide nothing."""
+    Quality findings, extra columns, other types and rules that could not be evaluated are
+    reported but decide nothing."""
     part, status = result["part"], result["status"]
-    return part.isin("rules", "completeness") | ((part == "schema") & (status == "failed"))
+    decides = part.isin("rules", "completeness") | ((part == "schema") & (status == "failed"))
+    return decides & (status != "error")
 
 
 def _verdict(results: Column) -> Column:
@@ -304,7 +358,7 @@ def _verdict(results: Column) -> Column:
         return F.exists(results, lambda x: _decides(x) & (x["status"] == status))
 
     status = F.lit("passed")
-    for name in ("warning", "failed", "error"):
+    for name in ("warning", "failed"):
         status = F.when(any_is(name), F.lit(name)).otherwise(status)
     return _result("overall", "status", None, status)
 

@@ -206,6 +206,50 @@ def _(t):
     return rounded(validate.run_checks(t.gappy, validate.rule_checks(t.gappy, RELATIONS)))
 
 
+MIXED = {
+    "text_range": {"type": "range", "column": "flag", "min": 1, "max": 5},
+    "text_relation": {"type": "relationship", "column1": "flag", "column2": "quantity", "operator": ">"},
+    "number_codes": {"type": "categorical", "column": "flag", "valid_values": [1, 2]},
+    "quantity_range": RANGES["quantity_range"],
+}
+
+
+@query(
+    "rule_error",
+    " UNION ALL ".join(
+        [
+            row("rules", "text_range", "flag", "'error'"),
+            row("rules", "text_relation", "flag quantity", "'error'"),
+            rule_sql("number_codes", "flag", "true", "{gappy}"),
+            rule_sql("quantity_range", "quantity", "quantity < 3 OR quantity > 48", "{gappy}"),
+        ]
+    ),
+)
+def _(t):
+    return rounded(validate.run_checks(t.gappy, validate.rule_checks(t.gappy, MIXED)))
+
+
+WIDTHS = {"l_orderkey": "int64", "l_linenumber": "int64", "l_partkey": "int32", "l_suppkey": "int", "l_quantity": "float32"}
+
+
+@query(
+    "schema_widths",
+    " UNION ALL ".join(
+        [
+            row("schema", "type", "l_orderkey", "'passed'", "0", "0"),
+            row("schema", "type", "l_linenumber", "'warning'", "0", "0"),
+            row("schema", "type", "l_partkey", "'warning'", "count(*) FILTER (abs(l_partkey) >= 2147483648)",
+                share("count(*) FILTER (abs(l_partkey) >= 2147483648)"), "lineitem"),
+            row("schema", "type", "l_suppkey", "'passed'", "0", "0"),
+            row("schema", "type", "l_quantity", "'warning'", "0", "0"),
+        ]
+    ),
+)
+def _(t):
+    df = t.lineitem.select(*WIDTHS)
+    return rounded(validate.run_checks(df, validate.schema_checks(df, WIDTHS)))
+
+
 @query(
     "rules_status",
     """SELECT CASE WHEN count(*) FILTER (quantity < 3 OR quantity > 48) > 0 OR count(*) FILTER (price < 0) > 0

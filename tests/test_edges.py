@@ -321,6 +321,22 @@ def test_rules_refuse_unknown_operators(spark):
         validate.rule_checks(df, {"r": {"type": "odd", "column": "a"}})
 
 
+def test_a_rule_that_cannot_be_evaluated_does_not_stop_the_others(spark):
+    df = spark.createDataFrame([("abc", 1), ("7", 9)], "t string, n int")
+    rules = {
+        "text": {"type": "range", "column": "t", "min": 1, "max": 5},
+        "sides": {"type": "relationship", "column1": "t", "column2": "n"},
+        "codes": {"type": "categorical", "column": "t", "valid_values": [7]},
+    }
+    report = validate.validation_report(df, {"business_rules": rules, "required_columns": []})
+    got = {r["check"]: (r["status"], r["value"]) for r in report.where("part = 'rules'").collect()}
+    assert got == {"text": ("error", None), "sides": ("error", None), "codes": ("failed", 2.0)}
+    assert validate.rules_status(report).first()["status"] == "failed"
+    only = validate.validation_report(df, {"business_rules": {"text": rules["text"]}})
+    assert validate.rules_status(only).first()["status"] == "error"
+    assert only.where("part = 'overall'").first()["status"] == "passed"
+
+
 def test_checks_on_an_empty_table(spark):
     df = spark.createDataFrame([], "id int, price double, hire_date timestamp")
     statuses = {r["check"]: r["status"] for r in validate.validation_report(df, {}).where("part = 'quality'").collect()}

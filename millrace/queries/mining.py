@@ -1,4 +1,4 @@
-"""Mining queries. The models themselves have no SQL twin; tests check their invariants."""
+"""Mining queries. Forests and clusters have no SQL twin; their checks and the tests hold what must be true of them."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from millrace.operators import mining
 from millrace.queries.base import query, r, rounded
 from millrace.queries.marts import PROFILE, WITH_ASSIGNED, assigned
 from millrace.queries.warehouse import FACT, fact
+from millrace.session import settle
 
 BASKETS = f"""SELECT id_registro, list_filter([CASE WHEN tecnologia_principal <> 'Unknown' THEN concat('lang_', tecnologia_principal) END,
  CASE WHEN framework_herramienta <> 'Unknown' THEN concat('fw_', framework_herramienta) END], lambda x: x IS NOT NULL) AS items
@@ -80,6 +81,29 @@ def _(t):
     return mining.kmeans(mining.cluster_features(fact(t)), mining.cluster_count(rows)).assigned
 
 
+@query(
+    "kmeans_checks",
+    f"""SELECT count(*) AS filas, greatest(2, least(5, count(*) // 20)) AS k, greatest(2, least(5, count(*) // 20)) AS usados,
+ CAST(0 AS BIGINT) AS lejos_de_su_centro, true AS coste_cuadra FROM ({FACT}) WHERE fuente_datos = 'perfiles_habilidades'""",
+)
+def _(t):
+    """Every row lies at its nearest center, all clusters are used and the distances add up to the cost.
+
+    The model states the cost before the last, small move of its centers, which can only lower it.
+    """
+    found = mining.kmeans(mining.cluster_features(fact(t)), mining.cluster_count(t.profiles.count()))
+    axes = [F.col(f"{c}_z") for c in mining.CLUSTER_FEATURES]
+    away = [sum((x - F.lit(v)) * (x - F.lit(v)) for x, v in zip(axes, center, strict=True)) for center in found.centers]
+    own = F.element_at(F.array(*away), F.col("cluster"))
+    return found.assigned.agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.lit(found.k).cast("long").alias("k"),
+        F.count_distinct("cluster").alias("usados"),
+        F.count_if(own > F.array_min(F.array(*away)) + 1e-9).alias("lejos_de_su_centro"),
+        F.sum(own).between(found.cost * 0.99, found.cost * (1 + 1e-9)).alias("coste_cuadra"),
+    )
+
+
 @query("cluster_profile", f"{WITH_ASSIGNED} {PROFILE}")
 def _(t):
     return rounded(mining.cluster_profile(assigned(t)), 2)
@@ -124,9 +148,25 @@ def _linear_predictions(t):
     return mining.fit_linear(_regression(t))[1].select("id_registro", "label", "prediction")
 
 
-@query("linear_regression_multi")
+# Least squares of three features on the training rows, each feature made orthogonal to those before it.
+LEAST_SQUARES = f"""{WITH_KNOWN}, d AS (SELECT id_registro, inversion_usd AS x1, duracion_meses AS x2, satisfaccion_promedio AS x3, label,
+ CAST(CAST('0x' || substr(md5(id_registro), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE < 0.3 AS prueba FROM ({REG})),
+ a AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(label) AS my, regr_slope(x2, x1) AS b21, regr_slope(x3, x1) AS b31
+ FROM d WHERE NOT prueba),
+ e AS (SELECT id_registro, label, prueba, my, x1 - m1 AS u1, x2 - m2 - b21 * (x1 - m1) AS u2, x3 - m3 - b31 * (x1 - m1) AS v3 FROM d, a),
+ f AS (SELECT sum(v3 * u2) / sum(u2 * u2) AS b32 FROM e WHERE NOT prueba),
+ g AS (SELECT e.*, v3 - b32 * u2 AS u3 FROM e, f),
+ h AS (SELECT sum((label - my) * u1) / sum(u1 * u1) AS c1, sum((label - my) * u2) / sum(u2 * u2) AS c2,
+ sum((label - my) * u3) / sum(u3 * u3) AS c3 FROM g WHERE NOT prueba)"""
+
+
+@query(
+    "linear_regression_multi",
+    f"""{LEAST_SQUARES} SELECT id_registro, {r("label", 4)} AS label, {r("my + c1 * u1 + c2 * u2 + c3 * u3", 4)} AS prediction
+ FROM g, h WHERE prueba""",
+)
 def _(t):
-    return _linear_predictions(t)
+    return rounded(_linear_predictions(t), 4)
 
 
 @query("rf_regression")
@@ -195,6 +235,24 @@ def _(t):
     return mining.classification_scores(mining.fit_logistic(_classification(t))[1])
 
 
+TESTED = f"""SELECT count(*) FILTER (label = 1) AS positivos, count(*) FILTER (label = 0) AS negativos FROM ({HASHED}) JOIN
+ (SELECT label, quantile_cont(h, 0.3) AS cut FROM ({HASHED}) GROUP BY label) USING (label) WHERE h <= cut"""
+
+
+@query("classifier_checks", f"SELECT modelo, t.* FROM ({TESTED}) t, (VALUES ('bosque'), ('logistica')) m(modelo)")
+def _(t):
+    """Both models judge every test row of both labels."""
+    table = settle(_classification(t))
+    scores = {
+        "bosque": mining.classification_scores(mining.fit_forest_classifier(table)[1]),
+        "logistica": mining.classification_scores(mining.fit_logistic(table)[1]),
+    }
+    right = F.col("verdaderos_positivos") + F.col("falsos_negativos")
+    wrong = F.col("falsos_positivos") + F.col("verdaderos_negativos")
+    rows = [s.select(F.lit(m).alias("modelo"), right.alias("positivos"), wrong.alias("negativos")) for m, s in scores.items()]
+    return rows[0].unionByName(rows[1])
+
+
 PREDICTED = f"""SELECT label, CASE WHEN nivel_experiencia = 'Senior' OR salario_usd > 70000 THEN 1 ELSE 0 END AS prediction FROM ({LABELLED})"""
 
 

@@ -3,7 +3,10 @@
 The built-in exact percentile keeps every distinct value of a group in one task. Here a first
 scan builds a quantile sketch, whose error bound brackets each wanted rank. The second scan
 keeps the values inside the brackets and only counts those between them, before anything is
-shuffled. The ranks are then exact, and a group of n rows sends about 6n/accuracy values on.
+shuffled. A group of n rows sends about 6n/accuracy values on. Where those are still more than
+one task should order, they are cut into cells whose exact counts tell which cells hold the wanted
+ranks, and only these are cut again: no window ever sees more than ``limit`` rows of a group. If a
+bracket missed its rank after all, the work is done again with wider ones.
 """
 
 from __future__ import annotations
@@ -15,54 +18,153 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.lookup import fits_broadcast
+from millrace.operators.slices import cuts_below
 from millrace.session import settle
 
 ACCURACY = 100_000
+#: Half the width of a bracket, in sketch errors.
+SLACK = 3.0
+#: Rows of a group that the last window orders, at most.
+LIMIT = 200_000
 
 
-def _brackets(values: DataFrame, group: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
-    slack = 3.0 / accuracy
-    marks = [m for p in probs for m in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = values.groupBy(*group).agg(
-        F.count("__x").alias("__n"),
-        F.min("__x").alias("__min"),
-        F.max("__x").alias("__max"),
-        F.percentile_approx("__x", marks, accuracy).alias("__marks"),
+def _number(column: str) -> Column:
+    """The column as double, NaN as null."""
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _brackets(
+    df: DataFrame, columns: Sequence[str], keys: list[str], probs: Sequence[float], accuracy: int, slack: float = SLACK
+) -> DataFrame:
+    """(keys…, column, __n, lo0, hi0, lo1, …) of each group and column with values, from one aggregate."""
+    width = slack / accuracy
+    marks = [m for p in probs for m in (max(0.0, p - width), min(1.0, p + width))]
+    sketch = df.groupBy(*keys).agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count(_number(c)).alias("__n"),
+                F.min(_number(c)).alias("__min"),
+                F.max(_number(c)).alias("__max"),
+                F.percentile_approx(_number(c), marks, accuracy).alias("__marks"),
+            ).alias(f"__s{i}")
+            for i, c in enumerate(columns)
+        ]
     )
+    rows = sketch.select(*keys, F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(columns))]))).where("__n > 0")
     # In a small group the slack is less than one rank: all of its values are candidates.
     small = F.col("__n") <= 2 * accuracy
-    lows, highs = [], []
+    ends = []
     for i, p in enumerate(probs):
-        lows.append(
-            F.when(small | F.lit(p - slack <= 0), F.col("__min")).otherwise(F.col("__marks")[2 * i]).alias(f"lo{i}")
-        )
-        highs.append(
-            F.when(small | F.lit(p + slack >= 1), F.col("__max"))
-            .otherwise(F.col("__marks")[2 * i + 1])
-            .alias(f"hi{i}")
+        low = F.when(small | F.lit(p - width <= 0), F.col("__min")).otherwise(F.col("__marks")[2 * i])
+        high = F.when(small | F.lit(p + width >= 1), F.col("__max")).otherwise(F.col("__marks")[2 * i + 1])
+        ends += [low.alias(f"lo{i}"), high.alias(f"hi{i}")]
+    return rows.select(*keys, "column", "__n", *ends)
+
+
+def _placed(x: Column, lows: Sequence[Column], highs: Sequence[Column]) -> tuple[Column, Column]:
+    """Whether a value is a candidate, and what it is counted under: itself or the last bracket below it."""
+    inside = reduce(lambda a, b: a | b, [x.between(low, high) for low, high in zip(lows, highs, strict=True)])
+    passed = [F.when(x > high, high) for high in highs]
+    below = passed[0] if len(passed) == 1 else F.greatest(*passed)
+    return inside, F.when(inside, x).otherwise(below)
+
+
+def _whole_table(df: DataFrame, bounds: Sequence, probs: Sequence[float]) -> DataFrame:
+    """Values of a table without keys: the brackets, one row per column, are literals."""
+    entries = []
+    for row in bounds:
+        lows, highs = ([F.lit(row[f"{end}{i}"]) for i in range(len(probs))] for end in ("lo", "hi"))
+        x = _number(row["column"])
+        inside, value = _placed(x, lows, highs)
+        entry = F.struct(
+            F.lit(row["column"]).alias("column"), F.lit(row["__n"]).alias("__n"), inside.alias("__in"), value.alias("__v")
         )
-    return sketch.select(*group, "__n", *lows, *highs)
+        entries.append(F.when(x.isNotNull(), entry))
+    return df.select(F.inline(F.array(*entries))).where(F.col("column").isNotNull())
 
 
-def _with_brackets(
-    values: DataFrame, brackets: DataFrame, keys: list[str], group: list[str], columns: int
-) -> DataFrame:
-    """Each value with the size and the brackets of its group.
+def _by_group(df: DataFrame, columns: Sequence[str], keys: list[str], brackets: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Values of a table with keys, joined to the brackets of their group."""
+    entries = [F.struct(F.lit(c).alias("column"), _number(c).alias("__x")) for c in columns]
+    if len(columns) == 1:
+        spread = df.select(*keys, F.lit(columns[0]).alias("column"), _number(columns[0]).alias("__x"))
+    else:
+        spread = df.select(*keys, F.inline(F.array(*entries)))
+    tagged = _match(spread.where(F.col("__x").isNotNull()), brackets, [*keys, "column"])
+    span = range(len(probs))
+    inside, value = _placed(F.col("__x"), [F.col(f"lo{i}") for i in span], [F.col(f"hi{i}") for i in span])
+    return tagged.select(*keys, "column", "__n", inside.alias("__in"), value.alias("__v"))
 
-    One column without keys has one group, read as a scalar. More columns have a row each.
-    With keys the number of groups is looked at, on brackets that are worked out once.
-    """
-    names = [c for c in brackets.columns if c not in group]
-    if not keys and columns == 1:
-        one = brackets.agg(F.first(F.struct(*names))).scalar()
-        return values.withColumn("__b", one).select(*group, "__x", "__b.*")
-    if keys:
-        brackets = settle(brackets)
-    right = brackets.select(*[F.col(g).alias(f"__g_{g}") for g in group], *names)
-    if not keys or fits_broadcast(brackets):
+
+def _match(df: DataFrame, table: DataFrame, group: list[str]) -> DataFrame:
+    """Each row with the row of its group, whose number is looked at."""
+    right = table.select(*[F.col(g).alias(f"__g_{g}") for g in group], *[c for c in table.columns if c not in group])
+    if fits_broadcast(table):
         right = F.broadcast(right)
-    match = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group])
-    return values.join(right, match)
+    return df.join(right, reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group]))
+
+
+def _positions(probs: Sequence[float]) -> list[Column]:
+    return [F.lit(p) * (F.col("__n") - 1) for p in probs]
+
+
+def _narrowed(counts: DataFrame, group: list[str], probs: Sequence[float], cells: int) -> DataFrame:
+    """The same counts with all cells that hold no wanted rank as one row each."""
+    marks = [k / cells for k in range(1, cells + 1)]
+    cuts = settle(counts.groupBy(*group).agg(F.percentile_approx("__v", marks, 20 * cells).alias("__cuts")))
+    # the number of marks below a value; what lies below all brackets has a null and a cell of its own
+    celled = _match(counts, cuts, group).withColumn("__cell", cuts_below(F.col("__cuts"), F.col("__v"), cells.bit_length()))
+    celled = celled.withColumn("__cell", F.when(F.col("__v").isNull(), -1).otherwise(F.col("__cell")))
+    sums = celled.groupBy(*group, "__n", "__cell").agg(F.sum("__c").alias("__c"))
+    upto = Window.partitionBy(*group).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
+    upper = F.sum("__c").over(upto)
+    ranks = [rank for at in _positions(probs) for rank in (F.floor(at), F.ceil(at))]
+    held = reduce(lambda a, b: a | b, [(F.col("__upto") > r) & (F.col("__upto") - F.col("__c") <= r) for r in ranks])
+    kept = settle(sums.withColumn("__upto", upper).where(held).select(*group, "__cell", F.lit(True).alias("__held")))
+    marked = _match(celled.drop(*[f"__g_{g}" for g in group]), kept.groupBy(*group).agg(F.collect_set("__cell").alias("__wanted")), group)
+    stays = F.array_contains("__wanted", F.col("__cell")) | F.col("__v").isNull()
+    value = F.when(stays, F.col("__v")).otherwise(F.col("__cuts")[F.col("__cell")])
+    return (
+        marked.select(*group, "__n", (stays & F.col("__in")).alias("__in"), value.alias("__v"), "__c")
+        .groupBy(*group, "__n", "__in", "__v")
+        .agg(F.sum("__c").alias("__c"))
+    )
+
+
+def _largest(counts: DataFrame, group: list[str]) -> int:
+    return counts.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
+def _bounded(counts: DataFrame, group: list[str], probs: Sequence[float], limit: int) -> DataFrame:
+    """Counts of at most ``limit`` rows a group. A step leaves a sixteenth of the values and a row per cell."""
+    cells = max(256, 32 * len(probs))
+    limit = max(limit, 8 * cells)
+    counts = settle(counts)
+    rows = _largest(counts, group)
+    while rows > limit:
+        counts = settle(_narrowed(counts, group, probs, cells))
+        rows, before = _largest(counts, group), rows
+        if rows >= before:
+            raise RuntimeError(f"{rows} values of a group cannot be narrowed down to {limit}")
+    return counts
+
+
+def _picked(counts: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
+    """The entries (upto, value, inside) at the ranks around each wanted position."""
+    upto = (
+        Window.partitionBy(*group)
+        .orderBy(F.col("__v").asc_nulls_first(), F.col("__in").desc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = counts.withColumn("__cum", F.sum("__c").over(upto))
+    entry = F.struct("__cum", "__v", "__in")
+    picks = []
+    for i, at in enumerate(_positions(probs)):
+        picks.append(F.min(F.when(F.col("__cum") > F.floor(at), entry)).alias(f"__lo{i}"))
+        picks.append(F.min(F.when(F.col("__cum") > F.ceil(at), entry)).alias(f"__hi{i}"))
+    return ranked.groupBy(*group, "__n").agg(*picks)
 
 
 def quantile_table(
@@ -71,56 +173,38 @@ def quantile_table(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     accuracy: int = ACCURACY,
+    slack: float = SLACK,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """Long table ``keys…, column, n, q`` where ``q`` has one value per probability.
 
-    Nulls (and NaN) are left out; a group without values has no row.
+    Nulls (and NaN) are left out; a group without values has no row. The sketch is built when this is called.
     """
-    probs = [float(p) for p in probs]
+    probs, keys = [float(p) for p in probs], list(keys)
     if probs != sorted(probs):
         raise ValueError("probabilities must ascend")
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("__x")) for c in columns]
-    if len(columns) == 1:
-        spread = df.select(*keys, F.lit(columns[0]).alias("column"), F.col(columns[0]).cast("double").alias("__x"))
-    else:
-        spread = df.select(*keys, F.inline(F.array(*entries)))
-    values = spread.where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     group = [*keys, "column"]
-    brackets = _brackets(values, group, probs, accuracy)
-    tagged = _with_brackets(values, brackets, list(keys), group, len(columns))
-
+    brackets = _brackets(df, columns, keys, probs, accuracy, slack)
+    if keys:
+        brackets = settle(brackets)
+        largest = brackets.agg(F.max("__n")).first()[0] or 0
+        values = _by_group(df, columns, keys, brackets, probs)
+    else:
+        bounds = brackets.collect()  # one row per column
+        largest = max((row["__n"] for row in bounds), default=0)
+        values = _whole_table(df, bounds, probs) if bounds else brackets.select("column", "__n", F.lit(True).alias("__in"), F.col("lo0").alias("__v"))
+    counts = values.groupBy(*group, "__n", "__in", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    large = largest > min(limit, 2 * accuracy)
+    picked = _picked(_bounded(counts, group, probs, limit) if large else counts, group, probs)
     span = range(len(probs))
-    inside = reduce(lambda a, b: a | b, [F.col("__x").between(F.col(f"lo{i}"), F.col(f"hi{i}")) for i in span])
-    passed = [F.when(F.col("__x") > F.col(f"hi{i}"), F.col(f"hi{i}")) for i in span]
-    below = passed[0] if len(passed) == 1 else F.greatest(*passed)
-    counts = (
-        tagged.select(
-            *group, "__n", inside.alias("__in"), F.when(inside, F.col("__x")).otherwise(below).alias("__v")
-        )
-        .groupBy(*group, "__n", "__in", "__v")
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    upto = (
-        Window.partitionBy(*group)
-        .orderBy(F.col("__v").asc_nulls_first(), F.col("__in").desc())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = counts.withColumn("__cum", F.sum("__c").over(upto))
-
-    picks: list[Column] = []
-    for i, p in enumerate(probs):
-        position = F.lit(p) * (F.col("__n") - 1)
-        entry = F.struct("__cum", "__v", "__in")
-        picks.append(F.min(F.when(F.col("__cum") > F.floor(position), entry)).alias(f"__lo{i}"))
-        picks.append(F.min(F.when(F.col("__cum") > F.ceil(position), entry)).alias(f"__hi{i}"))
-    picked = ranked.groupBy(*group, "__n").agg(*picks)
+    if large:
+        hits = [F.col(f"__{end}{i}")["__in"] for i in span for end in ("lo", "hi")]
+        if not picked.where(~reduce(lambda a, b: a & b, hits)).isEmpty():
+            return quantile_table(df, columns, probs, keys, accuracy, max(8 * slack, SLACK), limit)
     results = []
-    for i, p in enumerate(probs):
-        position = F.lit(p) * (F.col("__n") - 1)
-        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        value = low["__v"] + (high["__v"] - low["__v"]) * (position - F.floor(position))
-        missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-        results.append(F.when(low["__in"] & high["__in"], value).otherwise(missed))
+    for i, at in zip(span, _positions(probs), strict=True):
+        low, high = F.col(f"__lo{i}")["__v"], F.col(f"__hi{i}")["__v"]
+        results.append(low + (high - low) * (at - F.floor(at)))
     return picked.select(*group, F.col("__n").alias("n"), F.array(*results).alias("q"))
 
 

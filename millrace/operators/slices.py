@@ -29,6 +29,18 @@ def tie_breaker(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
 
 
+def cuts_below(cuts: Column, key: Column, steps: int) -> Column:
+    """How many of the ascending cut points, fewer than 2**steps, lie below the key.
+
+    Binary search as one fold: steps as columns of their own would be inlined into each other.
+    """
+    return F.aggregate(
+        F.array(*[F.lit(2**i) for i in range(steps - 1, -1, -1)]),
+        F.lit(0),
+        lambda at, step: at + F.when(F.try_element_at(cuts, at + step) < key, step).otherwise(F.lit(0)),
+    )
+
+
 def with_slice(df: DataFrame, order_key: Column, target: int = TARGET, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``__order`` (the key) and ``__slice`` (number of cut points below it)."""
     keyed = df.withColumn("__order", order_key)
@@ -41,14 +53,7 @@ def with_slice(df: DataFrame, order_key: Column, target: int = TARGET, rows_per_
         .scalar()
     )
     keyed = keyed.withColumn("__cuts", cuts)
-    # Binary search as one fold: steps as columns of their own would be inlined into each other.
-    found = F.aggregate(
-        F.array(*[F.lit(2**i) for i in range(STEPS - 1, -1, -1)]),
-        F.lit(0),
-        lambda at, step: at
-        + F.when(F.try_element_at("__cuts", at + step) < F.col("__order"), step).otherwise(F.lit(0)),
-    )
-    keyed = keyed.withColumn("__slice", found)
+    keyed = keyed.withColumn("__slice", cuts_below(F.col("__cuts"), F.col("__order"), STEPS))
     return keyed.drop("__cuts")
 
 

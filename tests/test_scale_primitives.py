@@ -53,12 +53,43 @@ def test_group_quantiles_are_exact(spark, skewed, accuracy):
 
 def test_brackets_send_few_values(spark):
     df = spark.range(400_000).select((F.xxhash64("id") % 1_000_000_007).cast("double").alias("x"))
-    values = df.select(F.lit("x").alias("column"), F.col("x").alias("__x"))
-    b = quantiles._brackets(values, ["column"], [0.5], 10_000).first()
+    b = quantiles._brackets(df, ["x"], [], [0.5], 10_000).first()
     inside = df.where(F.col("x").between(b["lo0"], b["hi0"])).count()
     assert inside <= 400_000 * 10 / 10_000
 
 
+@pytest.mark.parametrize("rows", [30_000, 120_000])
+def test_last_window_is_bounded(spark, monkeypatch, rows):
+    """However many rows there are, the last window orders at most ``limit`` rows of a group."""
+    seen = []
+    picked = quantiles._picked
+
+    def watched(counts, group, probs):
+        seen.append(quantiles._largest(counts, group))
+        return picked(counts, group, probs)
+
+    monkeypatch.setattr(quantiles, "_picked", watched)
+    frame = pd.DataFrame({"k": np.arange(rows) % 3, "x": np.random.default_rng(rows).lognormal(0, 3, rows)})
+    frame["k"] = frame["k"].clip(upper=1)
+    df = spark.createDataFrame(frame)
+    probs = [0.0, 0.25, 0.5, 1.0]
+    for keys in ([], ["k"]):
+        got = quantiles.quantile_table(df, ["x"], probs, keys, accuracy=50, limit=2_500).collect()
+        for r in got:
+            want = frame[frame["k"] == r["k"]] if keys else frame
+            np.testing.assert_allclose(r["q"], want["x"].quantile(probs), rtol=1e-12)
+        assert len(got) == (2 if keys else 1)
+    assert max(seen) <= 2_500
+
+
+def test_missed_brackets_widen(spark, skewed):
+    df = _spark_frame(spark, skewed)
+    probs = [0.1, 0.5, 0.9]
+    got = quantiles.quantile_table(df, ["x", "id"], probs, accuracy=50, slack=0.0).collect()
+    for r in got:
+        np.testing.assert_allclose(r["q"], skewed[r["column"]].quantile(probs), rtol=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(1, None)], "id long, x double")
     assert quantiles.quantile_table(df, ["x"], [0.5]).count() == 0

@@ -14,6 +14,7 @@ from millrace.functions import dates, numbers, text
 from millrace.operators.lookup import scalars
 from millrace.operators.quantiles import table_quantiles
 from millrace.operators.slices import forward_fill
+from millrace.session import written
 
 log = logging.getLogger(__name__)
 
@@ -240,6 +241,9 @@ def clean_frame(
     ``date_columns``, ``categorical_columns`` (column to allowed values) and
     ``email_columns``. Filling comes before parsing, so a median has no effect on a money
     column that is still text; ``impute_after_parse`` turns the two round.
+
+    Means, modes and deviations each read the deduplicated rows. Where there are any, these rows are
+    written to the shared folder once, when this is called.
     """
     config = dict(config or {})
     strategy = config.get("missing_strategy", {})
@@ -247,6 +251,8 @@ def clean_frame(
     thousands = config.get("thousands")
 
     df = drop_duplicates(nan_as_null(df))
+    if strategy or present(df, numeric):
+        df = written(df, "deduplicated")
     if config.get("impute_after_parse"):
         df = parse_currency(df, numeric, thousands)
     df = fill_missing(df, strategy, order_by, keys)

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions import bands as B
 from millrace.functions.numbers import round_half_even
-from millrace.operators.lookup import fits_broadcast, join_lookup, scalars
+from millrace.operators.lookup import fits_broadcast, join_lookup
 from millrace.operators.quantiles import group_medians, table_quantiles
 from millrace.operators.slices import rank_within
-from millrace.operators.warehouse import counts_by
+from millrace.operators.warehouse import counts_of, fact_counts
 from millrace.session import settle
 
 # Country to region, cluster bands by mean salary, KPI names with category and
@@ -55,14 +55,21 @@ def kpi_table(fact: DataFrame, model_kpis: Mapping[str, float] | None = None) ->
     ``model_kpis`` may give ``clusters`` and ``accuracy`` of the mining run. Salary figures
     are left out when no salary is known.
     """
-    places = fact.select("pais_normalizado", "ciudad_normalizada").distinct()
-    counted = scalars(
-        places, countries=F.count_distinct("pais_normalizado"), cities=F.count_distinct("ciudad_normalizada")
-    )
+    counts = fact_counts(fact, ["fuente_datos", "pais_normalizado", "ciudad_normalizada"])
+
+    def known(column: str) -> Column:
+        return F.count_if((F.col("columna") == column) & F.col("clave").isNotNull())
+
+    def total(column: str) -> Column:
+        return F.max(F.when(F.col("columna").isNull(), F.col(column)))
+
     middle = table_quantiles(fact, ["salario_usd"], [0.5])["salario_usd"][0]
-    totals = fact.agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("salario_usd").alias("mean"), F.max("salario_usd").alias("top")
-    ).withColumns({"places": counted, "median": middle})
+    totals = counts.agg(
+        F.coalesce(total("registros"), F.lit(0)).alias("rows"),
+        total("salario_promedio").alias("mean"),
+        total("salario_maximo").alias("top"),
+        F.struct(known("pais_normalizado").alias("countries"), known("ciudad_normalizada").alias("cities")).alias("places"),
+    ).withColumn("median", middle)
 
     def entry(name: str, value: Column, category: str, form: str) -> Column:
         return F.struct(
@@ -84,8 +91,8 @@ def kpi_table(fact: DataFrame, model_kpis: Mapping[str, float] | None = None) ->
     if "accuracy" in models:
         entries.append(entry("Precisión Modelo ML", F.lit(models["accuracy"]), "Análisis ML", "Porcentaje"))
     figures = totals.select(F.inline(F.array(*entries))).where(F.col("Valor").isNotNull())
-    sources = counts_by(fact, "fuente_datos").select(
-        F.concat(F.lit("Registros "), "fuente_datos").alias("KPI"),
+    sources = counts_of(counts, "fuente_datos").select(
+        F.concat(F.lit("Registros "), "clave").alias("KPI"),
         F.col("registros").cast("double").alias("Valor"),
         F.lit("Fuentes").alias("Categoria"),
         F.lit("Entero").alias("Formato"),
@@ -284,7 +291,7 @@ def bi_tables(
         "clusters": None if cluster_profile is None else cluster_table(cluster_profile),
         "geography": geography_table(fact),
         "technology": technology_table(fact),
-        "time_metrics": period_table(fact, date),
+        "time_metrics": settle(period_table(fact, date)),
     }
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import bands as B
 from millrace.functions.text import fold_accents, title_case
 from millrace.operators.quantiles import table_quantiles
+from millrace.session import settle
 
 # Source tags, the fact's columns in order with their types, and which source
 # column fills which fact column.
@@ -215,42 +217,94 @@ def band_distribution(df: DataFrame, column: str, bands: B.Bands) -> DataFrame:
     return df.agg(F.array(*entries).alias("r")).select(F.inline("r"))
 
 
+def fact_counts(fact: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per value of each column and over all, from one scan: ``columna, clave, registros`` and the totals.
+
+    The row without a column holds the totals; those of the others are not asked for. A table of one row
+    per value is worked out once and read by all that need a part of it.
+    """
+    sets = [[c] for c in columns] + [[]]
+    grouped = fact.select(*columns, "salario_usd", "anos_experiencia").groupingSets(sets, *columns).agg(
+        F.grouping_id().alias("__set"),
+        F.count(F.lit(1)).alias("registros"),
+        F.count("salario_usd").alias("salarios"),
+        F.avg("salario_usd").alias("salario_promedio"),
+        F.max("salario_usd").alias("salario_maximo"),
+        F.count("anos_experiencia").alias("experiencias"),
+        F.avg("anos_experiencia").alias("experiencia_promedio"),
+    )
+    everything = 2 ** len(columns) - 1
+    names = [F.when(F.col("__set") == everything - 2 ** (len(columns) - 1 - i), F.lit(c)) for i, c in enumerate(columns)]
+    key = F.coalesce(*[F.col(c).cast("string") for c in columns])
+    return settle(grouped.select(F.coalesce(*names).alias("columna"), key.alias("clave"), *grouped.columns[len(columns) + 1 :]))
+
+
+def counts_of(counts: DataFrame, column: str) -> DataFrame:
+    return counts.where(F.col("columna") == column)
+
+
 def warehouse_summary(fact: DataFrame) -> DataFrame:
-    """The whole summary as long rows ``seccion, metrica, clave, valor``."""
-
-    def rows(df: DataFrame, section: str, metric: str, key: str, value: str) -> DataFrame:
-        return df.select(
-            F.lit(section).alias("seccion"),
-            F.lit(metric).alias("metrica"),
-            F.col(key).cast("string").alias("clave"),
-            F.col(value).cast("double").alias("valor"),
-        )
+    """The whole summary as long rows ``seccion, metrica, clave, valor``: one scan for counts and means, two for the median."""
+    counts = fact_counts(
+        fact,
+        [
+            "fuente_datos", "pais_normalizado", "ciudad_normalizada", "rango_salario", "nivel_experiencia_grupo",
+            "tecnologia_principal", "framework_herramienta",
+        ],
+    )
+
+    def rows(df: DataFrame, section: str, metric: str) -> DataFrame:
+        value = F.col("registros").cast("double").alias("valor")
+        return df.select(F.lit(section).alias("seccion"), F.lit(metric).alias("metrica"), "clave", value)
+
+    def per_value(column: str) -> DataFrame:
+        return counts_of(counts, column)
+
+    def top(column: str, k: int) -> DataFrame:
+        return per_value(column).where("clave is not null").orderBy(F.desc("registros"), F.asc("clave")).limit(k)
+
+    def per_band(column: str, bands: B.Bands) -> DataFrame:
+        entries = [
+            F.struct(
+                F.lit(label).alias("clave"),
+                F.coalesce(F.sum(F.when(F.col("clave") == label, F.col("registros"))), F.lit(0)).alias("registros"),
+            )
+            for label in bands.labels
+        ]
+        return per_value(column).agg(F.array(*entries).alias("r")).select(F.inline("r"))
+
+    def known(column: str) -> Column:
+        return F.count_if((F.col("columna") == column) & F.col("clave").isNotNull())
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("columna").isNull(), F.col(column))), F.lit(0))
 
-    def unpivoted(df: DataFrame, section: str) -> DataFrame:
-        entries = [F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in df.columns]
-        flat = df.select(F.inline(F.array(*entries)))
-        return flat.select(
-            F.lit(section).alias("seccion"), F.col("m").alias("metrica"),
-            F.lit(None).cast("string").alias("clave"), F.col("v").alias("valor"),
+    middle = table_quantiles(fact, ["salario_usd"], [0.5])["salario_usd"][0]
+    figures = [
+        ("resumen_general", "total_registros", total("registros")),
+        ("distribucion_geografica", "paises_unicos", known("pais_normalizado")),
+        ("distribucion_geografica", "ciudades_unicas", known("ciudad_normalizada")),
+        ("metricas_salariales", "registros_con_salario", total("salarios")),
+        ("metricas_salariales", "salario_promedio", total("salario_promedio")),
+        ("metricas_salariales", "salario_mediano", F.coalesce(middle, F.lit(0.0))),
+        ("metricas_experiencia", "registros_con_experiencia", total("experiencias")),
+        ("metricas_experiencia", "experiencia_promedio", total("experiencia_promedio")),
+    ]
+    entries = [
+        F.struct(
+            F.lit(section).alias("seccion"), F.lit(metric).alias("metrica"),
+            F.lit(None).cast("string").alias("clave"), value.cast("double").alias("valor"),
         )
-
+        for section, metric, value in figures
+    ]
     parts = [
-        unpivoted(fact.agg(F.count(F.lit(1)).alias("total_registros")), "resumen_general"),
-        rows(counts_by(fact, "fuente_datos"), "resumen_general", "fuentes_datos", "fuente_datos", "registros"),
-        unpivoted(
-            distinct_places(fact).select(F.col("paises").alias("paises_unicos"), F.col("ciudades").alias("ciudades_unicas")),
-            "distribucion_geografica",
-        ),
-        rows(top_k(fact, "pais_normalizado", 5), "distribucion_geografica", "top_paises", "pais_normalizado", "registros"),
-        rows(top_k(fact, "ciudad_normalizada", 5), "distribucion_geografica", "top_ciudades", "ciudad_normalizada", "registros"),
-        unpivoted(salary_metrics(fact), "metricas_salariales"),
-        rows(band_distribution(fact, "rango_salario", B.SALARY_RANGE), "metricas_salariales", "distribucion_rangos", "banda", "registros"),
-        unpivoted(experience_metrics(fact), "metricas_experiencia"),
-        rows(band_distribution(fact, "nivel_experiencia_grupo", B.EXPERIENCE), "metricas_experiencia", "distribucion_niveles", "banda", "registros"),
-        rows(top_k(fact, "tecnologia_principal", 10), "tecnologias_populares", "lenguajes", "tecnologia_principal", "registros"),
-        rows(top_k(fact, "framework_herramienta", 10), "tecnologias_populares", "frameworks", "framework_herramienta", "registros"),
+        counts.agg(F.array(*entries).alias("r")).select(F.inline("r")),
+        rows(per_value("fuente_datos"), "resumen_general", "fuentes_datos"),
+        rows(top("pais_normalizado", 5), "distribucion_geografica", "top_paises"),
+        rows(top("ciudad_normalizada", 5), "distribucion_geografica", "top_ciudades"),
+        rows(per_band("rango_salario", B.SALARY_RANGE), "metricas_salariales", "distribucion_rangos"),
+        rows(per_band("nivel_experiencia_grupo", B.EXPERIENCE), "metricas_experiencia", "distribucion_niveles"),
+        rows(top("tecnologia_principal", 10), "tecnologias_populares", "lenguajes"),
+        rows(top("framework_herramienta", 10), "tecnologias_populares", "frameworks"),
     ]
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return reduce(DataFrame.unionByName, parts)

@@ -88,8 +88,14 @@ def run_metrics(
     run_time: datetime,
     fact: DataFrame | None = None,
     extra: Mapping[str, str] | None = None,
+    summary: DataFrame | None = None,
+    exported: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """One nested row: records, verdicts, quality and duplicates removed. ``extra`` are texts."""
+    """One nested row: records, verdicts, quality and duplicates removed. ``extra`` are texts.
+
+    With a fact its summary (``seccion, metrica, clave, valor``) becomes a section, with the rows of the
+    exported tables their number and all their rows.
+    """
     names = {name: S.SOURCE_TAGS.get(name, name) for name in loaded}
 
     def count(df: DataFrame) -> F.Column:
@@ -110,14 +116,24 @@ def run_metrics(
     if fact is not None:
         row = row.withColumn("__fact", count(fact))
         processed.append(F.col("__fact").alias("warehouse_consolidado"))
+    sections = {}
+    if summary is not None:
+        entry = F.struct("seccion", "metrica", "clave", "valor")
+        sections["warehouse_consolidado"] = summary.agg(F.sort_array(F.collect_list(entry))).scalar()
+    if exported is not None:
+        sections["exportacion"] = F.struct(
+            F.lit(len(exported)).cast("long").alias("datasets_created"),
+            F.lit(sum(exported.values())).cast("long").alias("total_records"),
+        )
     removed = [(F.col(f"__in_{tag}") - F.col(f"__out_{tag}")).alias(tag) for tag in names.values()]
     return row.select(
         F.lit(run_time.isoformat()).alias("fecha_ejecucion"),
-        F.struct(*processed, total, F.col("q.score").alias("puntuacion_calidad_datos")).alias("registros_procesados"),
+        F.struct(*processed, total, F.lit(run_time.isoformat()).alias("fecha_procesamiento"), F.col("q.score").alias("puntuacion_calidad_datos")).alias("registros_procesados"),
         F.struct(*[verdict(tag).alias(tag) for tag in names.values()]).alias("resultados_validacion"),
         F.struct(F.col("q.band").alias("estado_general"), F.struct(*removed).alias("duplicados_eliminados")).alias(
             "resumen_calidad"
         ),
+        *[section.alias(name) for name, section in sections.items()],
         *[F.lit(text).alias(name) for name, text in (extra or {}).items()],
     )
 
@@ -165,6 +181,7 @@ def run_three_sources(
     metrics = run_metrics(
         raws, loaded, reports, run_time, fact,
         {"tablas_bi": ",".join(written), "analisis_mineria_datos": json.dumps(results, ensure_ascii=False)},
+        spark.read.parquet(f"{out}/summary"), written,
     )
     write_json_document(metrics, f"{out}/metrics")
     return spark.read.json(f"{out}/metrics")

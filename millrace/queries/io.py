@@ -94,17 +94,27 @@ def _(t):
 RUN = datetime(2024, 11, 16, 10, 30)
 
 
+FILLED = {
+    "empleos": ("jobs", ("id_oferta", "ciudad", "pais", "lenguaje", "nivel_seniority", "salario_anual_usd")),
+    "perfiles": ("profiles", ("id_persona", "edad", "ciudad", "pais", "lenguajes_dominio", "salario_actual_usd")),
+}
+
+
 @query(
     "report_appended",
-    """SELECT 'empleos' AS dataset, 'completeness' AS part, count(*) AS checks FROM (SELECT unnest(range(7)))
- UNION ALL SELECT 'perfiles', 'completeness', count(*) FROM (SELECT unnest(range(6)))""",
+    " UNION ALL ".join(
+        f"""SELECT '{dataset}' AS dataset, '{c}' AS "column", CAST(count({c}) AS DOUBLE) AS filled,
+ {r(f"count({c}) * 100.0 / count(*)", 2)} AS pct FROM {{{table}}}"""
+        for dataset, (table, columns) in FILLED.items()
+        for c in columns
+    ),
 )
 def _(t):
     path = scratch_path(t.spark, "report")
-    for name, df in (("empleos", t.orders), ("perfiles", t.customer)):
-        sinks.append_report(validate.validation_report(df, {}, name, as_of=RUN), path)
-    written = t.spark.read.parquet(path).where("part = 'completeness'")
-    return written.groupBy("dataset", "part").agg(F.count(F.lit(1)).alias("checks"))
+    for name, (table, columns) in FILLED.items():
+        sinks.append_report(validate.validation_report(getattr(t, table).select(*columns), {}, name, as_of=RUN), path)
+    both = t.spark.read.parquet(path).where("part = 'completeness' AND column IS NOT NULL")
+    return rounded(both.select("dataset", "column", F.col("value").alias("filled"), "pct"), 2)
 
 
 @query(
@@ -112,6 +122,7 @@ def _(t):
     f"""WITH c AS (SELECT count(*) AS n FROM {{copied}}), o AS (SELECT count(*) AS n FROM orders), p AS (SELECT count(*) AS n,
  (count(edad) + count(salario_actual_usd)) * 50.0 / count(*) AS filled FROM {{profiles}})
  SELECT '2024-11-16T10:30:00' AS fecha_ejecucion, o.n AS empleos, p.n AS perfiles, o.n + p.n AS total_registros,
+ '2024-11-16T10:30:00' AS fecha_procesamiento, CAST(2 AS BIGINT) AS datasets_created, o.n + p.n AS total_records,
  {r("(100 + round_even(filled * 100.0, 0) / 100.0) / 2", 2)} AS puntuacion, 'passed' AS estado_empleos,
  CASE WHEN (100 + filled) / 2 > 90 THEN 'EXCELENTE' ELSE 'BUENO' END AS estado_general,
  c.n - o.n AS duplicados_empleos, CAST(0 AS BIGINT) AS duplicados_perfiles FROM c, o, p""",
@@ -122,7 +133,8 @@ def _(t):
     reports = validate.validation_report(loaded["jobs"], {}, "empleos", as_of=RUN).unionByName(
         validate.validation_report(people.drop("id_persona"), {}, "perfiles", as_of=RUN)
     )
-    metrics = runs.run_metrics({"jobs": jobs, "profiles": people}, loaded, reports, RUN)
+    exported = sinks.write_tables(loaded, scratch_path(t.spark, "exported"))
+    metrics = runs.run_metrics({"jobs": jobs, "profiles": people}, loaded, reports, RUN, exported=exported)
     path = scratch_path(t.spark, "metrics")
     sinks.write_json_document(metrics, path)
     read = t.spark.read.schema(metrics.schema).json(path)
@@ -132,6 +144,9 @@ def _(t):
             "registros_procesados.empleos",
             "registros_procesados.perfiles",
             "registros_procesados.total_registros",
+            "registros_procesados.fecha_procesamiento",
+            "exportacion.datasets_created",
+            "exportacion.total_records",
             F.col("registros_procesados.puntuacion_calidad_datos").alias("puntuacion"),
             F.col("resultados_validacion.empleos").alias("estado_empleos"),
             "resumen_calidad.estado_general",

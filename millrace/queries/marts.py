@@ -8,7 +8,7 @@ from millrace.functions import bands as B
 from millrace.operators import marts, mining
 from millrace.queries.base import query, r, rounded
 from millrace.queries.transform import band_sql
-from millrace.queries.warehouse import FACT, RUN, fact
+from millrace.queries.warehouse import FACT, RUN, fact, stored_fact
 
 
 @query(
@@ -179,6 +179,6 @@ def _(t):
 )
 def _(t):
     tables = marts.bi_tables(
-        fact(t), RUN, mining.cluster_profile(assigned(t)), {"clusters": 5, "accuracy": 0.71}, "fecha_referencia"
+        stored_fact(t), RUN, mining.cluster_profile(assigned(t)), {"clusters": 5, "accuracy": 0.71}, "fecha_referencia"
     )
     return marts.export_summary(tables)

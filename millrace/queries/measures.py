@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import marts, measures, mining
 from millrace.queries.base import query, r, rounded
 from millrace.queries.marts import CLUSTER_SQL, GEO_RANKED, TECH, WITH_ASSIGNED, assigned
-from millrace.queries.warehouse import FACT, fact
+from millrace.queries.warehouse import FACT, fact, stored_fact
 
 
 @query(
@@ -17,8 +17,9 @@ from millrace.queries.warehouse import FACT, fact
  LEFT JOIN (SELECT * FROM ({TECH}) WHERE "Tipo" = 'Lenguaje' AND "Popularidad_Rank" <= 15) k ON f.tecnologia_principal = k."Tecnologia" """,
 )
 def _(t):
-    rows = fact(t).select("id_registro", "pais_normalizado", "tecnologia_principal")
-    return rounded(measures.star_join(rows, marts.geography_table(fact(t)), marts.technology_table(fact(t))), 2)
+    stored = stored_fact(t)
+    rows = stored.select("id_registro", "pais_normalizado", "tecnologia_principal")
+    return rounded(measures.star_join(rows, marts.geography_table(stored), marts.technology_table(stored)), 2)
 
 
 @query(

@@ -12,6 +12,7 @@ from millrace.operators.transform import date_parts
 from millrace.queries.base import query, r, rounded
 from millrace.queries.clean import title_sql
 from millrace.queries.transform import band_sql
+from millrace.session import written
 
 RUN = datetime(2024, 11, 16, 10, 30)
 RUN_SQL = "TIMESTAMP '2024-11-16 10:30:00'"
@@ -51,6 +52,11 @@ def fact(t):
     return wh.add_derived(unified(t))
 
 
+def stored_fact(t):
+    """The fact as a run stores it, for queries that read it several times."""
+    return written(fact(t), "fact")
+
+
 def ntz(df):
     """Wall-clock timestamps, as the comparison engine has them."""
     for name, kind in df.dtypes:

@@ -57,3 +57,10 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several later jobs read to the shared folder and read it back, so that they scan columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from millrace.sources.csv import write_csv
 
@@ -25,13 +26,15 @@ def write_table(
 
 def write_tables(
     tables: Mapping[str, DataFrame | None], folder: str, fmt: str = "parquet", mode: str = "errorifexists"
-) -> list[str]:
-    """Write every table that has rows below the folder; return the names written."""
-    written = []
+) -> dict[str, int]:
+    """Write every table that has rows below the folder; return the names written with their rows, counted on the way."""
+    written = {}
     for name, df in tables.items():
         if df is not None and not df.isEmpty():
-            write_table(df, f"{folder.rstrip('/')}/{name}", fmt, mode)
-            written.append(name)
+            seen = Observation(name)
+            counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            write_table(counted, f"{folder.rstrip('/')}/{name}", fmt, mode)
+            written[name] = seen.get["rows"]
     return written
 
 

@@ -61,6 +61,15 @@ def test_three_sources(spark, files, tmp_path):
     assert removed["empleos"] > 0 and removed["perfiles"] > 0
     assert metrics["resultados_validacion"]["perfiles"] == "failed"  # ages from 0 up
 
+    assert processed["fecha_procesamiento"] == RUN.isoformat()
+    totals = {(r["seccion"], r["metrica"]): r["valor"] for r in metrics["warehouse_consolidado"] if r["clave"] is None}
+    assert totals["resumen_general", "total_registros"] == sum(sizes.values())
+    names = metrics["tablas_bi"].split(",")
+    assert metrics["exportacion"]["datasets_created"] == len(names) == 6
+    assert metrics["exportacion"]["total_records"] == sum(
+        spark.read.option("header", True).csv(f"{out}/bi/{n}").count() for n in names
+    )
+
     fact = spark.read.parquet(f"{out}/fact")
     assert len(fact.columns) == 30
     jobs = fact.where("fuente_datos = 'empleos_tech'")

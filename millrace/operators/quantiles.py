@@ -209,10 +209,17 @@ def quantile_table(
 
 
 def table_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> Column:
-    """Whole-table quantiles as a struct column: field per input column, array per field."""
-    table = quantile_table(df, columns, probs, **options)
-    fields = [F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in columns]
-    return table.agg(F.struct(*fields).alias("s")).scalar()
+    """Whole-table quantiles as a struct column: field per input column, array per field, null without values.
+
+    They are worked out when this is called, one row per column, so that no later job looks for them again.
+    """
+    found = {row["column"]: row["q"] for row in quantile_table(df, columns, probs, **options).collect()}
+    return F.struct(
+        *[
+            (F.array(*[F.lit(q) for q in found[c]]) if c in found else F.lit(None)).cast("array<double>").alias(c)
+            for c in columns
+        ]
+    )
 
 
 def group_medians(df: DataFrame, column: str, keys: Sequence[str], out: str, **options) -> DataFrame:

@@ -215,7 +215,8 @@ class Finder:
 def repeated(slices: DataFrame, width: int, item: int, later: bool) -> DataFrame:
     """Slices (hash, n, rank, start, owner, slice) to (owner, start, windows): stretches of windows that repeat.
 
-    ``n`` is the number of runs of the hash. ``rank`` orders owners; equal texts have equal owners and ranks.
+    ``n`` is the number of runs of the hash. Windows are compared within their hash; with ``later`` it must be a function of
+    the window. ``rank`` orders owners; equal texts have equal owners and ranks.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,10 +245,12 @@ def repeated(slices: DataFrame, width: int, item: int, later: bool) -> DataFrame
     hot = slices.filter(F.col("n") > GROUP)
     count = (F.length("slice") / item).cast("int") - width + 1
     steps = F.explode(F.sequence(F.lit(0), count - 1)).alias("step")
-    windows = hot.select("rank", "start", "owner", "slice", steps)
+    windows = hot.select("hash", "rank", "start", "owner", "slice", steps)
     cut = F.substring(F.col("slice"), F.col("step") * item + 1, F.lit(width * item))
-    windows = windows.select("rank", (F.col("start") + F.col("step")).alias("start"), "owner", cut.alias("window"))
+    # within their hash, as in a task: it may hold more than the window, like the host; with ``later`` the window gives the hash
+    by = ["window"] if later else ["hash", "window"]
+    windows = windows.select("hash", "rank", (F.col("start") + F.col("step")).alias("start"), "owner", cut.alias("window")).select(*by, "rank", "start", "owner")
     order = F.struct("rank", "start") if later else F.struct("rank")
-    ends = windows.groupBy("window").agg(F.min(order).alias("low"), F.max(order).alias("high")).filter("low < high")
-    marked = windows.join(ends, "window").filter(order > F.col("low") if later else F.lit(True))
+    ends = windows.groupBy(*by).agg(F.min(order).alias("low"), F.max(order).alias("high")).filter("low < high")
+    marked = windows.join(ends, by).filter(order > F.col("low") if later else F.lit(True))
     return found.unionByName(marked.select("owner", F.col("start").cast("long").alias("start"), F.lit(1).cast("long").alias("windows")))

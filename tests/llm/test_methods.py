@@ -43,6 +43,17 @@ def test_repeats_of_hot_hashes(spark, monkeypatch):
     assert got == kept_bytes(list(enumerate(texts)), 12)
 
 
+def test_hot_hashes_stay_in_their_host(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "GROUP", 1)
+    passage = "<p>one passage that stands once on each host</p>"
+    rows = [(h * 10 + i, f"http://h{h}.example/{i}", f"<p>page {h} {i} has words {h * 7 + i} of its own</p>" + (passage if i == 0 else "")) for h in range(2) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all("one passage that stands once on each host" in got[h * 10] for h in range(2))
+    slices = [(h, 2, 10 * h + i, 0, 10 * h + i, b"abcdef" if h < 2 or i else b"uvwxyz") for h in range(3) for i in range(2 if h else 1)]
+    frame = spark.createDataFrame(slices, "hash long, n long, rank long, start long, owner long, slice binary")
+    assert sorted(r["owner"] for r in suffixes.repeated(frame, 6, 1, later=False).collect()) == [10, 11]
+
+
 @pytest.mark.parametrize("radius", [1, 2, 4])
 def test_covering_masks_miss_no_pair(radius):
     masks = simhash.covering_masks(list(range(64)), radius)

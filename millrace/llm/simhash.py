@@ -167,12 +167,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 
 
 def cluster(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, fingerprint, …) with component_id: the smallest doc_id that links reach."""
+    """(doc_id, fingerprint, …) with root, the fingerprint that names the component, and component_id, its smallest doc_id."""
     groups = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-groups")
     roots = connected(links(groups.select(F.col("fingerprint").alias("x")), radius, bucket), "simhash-components")
     named = groups.join(roots, F.col("fingerprint") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fingerprint"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
+    ids = named.select("fingerprint", "root").join(least, "root").select("fingerprint", "root", "component_id")
     return prints.join(ids, "fingerprint")
 
 
@@ -184,11 +184,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Of each group of near-duplicates the row with the smallest doc_id, all its columns; one of rows that are equal."""
+    """Of each group of near-duplicates the row with the smallest doc_id, all its columns; one of rows that are equal.
+
+    Groups are components of fingerprints, whatever the ids: a null id is the last one, and texts that share an id but
+    are not linked both stay.
+    """
     key = F.xxhash64("doc_id", "text")
     prints = written(fingerprints(docs.select("doc_id", "text", key.alias("key_")), ["doc_id", "key_"]), "simhash-prints")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key_")
-    best = cluster(prints, radius).withColumn("root_", F.coalesce("component_id", F.lit(-1))).groupBy("root_").agg(F.min(order).alias("best"))
+    best = cluster(prints, radius).groupBy("root").agg(F.min(order).alias("best"))
     rows = docs.withColumn("key_", key).join(best.select(F.col("best.key_").alias("key_")), "key_", "left_semi")
     first = F.row_number().over(Window.partitionBy("key_").orderBy(F.lit(1)))
     return rows.withColumn("place_", first).filter("place_ = 1").select(*docs.columns)

@@ -204,6 +204,14 @@ def test_keep_one_of_equal_rows(spark):
     assert sorted(got, key=str) == sorted([1, 4, 5, 6, 7], key=str)
 
 
+def test_keep_one_of_null_and_shared_ids(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (-1, texts[4]), (None, texts[5]), (9, texts[5])]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, texts[0]), (0, texts[1]), (5, texts[2]), (5, texts[3]), (-1, texts[4]), (9, texts[5])])
+
+
 def test_language_score_range(spark):
     docs = spark.createDataFrame(CASES, "doc_id long, text string, lang string, source string")
     for r in language.predict(docs, language.train(docs), ["doc_id"]).collect():

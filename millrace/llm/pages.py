@@ -2,8 +2,9 @@
 
 A page is cut into blocks of text, in page order, with what their elements say about them: inside of the article,
 furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers), or neither. The token
-streams of all blocks outside of articles are put together by host; ``suffixes`` finds runs of ``WIDTH`` tokens or
-more that distinct pages of a host share, and tokens that such a run covers go. What stays in page
+streams of the pages outside of articles are put together by host; ``suffixes`` finds runs of ``WIDTH`` tokens or
+more that distinct pages of a host share, across the blocks of a page. Tokens of such a run inside of a block go, and
+blocks that runs cover from end to end. A block of fewer tokens that is no paragraph goes if it stands as a block on distinct pages. What stays in page
 order are the blocks of the article, whole (two pages may tell the same story), and of a page without an
 article the unique runs of its other blocks; furniture that repeats nowhere goes by its elements.
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import mixed, text_bytes, word_hashes, words
+from millrace.llm.arrays import mixed, prefix_sums, span_hashes, text_bytes, word_hashes, words
 from millrace.llm.common import written
 from millrace.llm.suffixes import repeated, runs
 
@@ -68,9 +69,9 @@ def furniture(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(source: str) -> list[tuple[int, str]]:
-    """(kind, text) of all blocks of a page with text, in page order."""
-    out: list[tuple[int, str]] = []
+def blocks(source: str) -> list[tuple[int, str, bool]]:
+    """(kind, text, whether it stands in a paragraph) of all blocks of a page with text, in page order."""
+    out: list[tuple[int, str, bool]] = []
     held: list[str] = []
     open_: list[tuple[str, int]] = []  # element, kind of what it holds
     kind, at = OTHER, 0
@@ -80,7 +81,7 @@ def blocks(source: str) -> list[tuple[int, str]]:
             text = GAPS.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                out.append((kind, text))
+                out.append((kind, text, any(n == "p" for n, _ in open_)))
 
     while m := TAG.search(source, at):
         if m.start() > at:
@@ -145,8 +146,8 @@ def _articles(pages: DataFrame, schema: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [blocks(source or "") for source in batch.column("html").to_pylist()]
-            at = [i for i, f in enumerate(found) if any(k == ARTICLE for k, _ in f)]
-            yield _extracted(batch, at, [" ".join(t for k, t in found[i] if k == ARTICLE) for i in at])
+            at = [i for i, f in enumerate(found) if any(k == ARTICLE for k, *_ in f)]
+            yield _extracted(batch, at, [" ".join(t for k, t, _ in found[i] if k == ARTICLE) for i in at])
 
     return pages.select("page_id", "url", "html").mapInArrow(work, schema)
 
@@ -164,10 +165,10 @@ def _others(pages: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(i, f) for i, f in enumerate(blocks(s or "") for s in batch.column("html").to_pylist()) if all(k != ARTICLE for k, _ in f)]
+            found = [(i, f) for i, f in enumerate(blocks(s or "") for s in batch.column("html").to_pylist()) if all(k != ARTICLE for k, *_ in f)]
             pick = pa.array([i for i, _ in found], pa.int64())
-            kinds = pa.array([[k for k, _ in f] for _, f in found], pa.list_(pa.int32()))
-            texts = pa.array([[t for _, t in f] for _, f in found], pa.list_(pa.string()))
+            kinds = pa.array([[k for k, *_ in f] for _, f in found], pa.list_(pa.int32()))
+            texts = pa.array([[t for _, t, _ in f] for _, f in found], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pick) for c in carried], kinds, texts], names=[*carried, "kinds", "texts"])
 
     return pages.select(*carried, "html").mapInArrow(work, f"{head}, kinds array<int>, texts array<string>")
@@ -181,45 +182,68 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _streams(pages: DataFrame, width: int) -> DataFrame:
-    """Runs of token windows of the blocks outside of articles, with their tokens. Starts count the tokens of the page."""
+    """Runs of token windows of a page's stream outside of articles, with their tokens. Starts count the tokens of the page.
+
+    A block shorter than a window, if no paragraph, is one more window: the hash of its tokens, filled up. Its start is -1 - that of
+    the block.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, base, page = [], [], []
+            texts, prose, pages_of = [], [], []
             for i, source in enumerate(batch.column("html").to_pylist()):
-                total = 0
-                for kind, text in blocks(source or ""):
-                    if kind != ARTICLE:
-                        texts.append(text)
-                        base.append(total)
-                        page.append(i)
-                        total += len(text.encode().split())
+                own = [b for b in blocks(source or "") if b[0] != ARTICLE]
+                texts += [text for _, text, _ in own]
+                prose += [p for *_, p in own]
+                pages_of += [i] * len(own)
             hashes, first = _tokens(texts)
-            of, start, count, least = runs(hashes, first, width, 1)
-            host = batch.column("host_hash").to_numpy()[np.array(page, np.int64)[of]] if len(of) else np.zeros(0, np.int64)
-            key = batch.column("key").to_numpy()[np.array(page, np.int64)[of]] if len(of) else np.zeros(0, np.int64)
-            begin = np.array(base, np.int64)[of] + start if len(of) else start
+            pages_of = np.array(pages_of, np.int64)
+            page_first = first[np.searchsorted(pages_of, np.arange(batch.num_rows + 1))]
+            of, start, count, least = runs(hashes, page_first, width, 1)
             tokens = hashes.astype(">u8").tobytes()
-            low, high = (first[of] + start) * 8, (first[of] + start + count + width - 1) * 8
-            slices = pa.array([tokens[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)], pa.binary())
-            groups = mixed(least.view(np.uint64) + mixed(host.view(np.uint64))).view(np.int64)  # one group per host and hash
-            arrays = [pa.array(groups), pa.array(key), pa.array(begin.astype(np.int64)), pa.array(key), slices]
+            low, high = (page_first[of] + start) * 8, (page_first[of] + start + count + width - 1) * 8
+            slices = [tokens[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            short = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < width) & ~np.array(prose, bool))
+            units = span_hashes(prefix_sums(hashes), first[short], first[short + 1]) + np.diff(first)[short].astype(np.uint64)
+            slices += [u.tobytes() + b"\xff" * (8 * width - 8) for u in units.astype(">u8")]
+            page = np.concatenate([of, pages_of[short]]).astype(np.int64)
+            begin = np.concatenate([start, page_first[pages_of[short]] - first[short] - 1]).astype(np.int64)
+            host, key = batch.column("host_hash").to_numpy()[page], batch.column("key").to_numpy()[page]
+            of_host = mixed(np.concatenate([least.view(np.uint64), mixed(units)]) + mixed(host.view(np.uint64))).view(np.int64)  # one group per host and hash
+            arrays = [pa.array(of_host), pa.array(key), pa.array(begin), pa.array(key), pa.array(slices, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["hash", "rank", "start", "owner", "slice"])
 
     return pages.select("host_hash", "key", "html").mapInArrow(work, "hash long, rank long, start long, owner long, slice binary")
 
 
-def _text(kinds: list[int], texts: list[str], spans: list[tuple[int, int]]) -> str:
-    """What no span (first token, end) covers of the blocks that are no furniture."""
-    out, at = [], 0
-    for kind, text in zip(kinds, texts, strict=True):
-        own = len(text.encode().split())  # white space of ASCII, as the streams count
+def _covered(sizes: list[int], spans: list[tuple[int, int]], width: int) -> list[np.ndarray]:
+    """Which tokens of each block (of so many tokens) go, by spans (first token, end) of repeated windows.
+
+    These are tokens of windows inside of the block, or all if spans cover all of it. A first token of -1 - place stands for the
+    block there.
+    """
+    ends = np.cumsum(sizes, dtype=np.int64)
+    inside, across = np.zeros((2, int(ends[-1]) if len(sizes) else 0), bool)
+    for a, b in spans:
+        if a < 0:
+            a, b = -1 - a, int(ends[np.searchsorted(ends, -1 - a, "right")])
+        across[a:b] = True
+        for i in range(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(ends, b, "left")) + 1):
+            low, high = max(a, int(ends[i]) - sizes[i]), min(b, int(ends[i]))
+            if high - low >= width:
+                inside[low:high] = True
+    return [c if c.all() else i for i, c in zip(np.split(inside, ends[:-1]), np.split(across, ends[:-1]), strict=True)] if len(sizes) else []
+
+
+def _text(kinds: list[int], texts: list[str], spans: list[tuple[int, int]], width: int) -> str:
+    """What no span covers of the blocks that are no furniture."""
+    sizes = [len(text.encode().split()) for text in texts]  # white space of ASCII, as the streams count
+    out = []
+    for kind, text, gone in zip(kinds, texts, _covered(sizes, spans, width), strict=True):
         if kind == OTHER:
-            tokens = re.split("[\x09-\x0d\x20]+", text)
-            kept = [t for i, t in enumerate(tokens) if t and not any(a <= at + i < b for a, b in spans)]
+            kept = [t for t, g in zip(filter(None, re.split("[\x09-\x0d\x20]+", text)), gone.tolist(), strict=True) if not g]
             if kept:
                 out.append(" ".join(kept))
-        at += own
     return " ".join(out)
 
 
@@ -238,7 +262,7 @@ def extract(pages: DataFrame, width: int = WIDTH) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*[batch.column(c).to_pylist() for c in ("kinds", "texts", "spans")], strict=True)
-            texts = [_text(k, t, [(s["start"], s["stop"]) for s in spans or []]) for k, t, spans in rows]
+            texts = [_text(k, t, [(s["start"], s["stop"]) for s in spans or []], width) for k, t, spans in rows]
             yield _extracted(batch, list(range(len(texts))), texts)
 
     rest = found.select("page_id", "url", "kinds", "texts", "spans").mapInArrow(work, schema)

@@ -160,6 +160,14 @@ def test_pages_without_article(spark):
     assert (got[7]["text"], got[7]["n_chars"], got[7]["url"], got[8]["text"], got[9]["text"]) == ("", 0, None, "", "open tag")
 
 
+def test_short_blocks_that_repeat_on_a_host(spark):
+    page = "<body><ul><li>Home<li>Our shop<li>Contact us now</ul><div>Own story {n} is told with words {m}</div><div>Share this page</div><p>Only {n}</p><div>Call us</div><div>any day but Sunday</div></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(n=i, m=i * 31)) for i in range(4)] + [(9, "http://other.example/", "<div>Share this page</div><p>and more</p>")]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == [f"Own story {i} is told with words {i * 31} Only {i}" for i in range(4)]
+    assert got[9] == "Share this page and more"
+
+
 CASES = [
     (None, None, None, None), (1, "", "en", None), (2, None, "en", "s"), (3, " \t\n", None, "s"), (3, " \t\n", None, "s"), (4, "word", "xx", "t"),
     (5, "lorem ipsum dolor sit amet " * 4000, "la", "t"), (6, "x" * 300_000, "la", "s"), (7, "a@b.co password=abcdef123456 " + "f" * 30, "en", "s"), (7, "a@b.co password=abcdef123456 " + "f" * 30, "en", "s"),

@@ -130,11 +130,11 @@ class Finder:
     """Collects groups of slices and marks their repeated windows.
 
     ``later``: mark windows for which an equal one has a smaller (rank, start); otherwise windows that
-    have an equal one of another owner.
+    have equal ones of ``owners`` owners, their own among them.
     """
 
-    def __init__(self, width: int, item: int, later: bool):
-        self.width, self.item, self.later = width, item, later
+    def __init__(self, width: int, item: int, later: bool, owners: int = 2):
+        self.width, self.item, self.later, self.owners = width, item, later, owners
         self.kept: list[tuple] = []
         self.windows = 0
         self.marks: list[tuple[int, int, int]] = []  # owner, first window, windows
@@ -149,7 +149,7 @@ class Finder:
             members.sort()
             if self.later:
                 self.marks += [(owner, start, count) for rank, start, owner in members if (rank, start) > members[0][:2]]
-            elif members[0][0] != members[-1][0]:
+            elif members[0][0] != members[-1][0] and (self.owners == 2 or len({rank for rank, *_ in members}) >= self.owners):
                 self.marks += [(owner, start, count) for _, start, owner in members]
         if len(groups) > 1:
             self.kept += [(text, members) for text, members in groups.items()]
@@ -191,6 +191,13 @@ class Finder:
             lead = np.repeat(head, np.diff(np.r_[head, len(number)]))
             r = rank[of[window]]
             flags[window] = (r > r[lead]) | ((r == r[lead]) & (at > at[lead]))
+        elif len(window) and self.owners > 2:
+            sizes = np.array([len(m) for _, m in slices])
+            ranks, at = np.array([r for _, m in slices for r, *_ in m], np.int64), np.cumsum(sizes) - sizes
+            many = sizes[of[window]]
+            inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            pairs = np.unique(np.stack([np.repeat(number, many), ranks[np.repeat(at[of[window]], many) + inner]]), axis=1)
+            flags[window] = (np.bincount(pairs[0]) >= self.owners)[number]
         elif len(window):
             low = np.full(number.max() + 1, np.iinfo(np.int64).max)
             high = np.full(number.max() + 1, np.iinfo(np.int64).min)
@@ -212,7 +219,7 @@ class Finder:
         return pa.RecordBatch.from_arrays([pa.array(marks[:, i]) for i in range(3)], names=["owner", "start", "windows"])
 
 
-def repeated(slices: DataFrame, width: int, item: int, later: bool) -> DataFrame:
+def repeated(slices: DataFrame, width: int, item: int, later: bool, owners: int = 2) -> DataFrame:
     """Slices (hash, n, rank, start, owner, slice) to (owner, start, windows): stretches of windows that repeat.
 
     ``n`` is the number of runs of the hash. Windows are compared within their hash; with ``later`` it must be a function of
@@ -220,7 +227,7 @@ def repeated(slices: DataFrame, width: int, item: int, later: bool) -> DataFrame
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, group, last = Finder(width, item, later), [], None
+        finder, group, last = Finder(width, item, later, owners), [], None
         for batch in batches:
             hashes = batch.column("hash").to_pylist()
             rows = zip(*[batch.column(c).to_pylist() for c in ("slice", "rank", "start", "owner")], strict=True)
@@ -252,5 +259,7 @@ def repeated(slices: DataFrame, width: int, item: int, later: bool) -> DataFrame
     windows = windows.select("hash", "rank", (F.col("start") + F.col("step")).alias("start"), "owner", cut.alias("window")).select(*by, "rank", "start", "owner")
     order = F.struct("rank", "start") if later else F.struct("rank")
     ends = windows.groupBy(*by).agg(F.min(order).alias("low"), F.max(order).alias("high")).filter("low < high")
+    if owners > 2:
+        ends = windows.groupBy(*by).agg(F.countDistinct("rank").alias("n_owners")).filter(F.col("n_owners") >= owners)
     marked = windows.join(ends, by).filter(order > F.col("low") if later else F.lit(True))
     return found.unionByName(marked.select("owner", F.col("start").cast("long").alias("start"), F.lit(1).cast("long").alias("windows")))

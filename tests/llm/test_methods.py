@@ -168,6 +168,31 @@ def test_short_blocks_that_repeat_on_a_host(spark):
     assert got[9] == "Share this page and more"
 
 
+def test_repeats_inside_of_articles(spark):
+    rng = random.Random(12)
+    story = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    own, post = [story(30) for _ in range(6)], story(60)
+    notice = "<div>All rights of this text are with the publisher of the site</div><div>Read more</div>"
+    rows = [(i, f"http://h.example/{i}", f"<nav>Menu</nav><article><p>{own[i]}</p>{notice}</article>") for i in range(6)]
+    # a story that stands on two pages is no boilerplate, and its longer version keeps it
+    rows += [(10 + i, f"http://h.example/p{i}", f"<article><p>{post}</p></article><p>{i}</p>") for i in range(2)]
+    rows.append((20, "http://h.example/long", f"<main><p>{post}</p><p>{own[0][::-1]} {story(200)}</p></main>"))
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(6)] == own
+    assert got[10] == got[11] == post
+    assert got[20].startswith(post)
+
+
+def test_class_words_do_not_hide_the_article():
+    text = lambda page: " ".join(t for k, t, _ in pages.blocks(page) if k == pages.ARTICLE)
+    assert text("<main class='has-sidebar'><p>one</p><div class='share'>x</div></main>") == "one"
+    assert text("<main><article class='post share-enabled'>two</article></main>") == "two"
+    assert text("<div class='with-sidebar'><article>three</article><div>x</div></div>") == "three"
+    assert text("<article>four</article><div class='related'><article>x</article></div>") == "four"
+    assert text("<article>five<article class='comment'>x</article></article>") == "five"
+    assert text("<aside><article>x</article></aside>") == ""
+
+
 CASES = [
     (None, None, None, None), (1, "", "en", None), (2, None, "en", "s"), (3, " \t\n", None, "s"), (3, " \t\n", None, "s"), (4, "word", "xx", "t"),
     (5, "lorem ipsum dolor sit amet " * 4000, "la", "t"), (6, "x" * 300_000, "la", "s"), (7, "a@b.co password=abcdef123456 " + "f" * 30, "en", "s"), (7, "a@b.co password=abcdef123456 " + "f" * 30, "en", "s"),

@@ -152,6 +152,29 @@ def test_network_finds_what_patterns_do_not(spark):
     assert sum("model:" in got[i] for i in range(300)) < 60
 
 
+def test_network_sees_all_of_a_long_run(spark):
+    rng = random.Random(8)
+    key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    rows = [(i, f"some plain words stand here password = {key(32)} and https-example-page-{i}-of-many words") for i in range(300)]
+    path = "/many-plain-words/of-a-page-path" * 3
+    rows += [(999, f"some plain words stand here passphrase {key(32)} and words"), (1000, f"some plain words stand here {path}/{key(32)}{path}-1 and words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = secrets.train(docs)
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(docs, network).collect()}
+    assert got[999] == "model:39:71" and got[1000].startswith("model:28:")
+    assert sum("model:" in got[i] for i in range(300)) < 60
+    assert secrets.windows(3, 40) == [(3, 40)] and secrets.windows(0, 100) == [(0, 48), (24, 72), (48, 96), (52, 100)]
+
+
+def test_threshold_follows_the_recall():
+    network = secrets.Network()
+    x = np.random.default_rng(1).integers(0, secrets.SYMBOLS, (200, secrets.LENGTH))
+    y = (np.arange(200) < 20).astype(np.float32)  # few positives of no pattern: their probabilities are low
+    network.calibrate(x, y)
+    assert network.threshold < 0.5
+    assert (network.probabilities(x)[y > 0] >= network.threshold).mean() >= secrets.RECALL
+
+
 def test_pages_without_article(spark):
     page = "<body><div class='cookie-banner'>We use {n} cookies</div><div>Site wide words that every page of this host shows</div><div>Own story number {n} told in {n} words</div><script>x()</script><p>Tom &amp; Ann</body>"
     rows = [(i, f"http://h.example/{i}", page.format(n=i)) for i in range(5)] + [(7, None, None), (8, "http://h.example/8", ""), (9, "http://h.example/9", "<p>open <b>tag")]

@@ -36,8 +36,9 @@ CONTEXTS = 64
 CLASSES = 16  # the last one is the end
 ROWS = 1 << 16
 FEATURES = 4
-#: Rounds of training, and the share of the training documents in each.
-ROUNDS, SHARE = 2, 8
+#: Slices of the training documents; a round of training reads one, so as many rounds read all.
+SHARE = 8
+ROUNDS = SHARE
 BATCH = 4096
 END = np.int64(0x7E0D)
 
@@ -215,7 +216,7 @@ def fit(training: DataFrame, of: np.ndarray, prior: np.ndarray, rounds: int = RO
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "seen", *[f"g{c}" for c in range(CLASSES)]])
 
         columns = ", ".join(f"g{c} double" for c in range(CLASSES))
-        some = training.filter(slice_of == turn).select("text")
+        some = training.filter(slice_of == turn % share).select("text")
         steps = some.mapInArrow(work, f"row long, seen double, {columns}").groupBy("row")
         # every row moves by the mean of the tasks that moved it
         got = steps.agg(F.sum("seen").alias("seen"), *[F.sum(f"g{c}").alias(f"g{c}") for c in range(CLASSES)]).toPandas()

@@ -152,6 +152,17 @@ def test_network_finds_what_patterns_do_not(spark):
     assert sum("model:" in got[i] for i in range(300)) < 60
 
 
+def test_training_reads_every_document(spark):
+    texts = [" ".join(f"w{i}x{k}" for k in range(20)) for i in range(24)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    of = np.arange(lm.BUCKETS + 1) % lm.CLASSES
+    table = lm.fit(docs, of, np.ones(lm.CLASSES))
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        rows = lm.Tokens(data, np.array([0, len(data)])).features()[:, 1]  # the last two words, of this text only
+        assert (table[rows[2:]] != 0).any(axis=1).all()
+
+
 def test_network_sees_all_of_a_long_run(spark):
     rng = random.Random(8)
     key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))

@@ -40,6 +40,8 @@ FEATURES = 4
 SHARE = 8
 ROUNDS = SHARE
 BATCH = 4096
+#: Rows of the weight table whose steps travel together.
+CHUNK = 1024
 END = np.int64(0x7E0D)
 
 _LETTER = np.zeros(256, bool)
@@ -194,6 +196,23 @@ def _updates(table: np.ndarray, memory: np.ndarray, tokens: Tokens, of: np.ndarr
         table[ROWS] -= (rate * g / np.sqrt(memory[ROWS])).astype(np.float32)
 
 
+def _mean_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row moves by the mean of the tasks that moved it, by their tokens."""
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for chunk, seen, moved, step in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            total, weight = sums.setdefault(chunk, (np.zeros((CHUNK, CLASSES)), np.zeros(CHUNK)))
+            at = np.frombuffer(moved, np.int32) - chunk * CHUNK
+            total[at] += np.frombuffer(step, np.float32).reshape(-1, CLASSES) * seen
+            weight[at] += seen
+    rows, means = [], []
+    for chunk, (total, weight) in sums.items():
+        at = np.flatnonzero(weight)
+        rows.append((at + chunk * CHUNK).astype(np.int32).tobytes())
+        means.append((total[at] / weight[at, None]).astype(np.float32).tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(means, pa.binary())], names=["moved", "step"])
+
+
 def fit(training: DataFrame, of: np.ndarray, prior: np.ndarray, rounds: int = ROUNDS, share: int = SHARE, rate: float = 0.1) -> np.ndarray:
     """Weights after all rounds; the last row is the bias, which starts from the classes' frequencies."""
     spark = training.sparkSession
@@ -210,18 +229,18 @@ def fit(training: DataFrame, of: np.ndarray, prior: np.ndarray, rounds: int = RO
                 for _, _, tokens in _tokens(batch):
                     _updates(own, memory, tokens, of, rate)
                     seen += len(tokens.hash)
+            # rows that moved and their steps, packed by chunks of the table
             moved = np.flatnonzero((own != start).any(axis=1))
-            step = (own[moved] - start[moved]).astype(np.float64) * seen
-            arrays = [pa.array(moved), pa.array(np.full(len(moved), float(seen))), *[pa.array(step[:, c]) for c in range(CLASSES)]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "seen", *[f"g{c}" for c in range(CLASSES)]])
+            cuts = np.searchsorted(moved, np.arange(0, ROWS + 1 + CHUNK, CHUNK))
+            parts = [(i, moved[a:b]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+            steps = [(own[m] - start[m]).tobytes() for _, m in parts]
+            arrays = [pa.array([i for i, _ in parts], pa.int64()), pa.array([float(seen)] * len(parts), pa.float64()), pa.array([m.astype(np.int32).tobytes() for _, m in parts], pa.binary()), pa.array(steps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "seen", "moved", "step"])
 
-        columns = ", ".join(f"g{c} double" for c in range(CLASSES))
         some = training.filter(slice_of == turn % share).select("text")
-        steps = some.mapInArrow(work, f"row long, seen double, {columns}").groupBy("row")
-        # every row moves by the mean of the tasks that moved it
-        got = steps.agg(F.sum("seen").alias("seen"), *[F.sum(f"g{c}").alias(f"g{c}") for c in range(CLASSES)]).toPandas()
-        if len(got):
-            table[got["row"].to_numpy()] += (got[[f"g{c}" for c in range(CLASSES)]].to_numpy() / np.maximum(got["seen"].to_numpy(), 1)[:, None]).astype(np.float32)
+        steps = some.mapInArrow(work, "chunk long, seen double, moved binary, step binary").repartition("chunk")
+        for r in steps.mapInArrow(_mean_steps, "moved binary, step binary").collect():  # a table of fixed size
+            table[np.frombuffer(r["moved"], np.int32)] += np.frombuffer(r["step"], np.float32).reshape(-1, CLASSES)
     return table
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import covertree, language, lm, mixing, pages, pii, repeats, secrets, simhash, tiling
+from millrace.llm import covertree, language, lm, mixing, pages, pieces, pii, repeats, secrets, simhash, tiling
 from millrace.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -105,3 +106,8 @@ def op10_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_extract_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(table(spark, folder, "pages"))
+
+
+@query
+def op13_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digest(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -22,25 +22,28 @@ of the vocabulary: bytes that are no UTF-8 become U+FFFD each, control symbols n
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
 from heapq import heappop, heappush
-from itertools import count
+from itertools import count, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.arrays import pieces as stretches
 from millrace.llm.common import Shared
 
 SPACE = "▁"
 #: Symbols from which on a word uses the ranks around a pair instead of those of the whole word.
 LONG = 64
 #: Words a task remembers.
-KEPT = 300_000
-#: Characters of text whose new words are joined together.
+KEPT = 200_000
+#: Bytes of text whose new words are joined together.
 STRETCH = 1 << 20
 #: Rounds after which the pairs of a word are joined one after the other.
 ROUNDS = 300
@@ -256,7 +259,7 @@ class Pieces:
         of = np.repeat(np.arange(len(counts)), counts)
         return longer, np.bincount(of, weights=times, minlength=len(counts)).astype(np.int64)
 
-    def stretches(self, text: str) -> Iterator[str]:
+    def parts(self, text: str) -> Iterator[str]:
         """The normalised text in stretches, cut where a word begins."""
         text, low = SPACE + text.replace(" ", SPACE), 0
         while self.v.leading and len(text) - low > STRETCH:
@@ -279,7 +282,7 @@ class Pieces:
             elif len(text) <= STRETCH:
                 split.append(self.split(SPACE + text.replace(" ", SPACE)))
             else:
-                out.append((len(split), b"".join(self._joined([self.split(s)])[0] for s in self.stretches(text))))
+                out.append((len(split), b"".join(self._joined([self.split(s)])[0] for s in self.parts(text))))
                 split.append([])
         found = self._joined(split)
         for i, ids in out:
@@ -290,10 +293,14 @@ class Pieces:
         known = self.known
         if len(known) > KEPT:
             known.clear()
-        new = list({w for words in split for w in words} - known.keys())
-        if new:
+        found = [list(map(known.get, words)) for words in split]
+        lack = [i for i, f in enumerate(found) if None in f]
+        if lack:
+            new = list({w for i in lack for w, f in zip(split[i], found[i], strict=True) if f is None})
             known.update(zip(new, self.ids(new), strict=True))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            for i in lack:
+                found[i] = map(known.__getitem__, split[i])
+        return [b"".join(f) for f in found]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Texts of ids one after the other; ``offsets`` has the n + 1 bounds of the texts."""
@@ -364,25 +371,27 @@ def _carried(df: DataFrame, columns: list[str], own: str, added: str) -> tuple[D
     return kept, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + [added])
 
 
+def _offsets(found: list[bytes]) -> np.ndarray:
+    return np.cumsum([0, *(len(f) // 4 for f in found)])
+
+
+def _encoded(codec: Pieces, texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The ids of rows from low to high, a stretch of text at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for low, high in stretches(np.r_[0, np.cumsum(sizes, dtype=np.int64)], STRETCH):
+        yield low, high, codec.encode(texts.slice(low, high - low).to_pylist())
+
+
 def encode(docs: DataFrame, columns: list[str], shared: Shared, text: str = "text", into: str = "ids") -> DataFrame:
     """``columns`` of all rows and the ids of their whole text as an array."""
     kept, schema = _carried(docs, columns, text, f"`{into}` array<int>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.get())
+        codec = Pieces(shared.get())
         for batch in batches:
-            texts = batch.column(len(columns)).to_pylist()
-            low = 0
-            while low < len(texts):
-                high, size = low, 0
-                while high < len(texts) and size < STRETCH:
-                    size += len(texts[high] or "")
-                    high += 1
-                found = pieces.encode(texts[low:high])
-                offsets = np.cumsum([0, *(len(f) // 4 for f in found)])
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32()))
+            for low, high, found in _encoded(codec, batch.column(len(columns))):
+                ids = pa.ListArray.from_arrays(pa.array(_offsets(found), pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(low, high - low) for i in range(len(columns))] + [ids], names=[*columns, into])
-                low = high
 
     return kept.mapInArrow(work, schema)
 
@@ -406,10 +415,19 @@ def decode(encoded: DataFrame, columns: list[str], shared: Shared, ids: str = "i
     return kept.mapInArrow(work, schema)
 
 
-def digest(docs: DataFrame, path: str) -> DataFrame:
-    """Ids and decoded texts of all documents, as digests."""
-    shared = share(docs.sparkSession, path)
-    ids = encode(docs, ["doc_id"], shared)
-    keyed = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
-    told = decode(keyed, ["doc_id", "n_tokens", "ids_sha256"], shared)
-    return told.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+def digest(docs: DataFrame, columns: list[str], shared: Shared) -> DataFrame:
+    """``columns`` of all rows, how many ids their text has, and hashes of the ids and of the text decoded from them."""
+    kept, schema = _carried(docs, columns, "text", "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Pieces(shared.get())
+        told = np.array([f"{i},".encode() for i in range(codec.v.size)])
+        for batch in batches:
+            for low, high, found in _encoded(codec, batch.column(len(columns))):
+                ids, offsets = np.frombuffer(b"".join(found), "<i4"), _offsets(found)
+                texts = [hashlib.sha256(t.encode()).hexdigest() for t in codec.decode(ids, offsets)]
+                shas = [hashlib.sha256(told[ids[a:b]].tobytes().replace(b"\0", b"")[:-1]).hexdigest() for a, b in pairwise(offsets.tolist())]
+                own = [batch.column(i).slice(low, high - low) for i in range(len(columns))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(offsets)), pa.array(shas, pa.string()), pa.array(texts, pa.string())], names=[*columns, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return kept.mapInArrow(work, schema)

@@ -110,4 +110,4 @@ def op3_extract_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op13_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
-    return pieces.digest(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.digest(table(spark, folder, "documents"), ["doc_id"], pieces.share(spark, public_tokenizers.path("piece_bpe_32k.model")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import covertree, language, lm, mixing, pages, pieces, pii, repeats, secrets, simhash, tiling
+from millrace.llm import alignment, covertree, language, lm, mixing, pages, pieces, pii, repeats, secrets, simhash, tiling, tries
 from millrace.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -111,3 +111,33 @@ def op3_extract_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest(table(spark, folder, "documents"), ["doc_id"], pieces.share(spark, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query
+def op11_align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizers = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(table(spark, folder, "documents"), ["doc_id"], tokenizers)
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.trie(table(spark, folder, "conversations"))
+
+
+ORACLES["op12_conversation_trie"] = """
+WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({r: role, t: text} ORDER BY turn NULLS FIRST, role, text) AS l FROM turns GROUP BY c),
+crc AS (SELECT c, CAST(c AS VARCHAR) AS s, 4294967295::BIGINT AS k, 1 AS i FROM own),
+bits AS (SELECT i::BIGINT AS i, list_reduce(list_concat([i::BIGINT], range(8)), (a, x) -> CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) t(i)),
+tab AS (SELECT list(v ORDER BY i) AS v FROM bits),
+h AS (SELECT c, (xor(list_reduce(list_concat([4294967295::BIGINT], [ord(x)::BIGINT for x in string_split(s, '')]),
+  (a, x) -> xor(a >> 8, tab.v[(xor(a, x) & 255) + 1])), 4294967295) % 6)::INT AS h FROM crc, tab),
+built AS (SELECT o.c, coalesce(b.l[1:h.h], []) || o.l[h.h + 1:] AS l FROM own o JOIN h USING (c) LEFT JOIN own b ON b.c = o.c - o.c % 100),
+nodes AS (SELECT c, d, l[1:d] AS p, len(l) = d AS ended FROM built, LATERAL (SELECT unnest(range(len(l) + 1)) AS d)),
+merged AS (SELECT p, d, min(c) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ended), '')) AS ends_sha256 FROM nodes GROUP BY 1, 2),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS kids FROM merged WHERE d > 0 GROUP BY 1),
+figures AS (SELECT m.*, coalesce(k.kids, 0) AS kids, (n - 1) * CASE WHEN d > 0 THEN length(m.p[d].t) ELSE 0 END AS own FROM merged m LEFT JOIN kids k ON m.p = k.p),
+sums AS (SELECT p[1:a] AS p, sum((kids = 0)::BIGINT)::BIGINT AS n_leaves, sum(own)::BIGINT AS saved_tokens
+ FROM figures, LATERAL (SELECT unnest(range(d + 1)) AS a) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n AS n_convs, f.kids AS n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM figures f JOIN sums s ON f.p = s.p LEFT JOIN merged q ON f.d > 0 AND q.p = f.p[1:f.d - 1]"""

@@ -128,10 +128,10 @@ ORACLES["op12_conversation_trie"] = """
 WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 own AS (SELECT c, list({r: role, t: text} ORDER BY turn NULLS FIRST, role, text) AS l FROM turns GROUP BY c),
 crc AS (SELECT c, CAST(c AS VARCHAR) AS s, 4294967295::BIGINT AS k, 1 AS i FROM own),
-bits AS (SELECT i::BIGINT AS i, list_reduce(list_concat([i::BIGINT], range(8)), (a, x) -> CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) t(i)),
+bits AS (SELECT i::BIGINT AS i, list_reduce(list_concat([i::BIGINT], range(8)), lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) t(i)),
 tab AS (SELECT list(v ORDER BY i) AS v FROM bits),
 h AS (SELECT c, (xor(list_reduce(list_concat([4294967295::BIGINT], [ord(x)::BIGINT for x in string_split(s, '')]),
-  (a, x) -> xor(a >> 8, tab.v[(xor(a, x) & 255) + 1])), 4294967295) % 6)::INT AS h FROM crc, tab),
+  lambda a, x: xor(a >> 8, tab.v[(xor(a, x) & 255) + 1])), 4294967295) % 6)::INT AS h FROM crc, tab),
 built AS (SELECT o.c, coalesce(b.l[1:h.h], []) || o.l[h.h + 1:] AS l FROM own o JOIN h USING (c) LEFT JOIN own b ON b.c = o.c - o.c % 100),
 nodes AS (SELECT c, d, l[1:d] AS p, len(l) = d AS ended FROM built, LATERAL (SELECT unnest(range(len(l) + 1)) AS d)),
 merged AS (SELECT p, d, min(c) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ended), '')) AS ends_sha256 FROM nodes GROUP BY 1, 2),

@@ -27,7 +27,7 @@ from millrace.operators.lookup import join_lookup, scalars
 from millrace.operators.quantiles import quantile_table, table_quantiles
 from millrace.operators.transform import label_encode, label_encode_all
 from millrace.operators.warehouse import INVESTMENTS, JOBS, PROFILES
-from millrace.session import settle
+from millrace.session import scratch_path, settle, written
 
 # The grades of a score, lowest limit excluded.
 R2_GRADES = ((0.7, "Alta"), (0.5, "Media"))
@@ -77,29 +77,41 @@ def frequent_itemsets(basket: DataFrame, min_support: float = MiningLimits.min_s
     )
 
 
-def association_rules(itemsets: DataFrame, min_confidence: float = MiningLimits.min_confidence) -> DataFrame:
-    """Rules between single items: ``si_usa, entonces_usa, confianza, soporte``.
+def _splits(items: Column) -> Column:
+    """All ways to cut a set into two sides that are not empty, in the order of its items."""
+    ways = F.sequence(F.lit(1).cast("long"), F.pow(F.lit(2.0), F.size(items)).cast("long") - 2)
+
+    def side(way: Column, bit: int) -> Column:
+        return F.filter(items, lambda item, i: F.getbit(way, i) == bit)
+
+    return F.transform(ways, lambda way: F.struct(side(way, 1).alias("antecedentes"), side(way, 0).alias("consecuentes")))
 
+
+def lattice_rules(itemsets: DataFrame, min_confidence: float = MiningLimits.min_confidence) -> DataFrame:
+    """Rules with any number of items on either side:
+    ``antecedentes, consecuentes, frecuencia, soporte, confianza, elevacion``.
+
+    Every part of a frequent set is frequent itself, so the counts of both sides are rows of ``itemsets``, found by joins on
+    the sorted items, and there are no more ways to cut than pairs of a set and a part of it in that table.
     """
-    single = itemsets.where(F.size("items") == 1).select(
-        F.element_at("items", 1).alias("si_usa"), F.col("frecuencia").alias("__alone")
-    )
-    pair = itemsets.where(F.size("items") == 2)
-    first, second = F.element_at("items", 1), F.element_at("items", 2)
-    ways = F.array(
-        F.struct(first.alias("si_usa"), second.alias("entonces_usa")),
-        F.struct(second.alias("si_usa"), first.alias("entonces_usa")),
-    )
-    directed = pair.select(F.inline(ways), "frecuencia", "soporte")
-    confidence = F.col("frecuencia").cast("double") / F.col("__alone")
-    return (
-        directed.join(single, "si_usa")
-        .withColumn("confianza", confidence)
-        .where(F.col("confianza") >= min_confidence)
-        .select("si_usa", "entonces_usa", "confianza", "soporte")
+    counts = itemsets.select(F.sort_array("items").alias("items"), "frecuencia", "soporte")
+    cut = counts.where(F.size("items") > 1).select(F.inline(_splits(F.col("items"))), "frecuencia", "soporte")
+    left = counts.select(F.col("items").alias("antecedentes"), F.col("frecuencia").alias("__left"))
+    right = counts.select(F.col("items").alias("consecuentes"), F.col("soporte").alias("__right"))
+    sure = cut.join(left, "antecedentes").withColumn("confianza", F.col("frecuencia").cast("double") / F.col("__left"))
+    told = sure.where(F.col("confianza") >= min_confidence).join(right, "consecuentes")
+    return told.select(
+        "antecedentes", "consecuentes", "frecuencia", "soporte", "confianza", (F.col("confianza") / F.col("__right")).alias("elevacion")
     )
 
 
+def association_rules(itemsets: DataFrame, min_confidence: float = MiningLimits.min_confidence) -> DataFrame:
+    """All rules as text: ``si_usa, entonces_usa, confianza, soporte``; several items of a side are joined by `` + ``."""
+    sides = {"si_usa": "antecedentes", "entonces_usa": "consecuentes"}
+    joined = [F.array_join(items, " + ").alias(side) for side, items in sides.items()]
+    return lattice_rules(itemsets, min_confidence).select(*joined, "confianza", "soporte")
+
+
 def top_rules(rules: DataFrame, k: int = 5) -> DataFrame:
     best = rules.orderBy(F.desc("confianza"), "si_usa", "entonces_usa").limit(k)
     return best.withColumns({c: round_half_even(F.col(c), 3) for c in ("confianza", "soporte")})
@@ -294,9 +306,13 @@ def single_regression(table: DataFrame, feature: str, label: str = "label") -> D
 
 @contextmanager
 def _assembled(table: DataFrame, features: Sequence[str]):
-    """Training and test rows with their feature vectors; training rows are kept while a model
-    passes over them."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(table)
+    """Training and test rows with their feature vectors.
+
+    The rows are written first, so neither a pass of the training nor the scoring works them out again; the vectors of the training
+    rows are kept while a model passes over them.
+    """
+    rows = written(table, "samples")
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
     train = vectors.where(~F.col("es_prueba")).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield train, vectors.where("es_prueba")
@@ -304,11 +320,48 @@ def _assembled(table: DataFrame, features: Sequence[str]):
         train.unpersist()
 
 
+@dataclass(frozen=True)
+class StoredModel:
+    """A fitted model as it was read back from the shared folder.
+
+    What is read back has no training summary, so a scoring plan carries weights and nodes and no reference to the training rows,
+    and a later session can score with ``path`` alone.
+    """
+
+    path: str
+    model: object
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        return self.model.transform(rows)
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        return forest_nodes(spark, self.path)
+
+    def __getattr__(self, name: str):
+        if name.startswith("__"):  # not while it is copied or unpickled
+            raise AttributeError(name)
+        return getattr(self.model, name)
+
+
+def store_model(spark: SparkSession, model, name: str) -> StoredModel:
+    path = scratch_path(spark, name)
+    model.write().save(path)
+    return load_model(path, type(model))
+
+
+def load_model(path: str, kind: type) -> StoredModel:
+    return StoredModel(path, kind.load(path))
+
+
+def _fitted(learner, table: DataFrame, features: Sequence[str], name: str) -> tuple[StoredModel, DataFrame]:
+    with _assembled(table, features) as (train, test):
+        model = store_model(table.sparkSession, learner(train) if callable(learner) else learner.fit(train), name)
+    return model, model.score(test)
+
+
 def fit_linear(table: DataFrame, features: Sequence[str] = REGRESSION_FEATURES):
     """Model and test predictions of a least-squares fit on the training rows."""
-    with _assembled(table, features) as (train, test):
-        model = LinearRegression(solver="normal").fit(train)
-    return model, model.transform(test)
+    return _fitted(LinearRegression(solver="normal"), table, features, "linear")
 
 
 def fit_forest_regressor(
@@ -319,9 +372,78 @@ def fit_forest_regressor(
         numTrees=limits.trees, seed=limits.seed, featureSubsetStrategy="all", maxDepth=max_depth or limits.max_depth,
         minInstancesPerNode=limits.min_leaf,
     )
-    with _assembled(table, features) as (train, test):
-        model = forest.fit(train)
-    return model, model.transform(test)
+    return _fitted(forest, table, features, "forest")
+
+
+# -- forests as tables --------------------------------------------------------------------
+
+
+def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """A stored forest as rows: ``arbol, nodo, izquierdo, derecho, caracteristica, umbral, ganancia, filas, valor``.
+
+    ``valor`` is what a leaf says: its mean, or the share of each class. Inner nodes have both children, leaves -1. Rows with
+    ``umbral`` or less go left.
+    """
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    stored = spark.read.parquet(f"{path}/data")
+    kind = spark.read.json(f"{path}/metadata").select(F.col("class").contains("Classification")).first()[0]
+    total = F.aggregate(node["impurityStats"], F.lit(0.0), lambda a, x: a + x)
+    shares = F.transform(node["impurityStats"], lambda x: F.try_divide(x, total))
+    return stored.select(
+        F.col("treeID").alias("arbol"),
+        node["id"].alias("nodo"),
+        node["leftChild"].alias("izquierdo"),
+        node["rightChild"].alias("derecho"),
+        split["featureIndex"].alias("caracteristica"),
+        F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("umbral"),
+        node["gain"].alias("ganancia"),
+        node["rawCount"].alias("filas"),
+        (shares if kind else F.array(node["prediction"])).alias("valor"),
+    )
+
+
+def score_nodes(
+    rows: DataFrame, nodes: DataFrame, features: Sequence[str], prediction: str = "prediction", max_depth: int = 30
+) -> DataFrame:
+    """Adds what the forest says of each row, with built-in expressions only. 30 is the deepest a tree can be.
+
+    All trees travel as one value with the plan: their number and depth are settings, so its size does not grow with the data.
+    A regression forest gives the mean of its trees, a classifier the class with the largest sum of shares, the first of equal ones.
+    """
+    node = F.struct("nodo", "izquierdo", "derecho", "caracteristica", "umbral", "valor")
+    trees = nodes.groupBy("arbol").agg(F.sort_array(F.collect_list(node)).alias("tree"))
+    forest = trees.agg(F.sort_array(F.collect_list(F.struct("arbol", "tree"))).alias("trees"))
+    steps = F.sequence(F.lit(1), F.lit(max_depth))
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+
+    def leaf(tree: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            here = tree[at]
+            below = F.when(values[here["caracteristica"]] <= here["umbral"], here["izquierdo"]).otherwise(here["derecho"])
+            return F.when(here["izquierdo"] < 0, at).otherwise(below)
+
+        return tree[F.aggregate(steps, F.lit(0), step)]["valor"]
+
+    said = F.transform("__trees", lambda t: leaf(t["tree"]))
+    none = F.transform(F.get("__said", F.lit(0)), lambda _: F.lit(0.0))
+    sums = F.aggregate("__said", none, lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+    answer = F.when(F.size("__sums") == 1, F.get("__sums", F.lit(0)) / F.size("__trees")).otherwise(
+        (F.array_position("__sums", F.array_max("__sums")) - 1).cast("double")
+    )
+    told = rows.withColumn("__trees", forest.scalar()).withColumn("__said", said).withColumn("__sums", sums)
+    return told.withColumn(prediction, answer).drop("__trees", "__said", "__sums")
+
+
+def node_importances(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Share of each feature in what the splits of the trees gain; every tree weighs the same."""
+    gains = nodes.where("izquierdo >= 0").groupBy("arbol", "caracteristica").agg(F.sum(F.col("ganancia") * F.col("filas")).alias("g"))
+    total = gains.groupBy("arbol").agg(F.sum("g").alias("t"))
+    share = gains.join(total, "arbol").where("t > 0").groupBy("caracteristica").agg(F.sum(F.col("g") / F.col("t")).alias("s"))
+    whole = scalars(share, t=F.sum("s"))["t"]
+    named = nodes.sparkSession.createDataFrame(list(enumerate(names)), "caracteristica int, nombre string")
+    return named.join(share, "caracteristica", "left").select(
+        F.col("nombre").alias("caracteristica"), round_half_even(F.coalesce(F.col("s") / whole, F.lit(0.0)), 4).alias("importancia")
+    )
 
 
 # -- classification -----------------------------------------------------------------------
@@ -351,17 +473,16 @@ def fit_forest_classifier(
     forest = RandomForestClassifier(
         numTrees=limits.trees, seed=limits.seed, maxDepth=max_depth or limits.max_depth, minInstancesPerNode=limits.min_leaf
     )
-    with _assembled(table, features) as (train, test):
-        model = forest.fit(train)
-    return model, model.transform(test)
+    return _fitted(forest, table, features, "forest")
 
 
 def fit_logistic(table: DataFrame, features: Sequence[str] = CLASSIFIER_FEATURES):
     """L2 penalty of weight 1 on the summed loss, hence 1/n on Spark's mean loss."""
-    with _assembled(table, features) as (train, test):
-        rows = max(1, train.count())
-        model = LogisticRegression(regParam=1.0 / rows, standardization=False, maxIter=1000).fit(train)
-    return model, model.transform(test)
+
+    def fit(train: DataFrame):
+        return LogisticRegression(regParam=1.0 / max(1, train.count()), standardization=False, maxIter=1000).fit(train)
+
+    return _fitted(fit, table, features, "logistic")
 
 
 # -- analyses -----------------------------------------------------------------------------

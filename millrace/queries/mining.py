@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.config import MiningLimits
 from millrace.functions.numbers import round_half_even
 from millrace.operators import mining
 from millrace.queries.base import query, r, rounded
@@ -62,6 +63,31 @@ def _(t):
     return rounded(mining.top_rules(mining.association_rules(found, CONFIDENCE)), 3)
 
 
+# Jobs as baskets of up to four items, and all their parts by the bits of a number.
+WIDE = """SELECT id_oferta, list_filter([concat('lang_', lenguaje), concat('fw_', framework), concat('nivel_', nivel_seniority), concat('modo_', modalidad)],
+ lambda x: len(x) > 6) AS items FROM {jobs}"""
+PARTS = f"""SELECT list_sort([items[i] FOR i IN range(1, 5) IF i <= len(items) AND (way >> (i - 1)) & 1 = 1]) AS items FROM ({WIDE}), range(1, 16) w(way)
+ WHERE way < (1 << len(items))"""
+WIDE_SETS = f"""SELECT items, count(*) AS frecuencia, count(*) * 1.0::DOUBLE / (SELECT count(*) FROM {{jobs}}) AS soporte FROM ({PARTS}) GROUP BY items
+ HAVING count(*) * 1.0::DOUBLE / (SELECT count(*) FROM {{jobs}}) >= {SUPPORT}"""
+
+
+@query(
+    "lattice_rules",
+    f"""WITH s AS ({WIDE_SETS}), d AS (SELECT [items[i] FOR i IN range(1, 5) IF i <= len(items) AND (way >> (i - 1)) & 1 = 1] AS a,
+ [items[i] FOR i IN range(1, 5) IF i <= len(items) AND (way >> (i - 1)) & 1 = 0] AS c, frecuencia, soporte FROM s, range(1, 16) w(way) WHERE way < (1 << len(items)) - 1)
+ SELECT array_to_string(a, '|') AS antecedentes, array_to_string(c, '|') AS consecuentes, d.frecuencia, {r("d.soporte")} AS soporte,
+ {r("d.frecuencia * 1.0::DOUBLE / x.frecuencia")} AS confianza, {r("d.frecuencia * 1.0::DOUBLE / x.frecuencia / y.soporte")} AS elevacion
+ FROM d JOIN s x ON x.items = a JOIN s y ON y.items = c WHERE d.frecuencia * 1.0::DOUBLE / x.frecuencia >= {CONFIDENCE}""",
+)
+def _(t):
+    named = {"lang_": "lenguaje", "fw_": "framework", "nivel_": "nivel_seniority", "modo_": "modalidad"}
+    items = F.filter(F.array(*[F.concat(F.lit(p), F.coalesce(c, F.lit(""))) for p, c in named.items()]), lambda x: F.length(x) > 6)
+    found = settle(mining.frequent_itemsets(t.jobs.select(items.alias("items")), SUPPORT))
+    rules = mining.lattice_rules(found, CONFIDENCE)
+    return rounded(rules.withColumns({c: F.array_join(c, "|") for c in ("antecedentes", "consecuentes")}))
+
+
 @query(
     "cluster_features",
     f"""WITH p AS (SELECT id_registro, edad, salario_usd, pais_normalizado FROM ({FACT}) WHERE fuente_datos = 'perfiles_habilidades'),
@@ -180,6 +206,32 @@ def _(t):
     return mining.importances(t.spark, mining.REGRESSION_FEATURES, model)
 
 
+@query(
+    "forest_regression_checks",
+    f"""{WITH_KNOWN} SELECT count(*) AS filas, CAST(0 AS BIGINT) AS distintas, CAST(50 AS BIGINT) AS arboles, true AS importancias_iguales FROM ({REG})
+ WHERE CAST(CAST('0x' || substr(md5(id_registro), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE < 0.3""",
+)
+def _(t):
+    """The table of nodes says of every test row what the model says, and weighs the features alike."""
+    model, told = mining.fit_forest_regressor(_regression(t))
+    return _against_nodes(t, model, told, mining.REGRESSION_FEATURES)
+
+
+def _against_nodes(t, model, told, features):
+    nodes = settle(model.nodes(t.spark))
+    both = mining.score_nodes(told, nodes, features, "por_nodos", MiningLimits.max_depth)
+    apart = F.abs(F.col("prediction") - F.col("por_nodos")) > 1e-9 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    shares = mining.importances(t.spark, features, model).withColumnRenamed("importancia", "del_modelo")
+    shares = shares.join(mining.node_importances(nodes, features), "caracteristica")
+    equal = shares.agg(F.coalesce(F.max(F.abs(F.col("importancia") - F.col("del_modelo"))) < 2e-4, F.lit(False))).scalar()
+    return both.agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_if(apart | F.col("por_nodos").isNull()).alias("distintas"),
+        nodes.agg(F.count_distinct("arbol")).scalar().alias("arboles"),
+        equal.alias("importancias_iguales"),
+    )
+
+
 LABELLED = f"""SELECT id_registro, salario_usd, CAST(salario_usd > (SELECT median(salario_usd) FROM ({FACT}) WHERE fuente_datos = 'empleos_tech') AS INT) AS label,
  tecnologia_principal, pais_normalizado, nivel_experiencia FROM ({FACT}) WHERE fuente_datos = 'empleos_tech' AND salario_usd IS NOT NULL"""
 
@@ -253,6 +305,16 @@ def _(t):
     return rows[0].unionByName(rows[1])
 
 
+@query(
+    "forest_classifier_checks",
+    f"SELECT positivos + negativos AS filas, CAST(0 AS BIGINT) AS distintas, CAST(50 AS BIGINT) AS arboles, true AS importancias_iguales FROM ({TESTED})",
+)
+def _(t):
+    """As for the regression forest: every test row, by the nodes and by the model."""
+    model, told = mining.fit_forest_classifier(_classification(t))
+    return _against_nodes(t, model, told, mining.CLASSIFIER_FEATURES)
+
+
 PREDICTED = f"""SELECT label, CASE WHEN nivel_experiencia = 'Senior' OR salario_usd > 70000 THEN 1 ELSE 0 END AS prediction FROM ({LABELLED})"""
 
 

@@ -89,3 +89,82 @@ def test_all_analyses_run(spark, facts):
     results = mining.run_analyses(facts, MiningLimits(kmeans_restarts=1, trees=3, min_support=0.02))
     assert results["resumen_ejecucion"] == {"analisis_exitosos": 4, "total_analisis": 4, "tasa_exito": "100.0%"}
     assert mining.mining_summary(spark, results).where("exito").count() == 4
+
+
+def test_rules_of_the_whole_lattice(spark):
+    """All ways to cut every frequent set, against counting by hand."""
+    from itertools import combinations
+
+    baskets = [["a", "b", "c", "d"]] * 5 + [["a", "b", "c"]] * 4 + [["c", "a"]] * 3 + [["b", "d", "b"]] * 2 + [["e"]] * 2 + [[]]
+    sets = [frozenset(b) for b in baskets]
+    n = len(sets)
+    count = {}
+    for size in range(1, 5):
+        for items in combinations("abcde", size):
+            k = sum(set(items) <= s for s in sets)
+            if k / n >= 0.2:
+                count[frozenset(items)] = k
+    want = set()
+    for whole, k in count.items():
+        for size in range(1, len(whole)):
+            for left in map(frozenset, combinations(sorted(whole), size)):
+                if k / count[left] >= 0.5:
+                    lift = k / count[left] / (count[whole - left] / n)
+                    want.add((tuple(sorted(left)), tuple(sorted(whole - left)), k, round(k / n, 9), round(k / count[left], 9), round(lift, 9)))
+    found = mining.frequent_itemsets(spark.createDataFrame([(b,) for b in baskets], "items array<string>"), 0.2)
+    got = [tuple(tuple(v) if isinstance(v, list) else round(v, 9) for v in r) for r in mining.lattice_rules(found, 0.5).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert any(len(r[0]) == 2 and len(r[1]) == 2 for r in want)
+    texts = {(r["si_usa"], r["entonces_usa"]) for r in mining.association_rules(found, 0.5).collect()}
+    assert texts == {(" + ".join(r[0]), " + ".join(r[1])) for r in want}
+    assert mining.lattice_rules(found.where("size(items) = 1")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def samples(spark):
+    df = spark.range(1500).select(
+        F.col("id").alias("id_registro"),
+        (F.col("id") % 7).alias("tecnologia_principal"),
+        (F.xxhash64("id") % 5).alias("pais"),
+        (F.col("id") % 3).alias("nivel_experiencia"),
+        ((F.col("id") % 7 + F.xxhash64("id") % 4) > 3).cast("int").alias("label"),
+    )
+    return mining.stratified_split(df, "id_registro", "label")
+
+
+@pytest.mark.parametrize("fit", [mining.fit_forest_classifier, mining.fit_forest_regressor])
+@pytest.mark.parametrize("depth", [1, 6])
+def test_nodes_say_what_the_model_says(spark, samples, fit, depth):
+    model, told = fit(samples, mining.CLASSIFIER_FEATURES, MiningLimits(trees=7), depth)
+    nodes = model.nodes(spark)
+    assert nodes.select("arbol").distinct().count() == 7
+    both = mining.score_nodes(told, nodes, mining.CLASSIFIER_FEATURES, "by_nodes")
+    assert both.where(F.abs(F.col("by_nodes") - F.col("prediction")) > 1e-9).count() == 0 < both.count()
+    own = {r[0]: r[1] for r in mining.importances(spark, mining.CLASSIFIER_FEATURES, model).collect()}
+    of_nodes = {r[0]: r[1] for r in mining.node_importances(nodes, mining.CLASSIFIER_FEATURES).collect()}
+    assert of_nodes == pytest.approx(own, abs=2e-4)
+
+
+def test_a_forest_of_leaves(spark, samples):
+    """Without a split all rows get one answer and no feature has a weight."""
+    one = samples.withColumn("label", F.lit(1.0))
+    model, told = mining.fit_forest_regressor(one, mining.CLASSIFIER_FEATURES, MiningLimits(trees=3), 4)
+    nodes = model.nodes(spark)
+    assert {r[0] for r in mining.score_nodes(told, nodes, mining.CLASSIFIER_FEATURES, "p").select("p").distinct().collect()} == {1.0}
+    assert {r[1] for r in mining.node_importances(nodes, mining.CLASSIFIER_FEATURES).collect()} == {0.0}
+
+
+def test_models_are_read_back_and_score_in_many_runs(spark, samples):
+    """Fitting, storing, dropping and scoring again and again in one session; a stored model scores by its path alone."""
+    import gc
+
+    for _ in range(30):
+        model, told = mining.fit_forest_classifier(samples, limits=MiningLimits(trees=2), max_depth=3)
+        scores = mining.classification_scores(told).first()
+        assert not model.model.hasSummary
+        assert scores["precision"] > 0.7
+        gc.collect()
+    again = mining.load_model(model.path, type(model.model))
+    assert mining.classification_scores(again.score(told.drop("rawPrediction", "probability", "prediction"))).first() == scores
+    _, logistic = mining.fit_logistic(samples)
+    assert mining.classification_scores(logistic).first()["precision"] > 0.5

@@ -53,6 +53,18 @@ def _(t):
     return read.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
+# Notes of two lines and more, with quotes and commas beside the breaks.
+BROKEN = """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN concat('first', chr(10), 'second, "', o_orderpriority, '"')
+ WHEN 1 THEN concat(chr(10), o_orderpriority, chr(10), chr(10), 'end') WHEN 2 THEN 'one "line"' ELSE o_orderpriority END AS note, o_totalprice FROM {orders}"""
+
+
+@query("scan_csv_line_breaks", BROKEN)
+def _(t):
+    path = scratch_path(t.spark, "broken-csv")
+    csv.write_csv(t.sql(BROKEN).repartition(3), path)
+    return csv.scan_csv(t.spark, path, T.StructType([CSV_SCHEMA[c] for c in ("o_orderkey", "note", "o_totalprice")]))
+
+
 @query(
     "tag_source_union",
     """SELECT id_oferta AS id, 'jobs' AS source FROM {jobs} UNION ALL SELECT id_programa, 'investment' FROM {investments}

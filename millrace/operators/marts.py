@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -125,15 +125,19 @@ def cluster_table(profile: DataFrame) -> DataFrame:
 # -- geography ----------------------------------------------------------------------------
 
 
-def geography_aggregate(fact: DataFrame) -> DataFrame:
-    """Salary and age figures per country. ``Total_Empleos`` counts the known salaries."""
-    keys = ["pais_normalizado"]
-    totals = fact.groupBy(*keys).agg(
+def geography_totals(fact: DataFrame) -> DataFrame:
+    """Counts and means per country, one aggregate. ``Total_Empleos`` counts the known salaries."""
+    return fact.groupBy("pais_normalizado").agg(
         F.count("salario_usd").alias("Total_Empleos"),
         round_half_even(F.avg("salario_usd"), 2).alias("Salario_Promedio"),
         round_half_even(F.avg("edad"), 2).alias("Edad_Promedio"),
         F.count("id_registro").alias("Total_Registros"),
     )
+
+
+def geography_aggregate(fact: DataFrame) -> DataFrame:
+    """Salary and age figures per country."""
+    keys, totals = ["pais_normalizado"], geography_totals(fact)
     medians = group_medians(fact, "salario_usd", keys, "__median")
     return join_lookup(totals, medians, keys, null_safe=True, broadcast=False).select(
         *keys,
@@ -164,6 +168,11 @@ def geography_table(fact: DataFrame) -> DataFrame:
     return add_salary_rank(add_region(geography_aggregate(fact)))
 
 
+def geography_ranking(fact: DataFrame) -> DataFrame:
+    """The table of countries without medians, for those who read ranks and means only."""
+    return add_salary_rank(add_region(geography_totals(fact)))
+
+
 # -- technology ---------------------------------------------------------------------------
 
 
@@ -202,26 +211,30 @@ def top_per_group(df: DataFrame, group: str, by: str, tie: str, k: int) -> DataF
     return df.withColumn("__row", F.row_number().over(window)).where(F.col("__row") <= k).drop("__row")
 
 
+def top_technologies(fact: DataFrame, k: int = TOP_TECHNOLOGIES) -> DataFrame:
+    """The most mentioned technologies of each type with rank, mentions and mean salary; at most k names a type."""
+    counts = technology_mentions(fact).groupBy("Tipo", "Tecnologia").agg(
+        F.count(F.lit(1)).alias("Total_Menciones"),
+        F.coalesce(F.avg("salario_usd"), F.lit(0.0)).alias("Salario_Promedio"),
+    )
+    window = Window.partitionBy("Tipo").orderBy(F.desc("Total_Menciones"), F.asc("Tecnologia"))
+    ranked = counts.withColumn("Popularidad_Rank", F.row_number().over(window).cast("long"))
+    return settle(ranked.where(F.col("Popularidad_Rank") <= k))
+
+
 def technology_table(fact: DataFrame, k: int = TOP_TECHNOLOGIES) -> DataFrame:
     """The most mentioned technologies of each type.
 
     The names are counted and cut to the top first; salaries are then read for those only.
     """
-    keys = ["Tipo", "Tecnologia"]
-    mentions = technology_mentions(fact)
-    counts = mentions.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("Total_Menciones"),
-        F.coalesce(F.avg("salario_usd"), F.lit(0.0)).alias("Salario_Promedio"),
-    )
-    window = Window.partitionBy("Tipo").orderBy(F.desc("Total_Menciones"), F.asc("Tecnologia"))
-    top = settle(counts.withColumn("__row", F.row_number().over(window)).where(F.col("__row") <= k))
+    keys, top = ["Tipo", "Tecnologia"], top_technologies(fact, k)
     # At most k names per type: bounded by k, not by the data.
-    kept = mentions.join(F.broadcast(top.select(*keys)), keys, "left_semi")
+    kept = technology_mentions(fact).join(F.broadcast(top.select(*keys)), keys, "left_semi")
     medians = group_medians(kept, "salario_usd", keys, "__median")
     return join_lookup(top, medians, keys, broadcast=False).select(
         "Tecnologia", "Tipo", "Total_Menciones", "Salario_Promedio",
         F.coalesce("__median", F.lit(0.0)).alias("Salario_Mediano"),
-        F.col("__row").cast("long").alias("Popularidad_Rank"),
+        "Popularidad_Rank",
     )
 
 
@@ -232,47 +245,54 @@ PERIOD_COLUMNS = (
 )
 
 
-def yearly_metrics(fact: DataFrame, date: str = "fecha_procesamiento") -> DataFrame:
-    dated = fact.withColumn("__year", F.year(date)).where(F.col("__year").isNotNull())
-    keys = ["__year"]
-    totals = dated.groupBy(*keys).agg(
+def _period_counts(fact: DataFrame, date: str, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Counts, means and distinct ids of the periods of all grouping sets, from one pass over the fact."""
+    dated = fact.where(F.col(date).isNotNull()).select(
+        F.year(date).alias("__year"), F.quarter(date).alias("__quarter"), "salario_usd", "edad", "id_registro"
+    )
+    return dated.groupingSets([list(s) for s in sets], "__year", "__quarter").agg(
+        F.grouping("__quarter").alias("__whole"),
         F.count("salario_usd").alias("Total_Empleos"),
         round_half_even(F.avg("salario_usd"), 2).alias("Salario_Promedio"),
-        round_half_even(F.avg("edad"), 2).alias("Edad_Promedia"),
+        round_half_even(F.avg("edad"), 2).alias("__age"),
         F.count_distinct("id_registro").alias("Registros_Unicos"),
     )
-    medians = group_medians(dated, "salario_usd", keys, "__median")
-    full = join_lookup(totals, medians, keys, broadcast=False).withColumns(
-        {
-            "Periodo": F.concat(F.lit("Año "), F.col("__year").cast("string")),
-            "Tipo_Periodo": F.lit("Anual"),
-            "Salario_Mediano": round_half_even(F.col("__median"), 2),
-        }
-    )
-    return full.select(*PERIOD_COLUMNS)
+
+
+def _named_periods(counts: DataFrame, medians: DataFrame | None) -> DataFrame:
+    """Years with their median and age; neither is worked out per quarter, both are 0 there."""
+    if medians is None:
+        full = counts.withColumn("__median", F.lit(0.0))
+    else:
+        full = join_lookup(counts, medians, ["__year"], broadcast=False)
+    whole = F.col("__whole") == 1
+    year = F.col("__year").cast("string")
+    return full.select(
+        F.when(whole, F.concat(F.lit("Año "), year)).otherwise(F.concat(F.lit("Q"), F.col("__quarter").cast("string"), F.lit("-"), year)).alias("Periodo"),
+        F.when(whole, F.lit("Anual")).otherwise(F.lit("Trimestral")).alias("Tipo_Periodo"),
+        "Total_Empleos",
+        "Salario_Promedio",
+        F.when(whole, round_half_even(F.col("__median"), 2)).otherwise(F.lit(0.0)).alias("Salario_Mediano"),
+        F.when(whole, F.col("__age")).otherwise(F.lit(0.0)).alias("Edad_Promedia"),
+        "Registros_Unicos",
+    ).select(*PERIOD_COLUMNS)
+
+
+def _year_medians(fact: DataFrame, date: str) -> DataFrame:
+    return group_medians(fact.where(F.col(date).isNotNull()).withColumn("__year", F.year(date)), "salario_usd", ["__year"], "__median")
+
+
+def yearly_metrics(fact: DataFrame, date: str = "fecha_procesamiento") -> DataFrame:
+    return _named_periods(_period_counts(fact, date, [["__year"]]), _year_medians(fact, date))
 
 
 def quarterly_metrics(fact: DataFrame, date: str = "fecha_procesamiento") -> DataFrame:
-    """As the yearly metrics; median and age are not worked out per quarter and are 0."""
-    dated = fact.where(F.col(date).isNotNull())
-    totals = dated.groupBy(F.year(date).alias("__year"), F.quarter(date).alias("__quarter")).agg(
-        F.count("salario_usd").alias("Total_Empleos"),
-        round_half_even(F.avg("salario_usd"), 2).alias("Salario_Promedio"),
-        F.count_distinct("id_registro").alias("Registros_Unicos"),
-    )
-    full = totals.withColumns(
-        {
-            "Periodo": F.format_string("Q%d-%d", "__quarter", "__year"),
-            "Tipo_Periodo": F.lit("Trimestral"),
-            "Salario_Mediano": F.lit(0.0),
-            "Edad_Promedia": F.lit(0.0),
-        }
-    )
-    return full.select(*PERIOD_COLUMNS)
+    return _named_periods(_period_counts(fact, date, [["__year", "__quarter"]]), None)
 
 
 def period_table(fact: DataFrame, date: str = "fecha_procesamiento") -> DataFrame:
-    return yearly_metrics(fact, date).unionByName(quarterly_metrics(fact, date))
+    """Years and quarters from one pass, and the medians of the years."""
+    return _named_periods(_period_counts(fact, date, [["__year"], ["__year", "__quarter"]]), _year_medians(fact, date))
 
 
 # -- all tables ---------------------------------------------------------------------------

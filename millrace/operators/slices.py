@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import settle
+
 TARGET = 128
 ROWS_PER_SLICE = 1_000_000
 MOST = 2**16  # beyond 65 billion rows the slices grow instead of the list of cut points
@@ -116,15 +118,43 @@ def _dense_rank(df: DataFrame, order: Sequence[Column], out: str, keys: Sequence
     return valued.join(right, match).select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
+def _filled(df: DataFrame, columns: Sequence[str], window) -> DataFrame:
+    """One projection, so that an order column that is itself filled still orders by its raw value."""
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in columns})
+
+
 def forward_fill(
-    df: DataFrame, columns: Sequence[str], order: Sequence[Column], keys: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    order: Sequence[Column],
+    keys: Sequence[str] = (),
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Replace nulls by the last value above them, per key or over the whole table.
 
-    Rows of equal order are taken in the order of a hash of the row.
+    Rows of equal order are taken in the order of a hash of the row. Keys of up to ``rows_per_slice`` rows take one
+    plain window, sorted and streamed by Spark; only keys beyond (at most a key per so many rows of the table) are cut into slices.
     """
     tied = df.withColumn("__tie", tie_breaker(df))
-    sliced = with_slice(tied, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col("__tie")))
+    names = df.columns
+    if not keys:
+        return _fill_slices(tied, columns, order, (), rows_per_slice).select(*[f"`{c}`" for c in names])
+    counts = df.groupBy(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
+    hot = settle(counts.where(F.col("__n") > rows_per_slice).drop("__n"))
+    window = Window.partitionBy(*keys).orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    if hot.isEmpty():
+        return _filled(tied, columns, window).select(*[f"`{c}`" for c in names])
+    match = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    calm = _filled(tied.join(hot, match, "left_anti"), columns, window)
+    cut = _fill_slices(tied.join(hot, match, "left_semi"), columns, order, keys, rows_per_slice)
+    return calm.select(*[f"`{c}`" for c in names]).unionByName(cut.select(*[f"`{c}`" for c in names]))
+
+
+def _fill_slices(
+    tied: DataFrame, columns: Sequence[str], order: Sequence[Column], keys: Sequence[str], rows_per_slice: int
+) -> DataFrame:
+    key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col("__tie"))
+    sliced = with_slice(tied, key, rows_per_slice=rows_per_slice)
     window = Window.partitionBy(*keys, "__slice").orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
     last = sliced.groupBy(*keys, "__slice").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__order"))).alias(c) for c in columns]
@@ -133,13 +163,5 @@ def forward_fill(
     carried = last.withColumn(
         "__carry", F.struct(*[F.last(c, ignorenulls=True).over(before).alias(c) for c in columns])
     )
-    # One projection, so that an order column that is itself filled still orders by its raw value.
-    values = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
-    filled = sliced.withColumns(values).drop("__order")
-    joined = _carry_join(filled, carried, keys)
-    return joined.select(
-        *[
-            F.coalesce(F.col(c), F.col("__carry")[c]).alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
-    )
+    joined = _carry_join(_filled(sliced, columns, window).drop("__order"), carried, keys)
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col("__carry")[c]) for c in columns})

@@ -393,7 +393,7 @@ def pivot(
 
     Given ``column_values`` save the job that finds them and have no limit. Several ``values`` give columns
     named ``values_column``, several functions ``function_values_column``. ``first`` and ``last`` go by the column
-    ``order_by``; ``median`` is exact and keeps the distinct values of a cell in memory.
+    ``order_by``. ``median`` is exact: cells are groups of ``quantile_table``, which holds no cell's values in one task.
     """
     functions = [aggfunc] if isinstance(aggfunc, str) else list(aggfunc)
 
@@ -402,8 +402,6 @@ def pivot(
             if order_by is None:
                 raise ValueError(f"{name} needs order_by: a table has no row order of its own")
             return PICKS[name](c, F.when(c.isNotNull(), F.col(f"`{order_by}`")))
-        if name == "median":
-            return F.median(c)
         if name not in AGGREGATES:
             raise ValueError(f"unknown aggregate {name!r}")
         return AGGREGATES[name](c)
@@ -411,23 +409,44 @@ def pivot(
     keys = [index] if isinstance(index, str) else list(index)
     listed = not isinstance(values, str)
     measures = list(values) if listed else [values]
-    cells = [(f, m, aggregate_of(f, F.col(f"`{m}`"))) for f in functions for m in measures]
+    cells = [(f, m) for f in functions for m in measures]
     df = df.dropna(subset=[f"`{c}`" for c in [*keys, columns]])
     if not set(functions) & {"sum", "count", "size"}:
         df = df.dropna(how="all", subset=[f"`{m}`" for m in measures])
     if column_values is None:
         column_values = categories(df, columns, limit)
-    wide = df.groupBy(*[f"`{k}`" for k in keys]).pivot(columns, list(column_values))
-    wide = wide.agg(*[cell.alias(f"__{i}") for i, (_, _, cell) in enumerate(cells)])
+    plain = [(i, f, m) for i, (f, m) in enumerate(cells) if f != "median"]
+    # two more beside them: with one aggregate alone the pivoted columns would be named otherwise
+    aggregates = [aggregate_of(f, F.col(f"`{m}`")).alias(f"__{i}") for i, f, m in plain]
+    beside = [F.max(F.lit(1)).alias(n) for n in ("__v", "__w")]
+    wide = df.groupBy(*[f"`{k}`" for k in keys]).pivot(columns, list(column_values)).agg(*aggregates, *beside)
+    if "median" in functions:
+        wide = _with_medians(wide, df, keys, columns, measures, column_values, [i for i, (f, _) in enumerate(cells) if f == "median"])
     out = []
-    for i, (f, m, _) in enumerate(cells):
+    for i, (f, m) in enumerate(cells):
         for v in column_values:
-            source = f"{v}___{i}" if len(cells) > 1 else f"{v}"
             name = f"{m}_{v}" if listed or len(functions) > 1 else f"{v}"
-            out.append(F.coalesce(F.col(f"`{source}`"), F.lit(0)).alias(f"{f}_{name}" if len(functions) > 1 else name))
+            out.append(F.coalesce(F.col(f"`{v}___{i}`"), F.lit(0)).alias(f"{f}_{name}" if len(functions) > 1 else name))
     return wide.select(*[f"`{k}`" for k in keys], *out)
 
 
+def _with_medians(wide: DataFrame, df: DataFrame, keys: list, columns: str, measures: list, column_values: Sequence, places: list[int]) -> DataFrame:
+    """Adds the medians ``value___i`` of each cell of a pivoted table."""
+    shown = df.where(F.col(f"`{columns}`").isin(*column_values))
+    # names of their own: the long table has a column called column
+    named = shown.select(
+        *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], F.col(f"`{columns}`").alias("__of"),
+        *[F.col(f"`{m}`").cast("double").alias(f"__m{i}") for i, m in enumerate(measures)],
+    )
+    own = [f"__k{i}" for i in range(len(keys))]
+    cells = quantile_table(named, [f"__m{i}" for i in range(len(measures))], [0.5], [*own, "__of"])
+    middle = [F.max(F.when(F.col("column") == f"__m{i}", F.col("q")[0])).alias(f"__{place}") for i, place in enumerate(places)]
+    medians = cells.groupBy(*own).pivot("__of", list(column_values)).agg(*middle, F.max(F.lit(1)).alias("__v"))
+    medians = medians.select(*own, *[f"`{v}___{i}`" for v in column_values for i in places])
+    match = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"__k{i}") for i, k in enumerate(keys)])
+    return wide.join(medians, match, "left").drop(*own)
+
+
 # -- all of it ----------------------------------------------------------------------------
 
 

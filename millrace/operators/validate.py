@@ -12,12 +12,13 @@ from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.config import Thresholds
 from millrace.functions.numbers import percent
+from millrace.operators.clean import distinct_counts
 
 # Column names the consistency checks look for, and their limits.
 NEVER_NEGATIVE = ("age", "salary", "experience", "price", "count")
@@ -193,8 +194,8 @@ def quality_checks(
 
 
 def check_duplicates(df: DataFrame, max_pct: float = Thresholds.max_duplicate_pct) -> DataFrame:
-    """Rows beyond the first of their kind. Copies merge in each task before the shuffle."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    """Rows beyond the first of their kind, told apart by 128-bit digests: no column is shuffled."""
+    groups = distinct_counts(df)
     rows = F.coalesce(F.sum("__copies"), F.lit(0))
     extra = rows - F.count(F.lit(1))
     over = F.coalesce(percent(extra, rows, None) > max_pct, F.lit(False))
@@ -304,6 +305,33 @@ def invalid_values(df: DataFrame, rule: Mapping) -> DataFrame:
     return broken.agg(F.count(F.lit(1)).alias("rows"))
 
 
+def invalid_value_rows(df: DataFrame, rules: Mapping[str, Mapping], most: int | None = None) -> DataFrame | None:
+    """Report rows of all values that break categorical rules: ``part`` is ``invalid``, ``check`` the rule, ``column`` the
+    value as text (null for missing ones) and ``value`` its rows. None without such a rule.
+
+    All rules share one scan: a row gives an entry for each rule it breaks, and entries are counted in each task before the shuffle.
+    ``most`` keeps the most frequent values of a rule only.
+    """
+    kept = {
+        n: rule for n, rule in rules.items() if rule["type"] == "categorical" and rule["column"] in df.columns and _evaluable(df, rule)
+    }
+    if not kept:
+        return None
+    broken = [
+        F.when(violation(df, rule), F.struct(F.lit(n).alias("check"), F.col(f"`{rule['column']}`").cast("string").alias("text")))
+        for n, rule in kept.items()
+    ]
+    counted = df.select(F.inline(F.array_compact(F.array(*broken)))).groupBy("check", "text").agg(F.count(F.lit(1)).alias("n"))
+    if most is not None:
+        window = Window.partitionBy("check").orderBy(F.desc("n"), F.asc("text"))
+        counted = counted.withColumn("__row", F.row_number().over(window)).where(F.col("__row") <= most)
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return counted.select(
+        F.lit("invalid").alias("part"), "check", F.col("text").alias("column"), F.lit("failed").alias("status"),
+        F.col("n").cast("double").alias("value"), percent(F.col("n"), total).cast("double").alias("pct"),
+    )
+
+
 # -- completeness -------------------------------------------------------------------------
 
 
@@ -385,7 +413,8 @@ def validation_report(
 ) -> DataFrame:
     """Every check of a dataset as long rows, the overall verdict last (part ``overall``).
 
-    The config maps ``schema``, ``business_rules`` and ``required_columns``.
+    The config maps ``schema``, ``business_rules``, ``required_columns`` and ``max_invalid_values`` (all by default). Values that
+    break categorical rules follow as rows of part ``invalid``.
     """
     config = dict(config or {})
     checks = quality_checks(df, thresholds, as_of)
@@ -398,6 +427,9 @@ def validation_report(
     held = df.agg(F.array(*checks).alias("r")).withColumn("r", F.concat("r", F.array(_verdict(F.col("r")))))
     results = held.select(F.inline("r"))
     rows = results.unionByName(check_duplicates(df, thresholds.max_duplicate_pct))
+    invalid = invalid_value_rows(df, config.get("business_rules") or {}, config.get("max_invalid_values"))
+    if invalid is not None:
+        rows = rows.unionByName(invalid)
     return rows.select(F.lit(dataset).alias("dataset"), "*")
 
 

@@ -19,7 +19,7 @@ from millrace.queries.warehouse import FACT, fact, stored_fact
 def _(t):
     stored = stored_fact(t)
     rows = stored.select("id_registro", "pais_normalizado", "tecnologia_principal")
-    return rounded(measures.star_join(rows, marts.geography_table(stored), marts.technology_table(stored)), 2)
+    return rounded(measures.star_join(rows, marts.geography_ranking(stored), marts.top_technologies(stored)), 2)
 
 
 @query(

@@ -189,6 +189,24 @@ def _(t):
     return validate.invalid_values(t.gappy, CATEGORY)
 
 
+CODES = {"type": "categorical", "column": "status", "valid_values": ["O"]}
+BROKEN_RULES = {"flag_known": CATEGORY, "status_known": CODES, "quantity_range": RANGES["quantity_range"]}
+
+
+@query(
+    "report_invalid_values",
+    " UNION ALL ".join(
+        f"""SELECT 'lineas' AS dataset, 'invalid' AS part, '{name}' AS "check", {c} AS "column", 'failed' AS status, CAST(count(*) AS DOUBLE) AS value,
+ {r("count(*) * 100.0 / (SELECT count(*) FROM {gappy})", 2)} AS pct FROM {{gappy}} WHERE NOT coalesce({c} IN ({valid}), false) GROUP BY {c}""".replace("FROM {gappy})", "FROM lineitem)")
+        for name, c, valid in (("flag_known", "flag", "'A', 'R'"), ("status_known", "status", "'O'"))
+    ),
+)
+def _(t):
+    """The values that rules refuse, in the report of the table itself."""
+    report = validate.validation_report(t.gappy, {"business_rules": BROKEN_RULES}, "lineas", as_of=datetime(2024, 11, 16))
+    return rounded(report.where("part = 'invalid'"), 2)
+
+
 RELATIONS = {
     f"rel_{i}": {"type": "relationship", "column1": "quantity", "column2": "l_linenumber", "operator": o}
     for i, o in enumerate((">", "<", ">=", "<="))

@@ -159,3 +159,70 @@ def test_forward_fill_under_ties(spark, keys):
     want = (frame.groupby("k")["x"] if keys else frame["x"]).ffill().set_axis(frame["id"]).sort_index()
     got = slices.forward_fill(df, ["x"], [F.col("day")], keys).toPandas().set_index("id")["x"].sort_index()
     np.testing.assert_array_equal(got.to_numpy(), want.to_numpy())
+
+
+def _fill_by_hand(rows):
+    """(key, order, value) in order: the last value above, per key."""
+    last, out = {}, []
+    for k, o, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        last[k] = v if v is not None else last.get(k)
+        out.append((k, o, last[k]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("rows_per_slice", [20, 10**6])
+def test_only_hot_keys_are_cut(spark, rows_per_slice):
+    """A key with a third of the rows and a null key are filled like the others."""
+    rows = [(0 if i % 3 == 0 else None if i % 7 == 1 else i % 40, i, None if i * 7919 % 5 else i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, o int, v int").repartition(5)
+    filled = slices.forward_fill(df, ["v"], [F.col("o")], ["k"], rows_per_slice)
+    assert filled.columns == ["k", "o", "v"]
+    assert sorted(map(tuple, filled.collect()), key=str) == _fill_by_hand(rows)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert ("__slice" in plan) == (rows_per_slice == 20)
+
+
+def test_copies_are_counted_by_digest(spark):
+    from millrace.operators import clean, validate
+
+    rows = [("a", 1, 0.0), ("a", 1, -0.0), ("a", None, 1.0), (None, 1, 1.0), ("b", 2, float("nan")), ("b", 2, float("nan")), ("", None, None), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "t string, n int, x double")
+    row = clean.duplicate_counts(df).first()
+    assert (row["rows_in"], row["rows_out"], row["removed"]) == (9, df.dropDuplicates().count(), 3)
+    found = validate.check_duplicates(df)
+    assert found.first()["value"] == 3
+    exchanged = [line for line in found._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning" in line]
+    assert exchanged and all("__d0" in line and "t#" not in line for line in exchanged)
+    with pytest.raises(ValueError):
+        clean.duplicate_counts(df.select(F.create_map("t", "n").alias("m")))
+
+
+def test_pivot_of_medians_holds_no_cell(spark):
+    from statistics import median
+
+    from millrace.operators import transform
+
+    rows = [(i % 3, "ab"[i % 2], float(i * 37 % 101) if i % 11 else None, i % 5) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, c string, v double, w int")
+    wide = transform.pivot(df, "k", "c", ["v", "w"], ["median", "max"], ["a", "b", "none"])
+    assert "percentile" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    for r in wide.collect():
+        for c in "ab":
+            own = [x for x in rows if x[0] == r["k"] and x[1] == c]
+            assert r[f"median_v_{c}"] == median(x[2] for x in own if x[2] is not None)
+            assert r[f"median_w_{c}"] == median(x[3] for x in own)
+            assert r[f"max_w_{c}"] == 4
+        assert r["median_v_none"] == r["max_v_none"] == 0
+
+
+def test_invalid_values_stand_in_the_report(spark):
+    from millrace.operators import validate
+
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 3)], "t string, n int")
+    rules = {"r": {"type": "categorical", "column": "t", "valid_values": ["a"]}, "s": {"type": "categorical", "column": "n", "valid_values": [1, 2]}}
+    report = validate.validation_report(df, {"business_rules": rules})
+    found = {(r["check"], r["column"]): (r["value"], r["pct"]) for r in report.where("part = 'invalid'").collect()}
+    assert found == {("r", "b"): (2, 50), ("r", None): (1, 25), ("s", "3"): (2, 50)}
+    most = validate.validation_report(df, {"business_rules": rules, "max_invalid_values": 1})
+    assert {(r["check"], r["column"]) for r in most.where("part = 'invalid'").collect()} == {("r", "b"), ("s", "3")}
+    assert validate.validation_report(df, {}).where("part = 'invalid'").count() == 0

@@ -70,6 +70,18 @@ def drop_duplicates(
     return df.withColumn("__row", F.row_number().over(window)).where("__row = 1").drop("__row")
 
 
+def deduplicate_counted(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Distinct rows, written to the shared folder, and how many rows went in and came out.
+
+    The copies are counted by the deduplication itself and stored beside the rows, so the input is not read again to be
+    counted, and a task that runs twice counts once.
+    """
+    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    stored = written(groups, "deduplicated")
+    total, rows = stored.agg(F.coalesce(F.sum("__copies"), F.lit(0)), F.count(F.lit(1))).first()
+    return stored.drop("__copies"), total, rows
+
+
 def row_digest(df: DataFrame) -> list[Column]:
     """128 bits that equal rows share, as two numbers: what to group by when only the number of copies is asked for.
 
@@ -254,8 +266,9 @@ def clean_frame(
     order_by: Sequence[Column] = (),
     keys: Sequence[str] = (),
     z: float = Thresholds.outlier_z,
+    deduplicated: bool = False,
 ) -> DataFrame:
-    """Deduplicate, fill, then clean text, numbers, dates, categories and emails.
+    """Deduplicate (unless the rows are ``deduplicated``), fill, then clean text, numbers, dates, categories and emails.
 
     The config maps ``missing_strategy``, ``text_columns``, ``numeric_columns``,
     ``date_columns``, ``categorical_columns`` (column to allowed values) and
@@ -270,9 +283,10 @@ def clean_frame(
     numeric = config.get("numeric_columns", [])
     thousands = config.get("thousands")
 
-    df = drop_duplicates(nan_as_null(df))
-    if strategy or present(df, numeric):
-        df = written(df, "deduplicated")
+    if not deduplicated:
+        df = drop_duplicates(nan_as_null(df))
+        if strategy or present(df, numeric):
+            df = written(df, "deduplicated")
     if config.get("impute_after_parse"):
         df = parse_currency(df, numeric, thousands)
     df = fill_missing(df, strategy, order_by, keys)

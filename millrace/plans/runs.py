@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.config import MiningLimits, Thresholds
@@ -43,24 +43,25 @@ def three_sources(jobs: str, investments: str, profiles: str) -> dict[str, Sourc
 
 def prepare(
     spark: SparkSession, source: SourceFile, null_tokens=NA_TOKENS, thresholds: Thresholds = Thresholds()
-) -> tuple[DataFrame, DataFrame]:
-    """Raw and prepared form of a source."""
+) -> tuple[DataFrame, int]:
+    """Prepared form of a source, and how many rows its files have."""
     raw = scan_csv(spark, source.path, source.schema, null_tokens)
-    prepared = clean.clean_frame(raw, source.cleaning, z=thresholds.outlier_z)
-    return raw, transform_frame(prepared, source.transformation)
+    rows, read, _ = clean.deduplicate_counted(clean.nan_as_null(raw))
+    prepared = clean.clean_frame(rows, source.cleaning, z=thresholds.outlier_z, deduplicated=True)
+    return transform_frame(prepared, source.transformation), read
 
 
 def load_sources(
     spark: SparkSession, files: Mapping[str, SourceFile], out: str, thresholds: Thresholds = Thresholds()
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Prepare and write every source; return the raw tables and the written ones."""
-    raws, loaded = {}, {}
+) -> tuple[dict[str, int], dict[str, DataFrame]]:
+    """Prepare and write every source; return how many rows each had, and the written tables."""
+    read, loaded = {}, {}
     for name, source in files.items():
-        raw, prepared = prepare(spark, source, thresholds=thresholds)
+        prepared, read[name] = prepare(spark, source, thresholds=thresholds)
         path = f"{out}/processed/{name}"
         write_table(tag_source(prepared, name), path)
-        raws[name], loaded[name] = raw, spark.read.parquet(path)
-    return raws, loaded
+        loaded[name] = spark.read.parquet(path)
+    return read, loaded
 
 
 def validate_sources(
@@ -82,8 +83,8 @@ def validate_sources(
 
 
 def run_metrics(
-    raws: Mapping[str, DataFrame],
-    loaded: Mapping[str, DataFrame],
+    raws: Mapping[str, DataFrame | int],
+    loaded: Mapping[str, DataFrame | int],
     reports: DataFrame,
     run_time: datetime,
     fact: DataFrame | None = None,
@@ -93,23 +94,26 @@ def run_metrics(
 ) -> DataFrame:
     """One nested row: records, verdicts, quality and duplicates removed. ``extra`` are texts.
 
+    ``raws`` and ``loaded`` are numbers of rows, or tables to be counted. Verdicts and score come from one pass over the reports.
     With a fact its summary (``seccion, metrica, clave, valor``) becomes a section, with the rows of the
     exported tables their number and all their rows.
     """
     names = {name: S.SOURCE_TAGS.get(name, name) for name in loaded}
 
-    def count(df: DataFrame) -> F.Column:
-        return df.agg(F.count(F.lit(1))).scalar()
+    def count(rows: DataFrame | int) -> Column:
+        return F.lit(rows).cast("long") if isinstance(rows, int) else rows.agg(F.count(F.lit(1))).scalar()
 
-    def verdict(dataset: str) -> F.Column:
-        one = reports.where((F.col("dataset") == dataset) & (F.col("part") == "overall"))
-        return F.coalesce(one.agg(F.max("status")).scalar(), F.lit("unknown"))
+    def verdict(dataset: str) -> Column:
+        own = F.when((F.col("dataset") == dataset) & (F.col("part") == "overall"), F.col("status"))
+        return F.coalesce(F.max(own), F.lit("unknown"))
 
-    quality = validate.quality_score(reports)
-    records = {tag: count(loaded[name]) for name, tag in names.items()}
-    row = quality.select(F.struct("score", "band").alias("q")).withColumns(
-        {f"__in_{tag}": count(raws[name]) for name, tag in names.items()}
-        | {f"__out_{tag}": c for tag, c in records.items()}
+    scored = F.when((F.col("part") == "completeness") & (F.col("check") == "score"), F.col("value"))
+    found = reports.agg(F.avg(scored).alias("score"), *[verdict(tag).alias(f"__is_{tag}") for tag in names.values()])
+    score = F.struct((F.rint(F.col("score") * 100.0) / 100.0).alias("score"), validate.quality_band(F.col("score")).alias("band"))
+    row = found.withColumns(
+        {"q": score}
+        | {f"__in_{tag}": count(raws[name]) for name, tag in names.items()}
+        | {f"__out_{tag}": count(loaded[name]) for name, tag in names.items()}
     )
     processed = [F.col(f"__out_{tag}").alias(tag) for tag in names.values()]
     total = sum((F.col(f"__out_{tag}") for tag in names.values()), F.lit(0)).alias("total_registros")
@@ -129,7 +133,7 @@ def run_metrics(
     return row.select(
         F.lit(run_time.isoformat()).alias("fecha_ejecucion"),
         F.struct(*processed, total, F.lit(run_time.isoformat()).alias("fecha_procesamiento"), F.col("q.score").alias("puntuacion_calidad_datos")).alias("registros_procesados"),
-        F.struct(*[verdict(tag).alias(tag) for tag in names.values()]).alias("resultados_validacion"),
+        F.struct(*[F.col(f"__is_{tag}").alias(tag) for tag in names.values()]).alias("resultados_validacion"),
         F.struct(F.col("q.band").alias("estado_general"), F.struct(*removed).alias("duplicados_eliminados")).alias(
             "resumen_calidad"
         ),
@@ -156,7 +160,7 @@ def run_three_sources(
     import json
 
     out = out.rstrip("/")
-    raws, loaded = load_sources(spark, files, out, thresholds)
+    read, loaded = load_sources(spark, files, out, thresholds)
 
     built = warehouse.build_fact(loaded["jobs"], loaded["investment"], loaded["profiles"], run_time)
     write_table(built, f"{out}/fact", partition_by="fuente_datos")
@@ -179,7 +183,7 @@ def run_three_sources(
     written = write_tables(tables, f"{out}/bi", bi_format)
 
     metrics = run_metrics(
-        raws, loaded, reports, run_time, fact,
+        read, loaded, reports, run_time, fact,
         {"tablas_bi": ",".join(written), "analisis_mineria_datos": json.dumps(results, ensure_ascii=False)},
         spark.read.parquet(f"{out}/summary"), written,
     )
@@ -196,7 +200,7 @@ def run_two_sources(
 ) -> DataFrame:
     """Clean, transform, validate and load, without warehouse, mining and export."""
     out = out.rstrip("/")
-    raws, loaded = load_sources(spark, files, out, thresholds)
+    read, loaded = load_sources(spark, files, out, thresholds)
     reports = validate_sources(spark, files, loaded, out, thresholds, run_time)
-    write_json_document(run_metrics(raws, loaded, reports, run_time), f"{out}/metrics")
+    write_json_document(run_metrics(read, loaded, reports, run_time), f"{out}/metrics")
     return spark.read.json(f"{out}/metrics")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators import validate
+from millrace.operators import clean, validate
 from millrace.operators import warehouse as wh
 from millrace.plans import runs
 from millrace.queries.base import query, r, rounded
@@ -140,13 +140,14 @@ def _(t):
  c.n - o.n AS duplicados_empleos, CAST(0 AS BIGINT) AS duplicados_perfiles FROM c, o, p""",
 )
 def _(t):
-    jobs, people = t.copied, t.profiles.select("edad", "salario_actual_usd", "id_persona")
-    loaded = {"jobs": jobs.dropDuplicates(), "profiles": people}
-    reports = validate.validation_report(loaded["jobs"], {}, "empleos", as_of=RUN).unionByName(
-        validate.validation_report(people.drop("id_persona"), {}, "perfiles", as_of=RUN)
-    )
-    exported = sinks.write_tables(loaded, scratch_path(t.spark, "exported"))
-    metrics = runs.run_metrics({"jobs": jobs, "profiles": people}, loaded, reports, RUN, exported=exported)
+    jobs, n_jobs, _ = clean.deduplicate_counted(t.copied)
+    people, n_people, _ = clean.deduplicate_counted(t.profiles.select("edad", "salario_actual_usd", "id_persona"))
+    folder, reported = scratch_path(t.spark, "exported"), scratch_path(t.spark, "reports")
+    exported = sinks.write_tables({"jobs": jobs, "profiles": people}, folder)
+    loaded = {name: t.spark.read.parquet(f"{folder}/{name}") for name in exported}
+    for name, table in (("empleos", loaded["jobs"]), ("perfiles", loaded["profiles"].drop("id_persona"))):
+        sinks.append_report(validate.validation_report(table, {}, name, as_of=RUN), reported)
+    metrics = runs.run_metrics({"jobs": n_jobs, "profiles": n_people}, exported, t.spark.read.parquet(reported), RUN, exported=exported)
     path = scratch_path(t.spark, "metrics")
     sinks.write_json_document(metrics, path)
     read = t.spark.read.schema(metrics.schema).json(path)

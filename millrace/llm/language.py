@@ -31,6 +31,8 @@ FILTERS = 10
 SYMBOLS = 64
 WINDOWS_PER_DOC = 3
 PER_LANGUAGE = 1_500
+#: How many times as many documents of a language are ranked as are wanted; those held out or without letters are among them.
+MARGIN = 4
 UND = "und"
 
 FOLD = np.full(256, 26, np.int64)
@@ -49,10 +51,14 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """Training rows (lang, window): bounded, the same on every run, spread over whole texts."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out(F.col("doc_id")))
     mark = F.xxhash64(F.lit(4), F.col("doc_id"))
-    # the smallest hashes of each language; the rank is cut in each task before any shuffle
     slim = usable.select("lang", F.col("doc_id").alias("picked"), mark.alias("mark"))
+    # the smallest hashes of each language. Counts give each a bound that MARGIN times as many lie below, so that of a language
+    # of a third of all documents no more than these are sorted; without text the count is one light scan
+    size = docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("size"))
+    bound = F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(float(MARGIN * per_language)) / F.col("size"))
+    low = slim.join(size, "lang").filter(F.col("mark").cast("double") <= bound)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    picked = slim.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("picked").distinct()
+    picked = low.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("picked").distinct()
     chosen = usable.join(F.broadcast(picked), F.col("doc_id") == F.col("picked"))  # at most per_language rows a language
     n = F.length("text")
     starts = [F.pmod(F.xxhash64(F.lit(i), F.col("doc_id")), F.greatest(n - WINDOW + 1, F.lit(1))) for i in range(WINDOWS_PER_DOC)]

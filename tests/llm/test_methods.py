@@ -294,3 +294,21 @@ def test_no_source_is_above_three_epochs(spark):
     targets = {r["source"]: r["target"] for r in got}
     assert sum(targets.values()) == pytest.approx(5300)
     assert re.match("s", min(s for s in targets if s))
+
+
+def test_language_sample_is_cut_before_it_is_ranked(spark):
+    """The smallest hashes of each language are picked, and of a hot one few rows meet in the window."""
+    from pyspark.sql import functions as F
+
+    from millrace.llm import language
+
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 60 == 0, "rare").otherwise("hot").alias("lang"), F.lit("some words").alias("text"))
+    picked = language.sample(docs, 40)
+    usable = docs.filter(~language.held_out(F.col("doc_id"))).withColumn("mark", F.xxhash64(F.lit(4), F.col("doc_id")))
+    want = {}
+    for r in sorted(usable.collect(), key=lambda r: r["mark"]):
+        want.setdefault(r["lang"], []).append(r["doc_id"])
+    assert {r["lang"]: r["count"] for r in picked.groupBy("lang").count().collect()} == {k: language.WINDOWS_PER_DOC * min(40, len(v)) for k, v in want.items()}
+    bound = [-(2.0**63) + 2.0**64 * min(1.0, language.MARGIN * 40 / n) for n in (5900, 100)]
+    below = usable.filter((F.col("lang") == "hot") & (F.col("mark") <= bound[0])).count()
+    assert 40 <= below <= 300

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,8 @@ REPOST = 0.8
 #: Pages that must hold a block of an article before it goes, as two may tell the same story.
 LEAST_PAGES = 3
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
+#: A quote that is never closed ends at the next ``>``.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 GAPS = re.compile(r"\s+")
 
@@ -89,14 +91,19 @@ def blocks(source: str) -> list[tuple[int, str, bool]]:
     out: list[tuple[int, str, bool]] = []
     held: list[str] = []
     open_: list[tuple[str, int]] = []  # element, kind of what it holds
+    many: Counter[str] = Counter()  # how many of each are open, so that an end without a start walks nowhere
     kind, at = OTHER, 0
 
+    def leave(depth: int) -> None:
+        many.subtract(n for n, _ in open_[depth:])
+        del open_[depth:]
+
     def close() -> None:
         if held:
             text = GAPS.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                out.append((kind, text, any(n == "p" for n, _ in open_)))
+                out.append((kind, text, many["p"] > 0))
 
     while m := TAG.search(source, at):
         if m.start() > at:
@@ -108,15 +115,16 @@ def blocks(source: str) -> list[tuple[int, str, bool]]:
         if m[1]:
             if name in INLINE and name not in [n for n, _ in open_[-8:]]:
                 continue
-            for depth in range(len(open_) - 1, -1, -1):
-                if open_[depth][0] == name:
-                    if name not in INLINE or open_[depth][1] != kind or any(n not in INLINE for n, _ in open_[depth:]):
-                        close()
-                    del open_[depth:]
-                    kind = open_[-1][1] if open_ else OTHER
-                    break
-            else:
+            if not many[name]:
+                close()
+                continue
+            depth = len(open_) - 1
+            while open_[depth][0] != name:
+                depth -= 1
+            if name not in INLINE or open_[depth][1] != kind or any(n not in INLINE for n, _ in open_[depth:]):
                 close()
+            leave(depth)
+            kind = open_[-1][1] if open_ else OTHER
             continue
         if name in SILENT and not m[3].endswith("/"):
             if name not in INLINE:
@@ -130,11 +138,11 @@ def blocks(source: str) -> list[tuple[int, str, bool]]:
         if name not in INLINE:
             close()
             while open_ and name in CLOSED_BY.get(open_[-1][0], ()):
-                open_.pop()
-            if name in CLOSED_BY["p"]:  # an open paragraph ends, with the inline elements left open in it
+                leave(len(open_) - 1)
+            if many["p"] and name in CLOSED_BY["p"]:  # an open paragraph ends, with the inline elements left open in it
                 for depth in range(len(open_) - 1, -1, -1):
                     if open_[depth][0] == "p":
-                        del open_[depth:]
+                        leave(depth)
                         break
                     if open_[depth][0] not in INLINE:
                         break
@@ -150,6 +158,7 @@ def blocks(source: str) -> list[tuple[int, str, bool]]:
         if own != kind:
             close()
         open_.append((name, own))
+        many[name] += 1
         kind = own
     held.append(source[at:])
     close()

@@ -312,3 +312,47 @@ def test_language_sample_is_cut_before_it_is_ranked(spark):
     bound = [-(2.0**63) + 2.0**64 * min(1.0, language.MARGIN * 40 / n) for n in (5900, 100)]
     below = usable.filter((F.col("lang") == "hot") & (F.col("mark") <= bound[0])).count()
     assert 40 <= below <= 300
+
+
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        ('<article><p>one</p><a href="x>two</a></article>', ["one", "two"]),
+        ("<article><p>one</p><a href='x>two</article>", ["one", "two"]),
+        ('<article><p>one</p><a href="x two', ["one"]),
+        ('<article><a title="a > b">one</a> two</article>', ["one two"]),
+        ("<article>one</div></p></b> two</article>", ["one", "two"]),
+    ],
+)
+def test_broken_markup_is_no_text(source, want):
+    from millrace.llm.pages import blocks
+
+    assert [text for _, text, _ in blocks(source)] == want
+
+
+def test_open_elements_take_time_in_proportion():
+    import time
+
+    from millrace.llm.pages import blocks
+
+    for start, end in (("<div>", "</span></section>"), ("<b>", "<p>x</p>"), ("<p><i>", "</u></ul>"), ('<a href="', ">x")):
+        took = []
+        for n in (4_000, 16_000):
+            began = time.process_time()
+            blocks(start * n + end * n)
+            took.append(time.process_time() - began)
+        assert took[1] < 10 * max(took[0], 0.02)
+
+
+def test_op3_defined_cases(spark):
+    """Empty tables, null html, clashing columns, repeated rows and a very long page."""
+    from millrace.llm import pages
+
+    story = " ".join(f"word{i}" for i in range(40_000))
+    menu = "<div>Home and News and About us and Contact</div>"
+    html = lambda text: f"<html><body>{menu}<article><p>{text}</p></article></body></html>"
+    rows = [(1, "http://a/1", html("first story")), (1, "http://a/1", html("first story")), (2, "http://a/2", html(story)), (3, None, None), (None, "http://a/4", ""), (5, "http://a/5", html("fifth"))]
+    docs = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "page_id long, url string, html string, key int, hash int, host_hash int, start int")
+    got = sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in pages.extract(docs).collect())
+    assert got == [(0, "", 0), (1, "first story", 11), (1, "first story", 11), (2, story, len(story)), (3, "", 0), (5, "fifth", 5)]
+    assert pages.extract(docs.limit(0)).collect() == []

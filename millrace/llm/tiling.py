@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import LOWER, mixed, pieces, text_bytes, word_hashes, words
+from millrace.llm.arrays import LOWER, mixed, pieces, prefix_sums, span_hashes, text_bytes, word_hashes, words
 from millrace.llm.common import Shared
 
 SEED = 5
@@ -68,37 +68,62 @@ def windows(hashes: np.ndarray, length: int) -> np.ndarray:
     return mixed(out)
 
 
+def _free(taken: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The starts of windows that lie inside of the text and hold no marked word."""
+    starts = starts[starts + length < len(taken) + 1]
+    marked = np.r_[0, np.cumsum(taken)]
+    return starts[marked[starts + length] == marked[starts]]
+
+
 def tile(doc: np.ndarray, test: np.ndarray, least: int = LEAST) -> int:
-    """Words of the test that greedy string tiling marks; both are arrays of word hashes."""
-    index: dict[int, list[int]] = {}
-    for j, h in enumerate(windows(test, least).tolist()):
-        index.setdefault(h, []).append(j)
-    heads = windows(doc, least)
-    places = np.flatnonzero(np.isin(heads, np.fromiter(index, np.uint64, len(index)))) if index else []
-    seeds = [(int(i), j) for i in places for j in index[int(heads[i])]]
-    a, b = doc.tolist(), test.tolist()
-    taken_a: set[int] = set()
-    taken_b = [False] * len(b)
-    while seeds:
-        # the longest run from each seed over words not marked; longest first, then leftmost in the document
-        runs = []
-        alive = []
-        for i, j in seeds:
-            k = 0
-            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and i + k not in taken_a and not taken_b[j + k]:
-                k += 1
-            if k >= least:
-                runs.append((k, i, j))
-                alive.append((i, j))
-        if not runs:
+    """Words of the test that greedy string tiling marks; both are arrays of word hashes.
+
+    Running Karp-Rabin: the hashes of all unmarked windows of the search length are compared. The length is the
+    largest at which any agree, found by bisection, as parts of a common run are common too; all that agree are marked,
+    leftmost in the document first, and the length falls. Windows can only start where one of ``least`` words agrees.
+    """
+    if len(doc) < least or len(test) < least or least < 1:
+        return 0
+    sums_a, sums_b = prefix_sums(doc), prefix_sums(test)
+    places_b = np.arange(len(test) - least + 1)
+    heads = span_hashes(sums_a, np.arange(len(doc) - least + 1), np.arange(least, len(doc) + 1))
+    places_a = np.flatnonzero(np.isin(heads, span_hashes(sums_b, places_b, places_b + least)))
+    taken_a, taken_b = np.zeros(len(doc), bool), np.zeros(len(test), bool)
+
+    def common(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Unmarked windows of the document and of the test that agree, with their hashes."""
+        a, b = _free(taken_a, places_a, length), _free(taken_b, places_b, length)
+        of_a, of_b = span_hashes(sums_a, a, a + length), span_hashes(sums_b, b, b + length)
+        some_a, some_b = np.isin(of_a, of_b), np.isin(of_b, of_a)
+        return a[some_a], of_a[some_a], b[some_b], of_b[some_b]
+
+    top = min(len(doc), len(test))
+    while top >= least:
+        low, high = least - 1, top  # some windows agree at low, none above high
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if len(common(middle)[0]) else (low, middle - 1)
+        if low < least:
             break
-        longest = max(runs)[0]
-        for k, i, j in sorted(runs, key=lambda r: (r[1], r[2])):
-            if k == longest and not any(i + x in taken_a or taken_b[j + x] for x in range(k)):
-                taken_a.update(range(i, i + k))
-                taken_b[j : j + k] = [True] * k
-        seeds = alive
-    return sum(taken_b)
+        a, of_a, b, of_b = common(low)
+        queues: dict[int, list[int]] = {}
+        for h, j in zip(of_b[::-1].tolist(), b[::-1].tolist(), strict=True):
+            queues.setdefault(h, []).append(j)
+        at, left = 0, len(queues)
+        for h, i in zip(of_a.tolist(), a.tolist(), strict=True):
+            if i < at or not queues[h]:
+                continue
+            queue = queues[h]
+            while queue and (taken_b[queue[-1] : queue[-1] + low].any() or not np.array_equal(doc[i : i + low], test[queue[-1] : queue[-1] + low])):
+                queue.pop()  # a part of it is marked by now
+            if queue:
+                at, j = i + low, queue.pop()
+                taken_a[i:at] = taken_b[j : j + low] = True
+            left -= not queue
+            if not left:
+                break
+        top = low - 1
+    return int(taken_b.sum())
 
 
 class Block:
@@ -137,16 +162,17 @@ class Block:
         return found
 
 
-def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple]]:
-    blocks, size = [[]], 0
+def _blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple]]:
+    """Tests in blocks of so many words; the driver holds one at a time. At least one block, if an empty one."""
+    block, size = [], 0
     for row in benchmark.select("item_id", "text").filter("text is not null").orderBy("item_id", "text").toLocalIterator():
         n = row["text"].count(" ") + 1
-        if blocks[-1] and size + n > most:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row["item_id"], row["text"]))
+        if block and size + n > most:
+            yield block
+            block, size = [], 0
+        block.append((row["item_id"], row["text"]))
         size += n
-    return blocks
+    yield block
 
 
 def _matches(block: Block, batch: pa.RecordBatch, least: int, coverage: float) -> list[tuple]:

@@ -356,3 +356,49 @@ def test_op3_defined_cases(spark):
     got = sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in pages.extract(docs).collect())
     assert got == [(0, "", 0), (1, "first story", 11), (1, "first story", 11), (2, story, len(story)), (3, "", 0), (5, "fifth", 5)]
     assert pages.extract(docs.limit(0)).collect() == []
+
+
+def naive_tiling(doc, test, least):
+    """Greedy string tiling word by word: all runs of unmarked words, the longest first, leftmost in the document."""
+    a, b = [False] * len(doc), [False] * len(test)
+    while True:
+        runs = []
+        for i in range(len(doc)):
+            for j in range(len(test)):
+                k = 0
+                while i + k < len(doc) and j + k < len(test) and doc[i + k] == test[j + k] and not a[i + k] and not b[j + k]:
+                    k += 1
+                if k >= least:
+                    runs.append((k, i, j))
+        if not runs:
+            return sum(b)
+        longest = max(runs)[0]
+        for k, i, j in sorted(runs, key=lambda r: r[1:]):
+            if k == longest and not any(a[i : i + k]) and not any(b[j : j + k]):
+                a[i : i + k] = b[j : j + k] = [True] * k
+
+
+def test_tiling_is_greedy():
+    rng = np.random.default_rng(3)
+    for case in range(250):
+        words = rng.integers(1, [3, 6, 40][case % 3], 90).astype(np.uint64)
+        test = rng.integers(1, [3, 6, 40][case % 3], rng.integers(1, 30)).astype(np.uint64)
+        doc = np.concatenate([words[:20], test[len(test) // 2 :], words[20:40], test[: len(test) // 2 + 2]])
+        least = min(3, len(test))
+        assert tiling.tile(doc, test, least) == naive_tiling(doc.tolist(), test.tolist(), least)
+
+
+def test_tiling_of_repetitive_texts_takes_little_time():
+    import time
+
+    began = time.process_time()
+    assert tiling.tile(np.ones(200_000, np.uint64), np.ones(100, np.uint64)) == 100
+    assert tiling.tile(np.arange(200_000, dtype=np.uint64) % np.uint64(7), np.arange(300, dtype=np.uint64) % np.uint64(5)) == 300
+    assert time.process_time() - began < 5
+
+
+def test_blocks_of_the_benchmark_are_told_one_by_one(spark):
+    tests = spark.createDataFrame([(i, "some words of a test") for i in range(10)], "item_id long, text string")
+    blocks = tiling._blocks(tests, 12)
+    assert len(next(blocks)) == 2 and len(list(blocks)) == 4
+    assert list(tiling._blocks(tests.limit(0), 12)) == [[]]

@@ -177,12 +177,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     limit = F.lit(float("inf"))
     sound = F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < limit)) & F.exists(e, lambda v: v != 0)
     usable = F.coalesce(F.col("label").isNotNull() & e.isNotNull() & sound, F.lit(False))
-    node = F.when(usable, F.xxhash64("label", e))
-    rows = written(vectors.select("vec_id", "label", e.alias("embedding"), node.alias("node")), "cover-rows")
-    used = rows.filter("node is not null")
-    # equal vectors: same label, same components
-    reps = used.groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    reps = written(reps.withColumn("dims", F.size("embedding")), "cover-reps")
+    # 128 bits say which vectors are equal, label and components; the equal ones are one node
+    marks = [F.when(usable, F.xxhash64(F.lit(i), "label", e)).alias(f"mark{i}") for i in (0, 1)]
+    rows = written(vectors.select("vec_id", "label", e.alias("embedding"), *marks), "cover-rows")
+    used = rows.filter("mark0 is not null")
+    reps = used.groupBy("mark0", "mark1").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    reps = written(reps.withColumn("dims", F.size("embedding")).withColumn("node", F.monotonically_increasing_id()), "cover-reps")
 
     members, pairs = _blocks(reps, block)
     reach = float(np.sqrt(2 - 2 * cosine)) + 1e-6
@@ -201,8 +201,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     named = reps.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     info = named.join(least, "root").join(counts, F.col("node") == F.col("u"), "left")
-    info = info.select(F.col("node").alias("rep"), "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = rows.join(info, F.col("node") == F.col("rep"), "left")
+    info = info.select("mark0", "mark1", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = rows.join(info, ["mark0", "mark1"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id",

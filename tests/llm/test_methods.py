@@ -402,3 +402,24 @@ def test_blocks_of_the_benchmark_are_told_one_by_one(spark):
     blocks = tiling._blocks(tests, 12)
     assert len(next(blocks)) == 2 and len(list(blocks)) == 4
     assert list(tiling._blocks(tests.limit(0), 12)) == [[]]
+
+
+def test_spans_that_are_clear_of_others():
+    import random
+
+    draw = random.Random(2)
+    for _ in range(300):
+        spans = [("k", a := draw.randrange(60), a + draw.randrange(1, 12)) for _ in range(draw.randrange(8))]
+        clear = secrets.clear_of(spans)
+        for a in range(70):
+            for n in (1, 5):
+                assert clear(a, a + n) == (not any(s < a + n and a < e for _, s, e in spans))
+
+
+def test_op7_defined_cases(spark):
+    """Empty tables, null and repeated ids, clashing columns."""
+    rows = [(1, "a", [1.0, 0.0]), (1, "a", [1.0, 0.0]), (None, "a", [1.0, 0.001]), (4, "b", [1.0, 0.0]), (5, None, [1.0, 0.0]), (6, "a", [0.0, 0.0]), (7, "a", None)]
+    vectors = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "vec_id long, label string, embedding array<double>, node int, mark0 int, root int")
+    got = sorted(((r["vec_id"] or 0), r["n_links"], r["component_id"]) for r in covertree.near_duplicates(vectors).collect())
+    assert got == [(0, 2, 1), (1, 2, 1), (1, 2, 1), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7)]
+    assert covertree.near_duplicates(vectors.limit(0)).collect() == []

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import pieces, text_bytes
-from millrace.llm.common import Shared
+from millrace.llm.common import Shared, written
+from millrace.operators.lookup import fits_broadcast
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -54,7 +55,8 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     slim = usable.select("lang", F.col("doc_id").alias("picked"), mark.alias("mark"))
     # the smallest hashes of each language. Counts give each a bound that MARGIN times as many lie below, so that of a language
     # of a third of all documents no more than these are sorted; without text the count is one light scan
-    size = docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("size"))
+    size = written(docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("size")), "languages")
+    size = F.broadcast(size) if fits_broadcast(size) else size
     bound = F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(float(MARGIN * per_language)) / F.col("size"))
     low = slim.join(size, "lang").filter(F.col("mark").cast("double") <= bound)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))

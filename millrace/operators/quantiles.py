@@ -6,7 +6,8 @@ keeps the values inside the brackets and only counts those between them, before
 shuffled. A group of n rows sends about 6n/accuracy values on. Where those are still more than
 one task should order, they are cut into cells whose exact counts tell which cells hold the wanted
 ranks, and only these are cut again: no window ever sees more than ``limit`` rows of a group. If a
-bracket missed its rank after all, the work is done again with wider ones.
+bracket missed its rank after all, the work is done again with wider ones. Tables whose groups are all small need no
+sketch: one pass orders their values as they are.
 """
 
 from __future__ import annotations
@@ -98,6 +99,15 @@ def _by_group(df: DataFrame, columns: Sequence[str], keys: list[str], brackets:
     return tagged.select(*keys, "column", "__n", inside.alias("__in"), value.alias("__v"))
 
 
+def _small_groups(df: DataFrame, columns: Sequence[str], keys: list[str]) -> DataFrame:
+    """Counts of all values of groups that one window may order as they are, with the rows of the group, in one pass."""
+    entries = [F.struct(F.lit(c).alias("column"), _number(c).alias("__v")) for c in columns]
+    spread = df.select(*keys, F.inline(F.array(*entries))).where(F.col("__v").isNotNull())
+    counts = spread.groupBy(*keys, "column", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    rows = F.sum("__c").over(Window.partitionBy(*keys, "column"))
+    return counts.withColumn("__n", rows).withColumn("__in", F.lit(True))
+
+
 def _match(df: DataFrame, table: DataFrame, group: list[str]) -> DataFrame:
     """Each row with the row of its group, whose number is looked at."""
     right = table.select(*[F.col(g).alias(f"__g_{g}") for g in group], *[c for c in table.columns if c not in group])
@@ -183,7 +193,11 @@ def quantile_table(
     probs, keys = [float(p) for p in probs], list(keys)
     if probs != sorted(probs):
         raise ValueError("probabilities must ascend")
-    group = [*keys, "column"]
+    group, span = [*keys, "column"], range(len(probs))
+    if keys:
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest <= min(limit, 2 * accuracy):  # brackets would hold all values of such groups
+            return _interpolated(_picked(_small_groups(df, columns, keys), group, probs), group, probs)
     brackets = _brackets(df, columns, keys, probs, accuracy, slack)
     if keys:
         brackets = settle(brackets)
@@ -196,13 +210,16 @@ def quantile_table(
     counts = values.groupBy(*group, "__n", "__in", "__v").agg(F.count(F.lit(1)).alias("__c"))
     large = largest > min(limit, 2 * accuracy)
     picked = _picked(_bounded(counts, group, probs, limit) if large else counts, group, probs)
-    span = range(len(probs))
     if large:
         hits = [F.col(f"__{end}{i}")["__in"] for i in span for end in ("lo", "hi")]
         if not picked.where(~reduce(lambda a, b: a & b, hits)).isEmpty():
             return quantile_table(df, columns, probs, keys, accuracy, max(8 * slack, SLACK), limit)
+    return _interpolated(picked, group, probs)
+
+
+def _interpolated(picked: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
     results = []
-    for i, at in zip(span, _positions(probs), strict=True):
+    for i, at in enumerate(_positions(probs)):
         low, high = F.col(f"__lo{i}")["__v"], F.col(f"__hi{i}")["__v"]
         results.append(low + (high - low) * (at - F.floor(at)))
     return picked.select(*group, F.col("__n").alias("n"), F.array(*results).alias("q"))

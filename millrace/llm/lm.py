@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,8 @@ ROUNDS = SHARE
 BATCH = 4096
 #: Rows of the weight table whose steps travel together.
 CHUNK = 1024
+#: Groups of tasks whose steps are added up before all of a chunk are.
+FAN = 4
 END = np.int64(0x7E0D)
 
 _LETTER = np.zeros(256, bool)
@@ -196,21 +199,37 @@ def _updates(table: np.ndarray, memory: np.ndarray, tokens: Tokens, of: np.ndarr
         table[ROWS] -= (rate * g / np.sqrt(memory[ROWS])).astype(np.float32)
 
 
+def _added(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
+    """Sums of the weighted steps of each group of rows (keys…, moved, weight, step) that come in order, one group at a time."""
+    now, total, weight = None, None, None
+    for batch in batches:
+        for *key, moved, own, step in zip(*[batch.column(c).to_pylist() for c in (*keys, "moved", "weight", "step")], strict=True):
+            if key != now:
+                if now is not None:
+                    yield tuple(now), total, weight
+                now, total, weight = key, np.zeros((CHUNK, CLASSES)), np.zeros(CHUNK)
+            at = np.frombuffer(moved, np.int32) - key[0] * CHUNK
+            total[at] += np.frombuffer(step, np.float32).reshape(-1, CLASSES)
+            weight[at] += np.frombuffer(own, np.float32)
+    if now is not None:
+        yield tuple(now), total, weight
+
+
+def _sum_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The steps of some tasks as one row, for each chunk of the table."""
+    for (chunk, part), total, weight in _added(batches, ["chunk", "part"]):
+        at = np.flatnonzero(weight)
+        values = [(at + chunk * CHUNK).astype(np.int32), weight[at].astype(np.float32), total[at].astype(np.float32)]
+        arrays = [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), *[pa.array([v.tobytes()], pa.binary()) for v in values]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "part", "moved", "weight", "step"])
+
+
 def _mean_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every row moves by the mean of the tasks that moved it, by their tokens."""
-    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
-        for chunk, seen, moved, step in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            total, weight = sums.setdefault(chunk, (np.zeros((CHUNK, CLASSES)), np.zeros(CHUNK)))
-            at = np.frombuffer(moved, np.int32) - chunk * CHUNK
-            total[at] += np.frombuffer(step, np.float32).reshape(-1, CLASSES) * seen
-            weight[at] += seen
-    rows, means = [], []
-    for chunk, (total, weight) in sums.items():
+    for (chunk,), total, weight in _added(batches, ["chunk"]):
         at = np.flatnonzero(weight)
-        rows.append((at + chunk * CHUNK).astype(np.int32).tobytes())
-        means.append((total[at] / weight[at, None]).astype(np.float32).tobytes())
-    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(means, pa.binary())], names=["moved", "step"])
+        values = [(at + chunk * CHUNK).astype(np.int32), (total[at] / weight[at, None]).astype(np.float32)]
+        yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=["moved", "step"])
 
 
 def fit(training: DataFrame, of: np.ndarray, prior: np.ndarray, rounds: int = ROUNDS, share: int = SHARE, rate: float = 0.1) -> np.ndarray:
@@ -233,13 +252,18 @@ def fit(training: DataFrame, of: np.ndarray, prior: np.ndarray, rounds: int = RO
             moved = np.flatnonzero((own != start).any(axis=1))
             cuts = np.searchsorted(moved, np.arange(0, ROWS + 1 + CHUNK, CHUNK))
             parts = [(i, moved[a:b]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-            steps = [(own[m] - start[m]).tobytes() for _, m in parts]
-            arrays = [pa.array([i for i, _ in parts], pa.int64()), pa.array([float(seen)] * len(parts), pa.float64()), pa.array([m.astype(np.int32).tobytes() for _, m in parts], pa.binary()), pa.array(steps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "seen", "moved", "step"])
+            task = TaskContext.get().partitionId()
+            steps = [((own[m] - start[m]) * np.float32(seen)).tobytes() for _, m in parts]
+            weights = [np.full(len(m), seen, np.float32).tobytes() for _, m in parts]
+            arrays = [pa.array([i for i, _ in parts], pa.int64()), pa.array([task] * len(parts), pa.int32()), *[pa.array(x, pa.binary()) for x in ([m.astype(np.int32).tobytes() for _, m in parts], weights, steps)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "task", "moved", "weight", "step"])
 
         some = training.filter(slice_of == turn % share).select("text")
-        steps = some.mapInArrow(work, "chunk long, seen double, moved binary, step binary").repartition("chunk")
-        for r in steps.mapInArrow(_mean_steps, "moved binary, step binary").collect():  # a table of fixed size
+        # in two levels, so that many tasks do not meet in as many as there are chunks; in the order of the tasks, so that reruns agree
+        steps = some.mapInArrow(work, "chunk long, task int, moved binary, weight binary, step binary").withColumn("part", F.pmod("task", F.lit(FAN)))
+        steps = steps.repartition("chunk", "part").sortWithinPartitions("chunk", "part", "task")
+        sums = steps.mapInArrow(_sum_steps, "chunk long, part int, moved binary, weight binary, step binary").repartition("chunk").sortWithinPartitions("chunk", "part")
+        for r in sums.mapInArrow(_mean_steps, "moved binary, step binary").collect():  # a table of fixed size
             table[np.frombuffer(r["moved"], np.int32)] += np.frombuffer(r["step"], np.float32).reshape(-1, CLASSES)
     return table
 

@@ -423,3 +423,29 @@ def test_op7_defined_cases(spark):
     got = sorted(((r["vec_id"] or 0), r["n_links"], r["component_id"]) for r in covertree.near_duplicates(vectors).collect())
     assert got == [(0, 2, 1), (1, 2, 1), (1, 2, 1), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7)]
     assert covertree.near_duplicates(vectors.limit(0)).collect() == []
+
+
+def test_steps_of_tasks_are_added_in_order(spark):
+    """Two levels of sums give the mean by tokens; reruns of the whole score agree to the last digit."""
+    from millrace.llm import lm
+
+    draw = np.random.default_rng(4)
+    rows, want = [], {}
+    for task in range(13):
+        for chunk in (0, 2):
+            moved = np.unique(draw.integers(0, lm.CHUNK, 5)) + chunk * lm.CHUNK
+            step, seen = draw.normal(size=(len(moved), lm.CLASSES)).astype(np.float32), float(draw.integers(1, 9))
+            rows.append((chunk, task % lm.FAN, task, moved.astype(np.int32).tobytes(), np.full(len(moved), seen, np.float32).tobytes(), (step * np.float32(seen)).tobytes()))
+            for m, s in zip(moved.tolist(), step, strict=True):
+                total, weight = want.get(m, (np.zeros(lm.CLASSES), 0.0))
+                want[m] = (total + s * seen, weight + seen)
+    steps = spark.createDataFrame(rows, "chunk long, part int, task int, moved binary, weight binary, step binary").repartition(5)
+    sums = steps.repartition("chunk", "part").sortWithinPartitions("chunk", "part", "task").mapInArrow(lm._sum_steps, "chunk long, part int, moved binary, weight binary, step binary")
+    got = {}
+    for r in sums.repartition("chunk").sortWithinPartitions("chunk", "part").mapInArrow(lm._mean_steps, "moved binary, step binary").collect():
+        got |= dict(zip(np.frombuffer(r["moved"], np.int32).tolist(), np.frombuffer(r["step"], np.float32).reshape(-1, lm.CLASSES), strict=True))
+    assert set(got) == set(want)
+    assert all(np.allclose(got[m], total / weight, atol=1e-5) for m, (total, weight) in want.items())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    once, again = (sorted((r["doc_id"], r["score"]) for r in lm.score(docs).collect()) for _ in range(2))
+    assert once == again

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.csv import write_csv
@@ -30,14 +30,23 @@ def write_tables(
     """Write every table that has rows below the folder; return the names written with their rows, counted on the way."""
     written = {}
     for name, df in tables.items():
-        if df is not None and not df.isEmpty():
-            seen = Observation(name)
-            counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-            write_table(counted, f"{folder.rstrip('/')}/{name}", fmt, mode)
+        # a new table is written and taken back if it has no rows; only one that replaces or joins another is looked at first
+        if df is None or (mode != "errorifexists" and df.isEmpty()):
+            continue
+        path, seen = f"{folder.rstrip('/')}/{name}", Observation(name)
+        write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, mode)
+        if seen.get["rows"]:
             written[name] = seen.get["rows"]
+        else:
+            _remove(df.sparkSession, path)
     return written
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_json_document(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One nested document per row, such as the metrics of a run."""
     df.coalesce(1).write.mode(mode).json(path)

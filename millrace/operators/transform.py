@@ -20,6 +20,8 @@ from millrace.session import settle
 
 #: Values that a column may spread over columns if they are not given; every caller can pass another limit.
 MAX_CATEGORIES = 1_000
+#: Pairs of rows that a block of a hot key's join makes, about, and tasks over which the blocks of all hot keys are dealt, at most.
+PAIRS_PER_BLOCK, MAX_BLOCK_TASKS = 4_000_000, 2_000
 
 # -- names and derived columns ------------------------------------------------------------
 
@@ -311,7 +313,8 @@ def merge(
 
     Equally named keys become one column; other columns both sides have get the suffixes.
     An outer join runs as a left join plus the unmatched right rows: AQE splits a hot key in
-    those two, not in a full outer join. Without keys the columns that both sides have are the
+    those two, not in a full outer join. Keys of more than ``PAIRS_PER_BLOCK`` pairs of rows are joined in blocks
+    (``_merge_hot``), as a join by key alone makes all of a key's pairs in one task. Without keys the columns that both sides have are the
     keys. Null keys of both sides multiply; ``null_keys=False`` lets them match nothing. A cross join
     gives every pair, so one side should be a small table of the caller's.
     """
@@ -351,10 +354,56 @@ def merge(
                 columns.append(side("r", c).alias(c + suffixes[1] if c in overlap else c))
         return joined.select(*columns)
 
+    hot = _hot_keys(lhs, rhs, [f"__l_{k}" for k in lkeys], [f"__r_{k}" for k in rkeys], match)
+    most = hot.agg(F.max("__a"), F.max("__b"), F.sum(F.col("__a") * F.col("__b"))).first()
+    if most[2]:
+        # each side has rows of a hot key, so these need nothing but pairs, however the rest is joined
+        pairs = output(_merge_hot(lhs, rhs, hot, match, *most))
+        known = F.broadcast(hot)
+        lhs = lhs.join(known.select(*[f"`{c}`" for c in hot.columns if c.startswith("__r_")]), match, "left_anti")
+        rhs = rhs.join(known.select(*[f"`{c}`" for c in hot.columns if c.startswith("__l_")]), match, "left_anti")
     if how == "outer":
         unmatched = rhs.join(lhs.select(*[f"`__l_{k}`" for k in lkeys]), match, "left_anti")
-        return output(lhs.join(rhs, match, "left")).unionByName(output(unmatched))
-    return output(lhs.join(rhs, match, how))
+        joined = output(lhs.join(rhs, match, "left")).unionByName(output(unmatched))
+    else:
+        joined = output(lhs.join(rhs, match, how))
+    return joined.unionByName(pairs) if most[2] else joined
+
+
+def _hot_keys(lhs: DataFrame, rhs: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str], match: Column) -> DataFrame:
+    """Keys of more than ``PAIRS_PER_BLOCK`` pairs: the keys of both sides, a number ``__hot``, and into how many parts the
+    rows of the left (``__a``) and right side (``__b``) are dealt, so that a part of each makes about as many pairs as that.
+
+    One side has at least the root of that many rows for each, so there are few and they fit a broadcast.
+    """
+    left = lhs.groupBy(*[f"`{k}`" for k in lkeys]).agg(F.count(F.lit(1)).cast("double").alias("__nl"))
+    right = rhs.groupBy(*[f"`{k}`" for k in rkeys]).agg(F.count(F.lit(1)).cast("double").alias("__nr"))
+    nl, nr, side = F.col("__nl"), F.col("__nr"), PAIRS_PER_BLOCK**0.5
+
+    def parts(own: Column, other: Column) -> Column:
+        return F.ceil(own / F.when(other < side, PAIRS_PER_BLOCK / other).otherwise(side))
+
+    hot = left.join(right, match).where(nl * nr > PAIRS_PER_BLOCK)
+    hot = hot.withColumns({"__a": parts(nl, nr), "__b": parts(nr, nl), "__hot": F.monotonically_increasing_id()})
+    return settle(hot.drop("__nl", "__nr"))
+
+
+def _merge_hot(lhs: DataFrame, rhs: DataFrame, hot: DataFrame, match: Column, most_a: int, most_b: int, blocks: int) -> DataFrame:
+    """All pairs of rows of hot keys: every part of the left side meets every part of the right one in a block of its own."""
+    spark = hot.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(rows: DataFrame, other: str, most: int, own: str, met: str) -> DataFrame:
+        known = hot.drop(*[c for c in hot.columns if c.startswith("__l_" if other == "__r_" else "__r_")])
+        held = rows.join(F.broadcast(known), match).drop(*[c for c in hot.columns if c.startswith(other)])
+        # dealt round by Spark, also rows that are equal
+        held = held.repartition(max(least, most)).withColumn(f"__of{own}", F.pmod(F.spark_partition_id().cast("long"), F.col(own)))
+        held = held.withColumn(f"__of{met}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(met) - 1)))
+        return held.drop("__a", "__b").repartition(min(blocks, MAX_BLOCK_TASKS), "__hot", "__of__a", "__of__b")
+
+    left = dealt(lhs, "__r_", most_a, "__a", "__b")
+    right = dealt(rhs, "__l_", most_b, "__b", "__a")
+    return left.join(right.hint("shuffle_hash"), ["__hot", "__of__a", "__of__b"]).drop("__hot", "__of__a", "__of__b")
 
 
 def _merge_cross(left: DataFrame, right: DataFrame, suffixes: tuple[str, str]) -> DataFrame:

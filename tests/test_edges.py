@@ -224,6 +224,24 @@ def test_merge_matches_pandas(spark, how):
     )
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_merge_deals_hot_keys_over_tasks(spark, how, monkeypatch):
+    """Pairs of a key with many rows on both sides, null and equal rows included, come from many tasks and are all there once."""
+    monkeypatch.setattr(transform, "PAIRS_PER_BLOCK", 500, raising=False)
+    many = [(None, "n", i % 40) for i in range(200)] + [(7, "s", 1)] * 60 + [(1, "a", i) for i in range(30)]
+    left = [*many, (2, "c", 12), (3, "only", 1)]
+    right = [(None, "r", i) for i in range(90)] + [(7, "t", 2)] * 50 + [(1, "b", 5), (2, "x", 20), (4, "z", 22)]
+    dl, dr = spark.createDataFrame(left, "k int, v string, l int"), spark.createDataFrame(right, "k int, v string, r int")
+    got = transform.merge(dl, dr, "k", "k", how).withColumn("task", F.spark_partition_id()).toPandas()
+    want = pd.DataFrame(left, columns=["k", "v", "l"]).merge(pd.DataFrame(right, columns=["k", "v", "r"]), on="k", how=how)
+    pd.testing.assert_series_equal(
+        got.drop(columns="task").astype("object").fillna("-").value_counts().sort_index(),
+        want.astype("object").fillna("-").value_counts().sort_index(),
+    )
+    for some in (got["k"].isna(), got["k"] == 7):
+        assert got[some].groupby("task").size().max() < 0.6 * some.sum()
+
+
 def test_merge_on_different_names(spark):
     left = spark.createDataFrame(LEFT, "a int, v string, l int")
     right = spark.createDataFrame(RIGHT, "b int, v string, r int")

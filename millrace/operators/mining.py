@@ -12,6 +12,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -33,6 +35,8 @@ from millrace.session import scratch_path, settle, written
 R2_GRADES = ((0.7, "Alta"), (0.5, "Media"))
 ACCURACY_GRADES = ((0.8, "Alta"), (0.6, "Media"))
 LOWEST_GRADE = "Baja"
+# Training rows that are worth a task, and tasks for each core.
+ROWS_PER_TASK, TASKS_PER_CORE = 20_000, 3
 CLUSTER_FEATURES = ("edad", "salario_usd", "pais")
 REGRESSION_FEATURES = ("inversion_usd", "duracion_meses", "satisfaccion_promedio")
 CLASSIFIER_FEATURES = ("tecnologia_principal", "pais", "nivel_experiencia")
@@ -49,6 +53,15 @@ def grade(score: Column, grades: Sequence[tuple[float, str]]) -> Column:
     return chain.otherwise(F.lit(LOWEST_GRADE))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Stored rows dealt over the cores if their files make too few tasks, as for a model that passes over them many times.
+
+    No more than ``TASKS_PER_CORE`` tasks a core, as each of a forest sends the counts of all open nodes.
+    """
+    tasks = min(-(-rows.count() // ROWS_PER_TASK), TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(tasks) if tasks > rows.rdd.getNumPartitions() else rows
+
+
 # -- association rules --------------------------------------------------------------------
 
 
@@ -171,11 +184,11 @@ class Clustering:
 def kmeans(features: DataFrame, k: int, limits: MiningLimits = MiningLimits()) -> Clustering:
     """Best of several k-means runs; clusters are numbered from 1 in the order of their centers.
 
-    The runs share one stored copy of the vectors. Spark may drop it under memory pressure or
-    with an executor and works it out again.
+    The rows are written first and spread over the cores. The runs share one stored copy of the vectors.
+    Spark may drop it under memory pressure or with an executor and reads the rows again.
     """
     columns = [f"{c}_z" for c in CLUSTER_FEATURES]
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(features)
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(spread(written(features, "features")))
     vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         runs = [
@@ -308,10 +321,10 @@ def single_regression(table: DataFrame, feature: str, label: str = "label") -> D
 def _assembled(table: DataFrame, features: Sequence[str]):
     """Training and test rows with their feature vectors.
 
-    The rows are written first, so neither a pass of the training nor the scoring works them out again; the vectors of the training
-    rows are kept while a model passes over them.
+    The rows are written first, so neither a pass of the training nor the scoring works them out again, and spread over the cores; the
+    vectors of the training rows are kept while a model passes over them.
     """
-    rows = written(table, "samples")
+    rows = spread(written(table, "samples"))
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
     train = vectors.where(~F.col("es_prueba")).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -405,33 +418,44 @@ def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
 def score_nodes(
     rows: DataFrame, nodes: DataFrame, features: Sequence[str], prediction: str = "prediction", max_depth: int = 30
 ) -> DataFrame:
-    """Adds what the forest says of each row, with built-in expressions only. 30 is the deepest a tree can be.
+    """Adds what the forest says of each row. 30 is the deepest a tree can be.
 
-    All trees travel as one value with the plan: their number and depth are settings, so its size does not grow with the data.
+    All trees travel as one value with the plan, once per task and never with a row: their number and depth are settings, so its size
+    does not grow with the data. Each step takes all rows of a batch one level down, the columns of the features alone go to it.
     A regression forest gives the mean of its trees, a classifier the class with the largest sum of shares, the first of equal ones.
     """
-    node = F.struct("nodo", "izquierdo", "derecho", "caracteristica", "umbral", "valor")
-    trees = nodes.groupBy("arbol").agg(F.sort_array(F.collect_list(node)).alias("tree"))
-    forest = trees.agg(F.sort_array(F.collect_list(F.struct("arbol", "tree"))).alias("trees"))
-    steps = F.sequence(F.lit(1), F.lit(max_depth))
-    values = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
-
-    def leaf(tree: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            here = tree[at]
-            below = F.when(values[here["caracteristica"]] <= here["umbral"], here["izquierdo"]).otherwise(here["derecho"])
-            return F.when(here["izquierdo"] < 0, at).otherwise(below)
-
-        return tree[F.aggregate(steps, F.lit(0), step)]["valor"]
-
-    said = F.transform("__trees", lambda t: leaf(t["tree"]))
-    none = F.transform(F.get("__said", F.lit(0)), lambda _: F.lit(0.0))
-    sums = F.aggregate("__said", none, lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-    answer = F.when(F.size("__sums") == 1, F.get("__sums", F.lit(0)) / F.size("__trees")).otherwise(
-        (F.array_position("__sums", F.array_max("__sums")) - 1).cast("double")
-    )
-    told = rows.withColumn("__trees", forest.scalar()).withColumn("__said", said).withColumn("__sums", sums)
-    return told.withColumn(prediction, answer).drop("__trees", "__said", "__sums")
+    columns = ["arbol", "nodo", "izquierdo", "derecho", "caracteristica", "umbral", "valor"]
+    table = nodes.select(*columns).orderBy("arbol", "nodo").toPandas()
+    trees = [
+        (
+            tree["nodo"].to_numpy(np.int64),
+            np.stack([tree["izquierdo"], tree["derecho"]]).astype(np.int64),
+            tree["caracteristica"].to_numpy(np.int64),
+            tree["umbral"].to_numpy(np.float64),
+            np.array(tree["valor"].tolist(), np.float64),
+        )
+        for _, tree in table.groupby("arbol", sort=True)
+    ]
+
+    @F.pandas_udf("double")
+    def say(*values: pd.Series) -> pd.Series:
+        x = np.stack([v.to_numpy(np.float64, na_value=np.nan) for v in values])
+        every, sums = np.arange(x.shape[1]), 0.0
+        for numbers, children, feature, limit, said in trees:
+            at = np.zeros(x.shape[1], np.int64)  # the place of the root, which has the lowest number
+            below = np.searchsorted(numbers, children)
+            leaf = children[0] < 0
+            for _ in range(max_depth):
+                if leaf[at].all():
+                    break
+                # a gap is above every limit
+                down = below[np.where(x[np.maximum(feature[at], 0), every] <= limit[at], 0, 1), at]
+                at = np.where(leaf[at], at, down)
+            sums = sums + said[at]
+        answer = sums[:, 0] / len(trees) if sums.shape[1] == 1 else sums.argmax(axis=1).astype(np.float64)
+        return pd.Series(answer)
+
+    return rows.withColumn(prediction, say(*[F.col(f"`{c}`").cast("double") for c in features]))
 
 
 def node_importances(nodes: DataFrame, names: Sequence[str]) -> DataFrame:

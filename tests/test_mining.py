@@ -145,6 +145,19 @@ def test_nodes_say_what_the_model_says(spark, samples, fit, depth):
     assert of_nodes == pytest.approx(own, abs=2e-4)
 
 
+def test_rows_are_scored_without_the_trees(spark, samples):
+    """No row carries the forest, gaps go right, and stored rows of one file are dealt over the cores for the training."""
+    model, told = mining.fit_forest_regressor(samples, mining.CLASSIFIER_FEATURES, MiningLimits(trees=5), 5)
+    both = mining.score_nodes(told.withColumn("pais", F.when(F.col("label") == 1, F.col("pais"))), model.nodes(spark), mining.CLASSIFIER_FEATURES, "p")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "__trees" not in plan and "ubquery" not in plan
+    gaps = both.where("pais is null").select(F.count("*"), F.count("p")).first()
+    assert 0 < gaps[0] == gaps[1]
+    stored = spark.range(90_000, numPartitions=1)
+    assert mining.spread(stored).rdd.getNumPartitions() == 5
+    assert mining.spread(stored.limit(500)).rdd.getNumPartitions() == 1
+
+
 def test_a_forest_of_leaves(spark, samples):
     """Without a split all rows get one answer and no feature has a weight."""
     one = samples.withColumn("label", F.lit(1.0))

@@ -246,11 +246,16 @@ PERIOD_COLUMNS = (
 
 
 def _period_counts(fact: DataFrame, date: str, sets: Sequence[Sequence[str]]) -> DataFrame:
-    """Counts, means and distinct ids of the periods of all grouping sets, from one pass over the fact."""
+    """Counts, means and distinct ids of the periods of all grouping sets, from one pass over the fact.
+
+    The dated rows are dealt round first: a task holds the distinct ids of its rows for each grouping set, whatever the files of the
+    fact hold. They are not dealt by id, as a frequent one would go to one task.
+    """
     dated = fact.where(F.col(date).isNotNull()).select(
         F.year(date).alias("__year"), F.quarter(date).alias("__quarter"), "salario_usd", "edad", "id_registro"
     )
-    return dated.groupingSets([list(s) for s in sets], "__year", "__quarter").agg(
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dated.repartition(tasks).groupingSets([list(s) for s in sets], "__year", "__quarter").agg(
         F.grouping("__quarter").alias("__whole"),
         F.count("salario_usd").alias("Total_Empleos"),
         round_half_even(F.avg("salario_usd"), 2).alias("Salario_Promedio"),

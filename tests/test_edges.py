@@ -242,6 +242,18 @@ def test_merge_deals_hot_keys_over_tasks(spark, how, monkeypatch):
         assert got[some].groupby("task").size().max() < 0.6 * some.sum()
 
 
+def test_ids_of_periods_are_counted_in_many_tasks(spark):
+    """Dated rows of one file are dealt over tasks, so that none holds all distinct ids; frequent ids are dealt, too."""
+    rows = spark.range(20_000, numPartitions=1).select(
+        F.expr("make_date(2020 + cast(id % 2 as int), 1 + cast(id % 12 as int), 1)").alias("d"), F.lit(1.0).alias("salario_usd"),
+        F.lit(30.0).alias("edad"), F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("id_registro"),
+    )
+    counts = marts._period_counts(rows, "d", [["__year"], ["__year", "__quarter"]])
+    assert "RoundRobinPartitioning" in counts._jdf.queryExecution().executedPlan().toString()
+    got = {r["Periodo"]: r["Registros_Unicos"] for r in marts.period_table(rows, "d").collect()}
+    assert got["Año 2020"] == 1 and got["Año 2021"] == 10_000 and got["Q4-2021"] == 3332
+
+
 def test_merge_on_different_names(spark):
     left = spark.createDataFrame(LEFT, "a int, v string, l int")
     right = spark.createDataFrame(RIGHT, "b int, v string, r int")

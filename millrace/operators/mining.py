@@ -36,7 +36,7 @@ R2_GRADES = ((0.7, "Alta"), (0.5, "Media"))
 ACCURACY_GRADES = ((0.8, "Alta"), (0.6, "Media"))
 LOWEST_GRADE = "Baja"
 # Training rows that are worth a task, and tasks for each core.
-ROWS_PER_TASK, TASKS_PER_CORE = 20_000, 3
+ROWS_PER_TASK, TASKS_PER_CORE = 100_000, 3
 CLUSTER_FEATURES = ("edad", "salario_usd", "pais")
 REGRESSION_FEATURES = ("inversion_usd", "duracion_meses", "satisfaccion_promedio")
 CLASSIFIER_FEATURES = ("tecnologia_principal", "pais", "nivel_experiencia")

@@ -153,7 +153,7 @@ def test_rows_are_scored_without_the_trees(spark, samples):
     assert "__trees" not in plan and "ubquery" not in plan
     gaps = both.where("pais is null").select(F.count("*"), F.count("p")).first()
     assert 0 < gaps[0] == gaps[1]
-    stored = spark.range(90_000, numPartitions=1)
+    stored = spark.range(450_000, numPartitions=1)
     assert mining.spread(stored).rdd.getNumPartitions() == 5
     assert mining.spread(stored.limit(500)).rdd.getNumPartitions() == 1
 

@@ -11,6 +11,10 @@ pairs. Those of more than ``PAIRS`` texts keep one text for each fingerprint; th
 on to covering tables over the bits that theirs left out. With 12 bits or fewer left no bucket can have as many, so this ends, and no task
 holds more of a bucket. The forests connect all within the radius whose other fingerprints do not rule it out (``APART``).
 
+A link of a forest that is not confirmed may have stood for a pair that would be. So texts that forests connect and confirmed links do not
+pass through the buckets once more, with the group they are in, and every pair from different groups is a candidate then: a
+pair of candidates alike to ``LEAST`` is always in one group. Their buckets keep all texts of a fingerprint (36 bytes each).
+
 Defined cases: texts without a word are one text; fewer words than a shingle make one shingle; repeated rows give one row; a null id
 is the last one; columns may have any names but those that end in an underscore; an empty table gives an empty result.
 """
@@ -24,7 +28,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import LOWER, mixed, pieces, prefix_sums, span_hashes, text_bytes, word_hashes, words
@@ -96,7 +100,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(id, text) to (id, shingles): the set of 32-bit hashes of the shingles, packed."""
+    """(id, text) to (id, shingles): the set of hashes of the shingles, packed."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -104,9 +108,8 @@ def _sets(docs: DataFrame) -> DataFrame:
             data, offsets = text_bytes(batch.column("text"))
             for low, high in pieces(offsets):
                 hashes, bounds, _ = shingles(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-                short = (hashes >> np.uint64(32)).astype(np.uint32)
-                own = [np.diff(np.unique(short[a:b]), prepend=np.uint32(0)) for a, b in pairwise(bounds.tolist())]
-                sets = pa.array([pack(x.astype("<u4").tobytes()) for x in own], pa.binary())
+                own = [np.diff(np.unique(hashes[a:b]), prepend=np.uint64(0)) for a, b in pairwise(bounds.tolist())]
+                sets = pa.array([pack(x.astype("<u8").tobytes()) for x in own], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, high - low), sets], names=["id", "shingles"])
 
     return docs.select("id", "text").mapInArrow(work, "id long, shingles binary")
@@ -118,40 +121,49 @@ def _by_key(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 
 def _entries(texts: DataFrame, masks: list[int]) -> DataFrame:
-    """(id, prints) to one row per fingerprint and table: (t, y, id, x, w0, w1).
+    """(id, prints, perhaps root) to one row per fingerprint and table: (tx, id, w0, w1, perhaps root).
 
-    y are the bits of the fingerprint x that the table keeps; w0 and w1 hold ``SEEN`` bits of other fingerprints of the text.
+    tx is the number of the table and, in its low ``BITS`` bits, the fingerprint; w0 and w1 hold ``SEEN`` bits of other fingerprints of
+    the text. What a table keeps of the fingerprint follows from both and does not travel (``_bucket``).
     """
+    carried = [c for c in ("id", "root") if c in texts.columns]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = np.array(masks, np.uint32)
-        tables = np.arange(PRINTS * len(masks), dtype=np.int32)
+        tables = np.arange(PRINTS * len(masks), dtype=np.int64).reshape(PRINTS, -1) << BITS
         for batch in (part.slice(low, TEXTS) for part in batches for low in range(0, part.num_rows, TEXTS)):
             x = np.frombuffer(b"".join(batch.column("prints").to_pylist()), "<u4").reshape(-1, PRINTS)
-            ids = batch.column("id").to_numpy()
-            y = (x[:, :, None] & keep).reshape(len(x), -1)
             # of fingerprint k the next four
             others = np.stack([np.roll(x, -k - 1, axis=1)[:, : SEEN // BITS] for k in range(PRINTS)], axis=1)
             others = np.repeat(np.ascontiguousarray(others).view("<i8").reshape(-1, 2), len(masks), axis=0)
-            arrays = [np.tile(tables, len(x)), y.ravel().view(np.int32), np.repeat(ids, len(tables)), np.repeat(x.ravel(), len(masks)).view(np.int32), others[:, 0], others[:, 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)) for a in arrays], names=["t", "y", "id", "x", "w0", "w1"])
+            own = [np.repeat(batch.column(c).to_numpy(), tables.size) for c in carried]
+            arrays = [(x[:, :, None] | tables).ravel(), own[0], others[:, 0], others[:, 1], *own[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)) for a in arrays], names=["tx", "id", "w0", "w1", *carried[1:]])
+
+    return texts.select(*carried, "prints").mapInArrow(work, ", ".join(f"{c} long" for c in ("tx", "id", "w0", "w1", *carried[1:])))
 
-    return texts.select("id", "prints").mapInArrow(work, "t int, y int, id long, x int, w0 long, w1 long")
+
+def _bucket(kept: list[int]) -> Column:
+    """The bucket of an entry: its table, and the bits of its fingerprint that the table keeps."""
+    keeps = ", ".join(f"{(t << BITS) | m}L" for t, m in enumerate(kept))
+    return F.expr(f"tx & get(array({keeps}), cast(shiftright(tx, {BITS}) as int))")
 
 
 class Entries:
-    """Entries of a stretch of buckets as arrays."""
+    """Entries of a stretch of buckets as arrays; with ``roots``, only texts of different roots are near."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, w: np.ndarray):
-        self.ids, self.x, self.w = ids, x, w
+    def __init__(self, ids: np.ndarray, x: np.ndarray, w: np.ndarray, roots: np.ndarray | None = None):
+        self.ids, self.x, self.w, self.roots = ids, x, w, roots
 
     def at(self, some) -> Entries:
-        return Entries(self.ids[some], self.x[some], self.w[some])
+        return Entries(self.ids[some], self.x[some], self.w[some], None if self.roots is None else self.roots[some])
 
     def near(self, i: np.ndarray, j: np.ndarray, radius: int) -> np.ndarray:
         """Whether the fingerprints lie within the radius, and the other bits not farther apart than those of texts alike."""
         close = np.bitwise_count(self.x[i] ^ self.x[j]) <= radius
-        close[close] = np.bitwise_count(self.w[i[close]] ^ self.w[j[close]]).sum(axis=1) <= APART
+        if self.roots is not None:
+            close &= self.roots[i] != self.roots[j]
+        others = (self.w[i[close]] ^ self.w[j[close]]).view(np.uint64)  # of a negative number the bits of its absolute value would count
+        close[close] = np.bitwise_count(others).sum(axis=1) <= APART
         return close
 
 
@@ -189,6 +201,19 @@ def _pairs(e: Entries, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(u, np.int64), np.array(v, np.int64)
 
 
+def _every(e: Entries, radius: int) -> Iterator[np.ndarray]:
+    """All near pairs of one bucket, some rows of comparisons at a time."""
+    e = e.at(np.argsort(e.roots, kind="stable"))
+    n, after = len(e.ids), np.searchsorted(e.roots, e.roots, "right")
+    step = max(1, AT_ONCE // max(1, n))
+    for low in range(0, n, step):
+        high, begin = min(n, low + step), int(after[low])
+        i, j = np.repeat(np.arange(low, high), n - begin), np.tile(np.arange(begin, n), high - low)
+        near = e.near(i, j, radius) & (i < j)
+        if near.any():
+            yield np.stack([e.ids[i[near]], e.ids[j[near]]], axis=1)
+
+
 class Bucket:
     """One bucket as it streams by: a text for each fingerprint in it; ``hot`` from the time these are too many."""
 
@@ -211,17 +236,44 @@ class Bucket:
         self.hot = True
         return links, self.held
 
-    def end(self, radius: int) -> np.ndarray:
-        if self.hot or len(self.held.ids) < 2:
-            return np.zeros((0, 2), np.int64)
-        u, v = _pairs(self.held, radius)
-        return np.stack([self.held.ids[u], self.held.ids[v]], axis=1)
+    def end(self, radius: int) -> Iterator[np.ndarray]:
+        if not self.hot and len(self.held.ids) > 1:
+            u, v = _pairs(self.held, radius)
+            yield np.stack([self.held.ids[u], self.held.ids[v]], axis=1)
+
+
+class WholeBucket:
+    """One bucket of which every near pair is wanted; ``hot`` from the time its fingerprints are too many."""
 
+    def __init__(self, table: int, most: int):
+        self.table, self.most, self.hot = table, most, False
+        self.parts, self.seen = [], np.zeros(0, np.uint32)
+
+    def add(self, e: Entries) -> tuple[np.ndarray, Entries]:
+        """No links yet, and entries that have to go on to finer tables."""
+        none = np.zeros((0, 2), np.int64)
+        if self.hot:
+            return none, e
+        self.parts.append(e)
+        self.seen = np.union1d(self.seen, e.x)
+        if len(self.seen) <= self.most:
+            return none, e.at(slice(0, 0))
+        self.hot, on = True, self.whole()
+        self.parts = []
+        return none, on
 
-def _inside(group: np.ndarray, e: Entries, radius: int) -> np.ndarray:
-    """Links of spanning forests over many whole buckets, numbered by ``group``."""
+    def whole(self) -> Entries:
+        return Entries(*[np.concatenate([getattr(e, c) for e in self.parts]) for c in ("ids", "x", "w", "roots")])
+
+    def end(self, radius: int) -> Iterator[np.ndarray]:
+        if not self.hot:
+            yield from _every(self.whole(), radius)
+
+
+def _inside(group: np.ndarray, e: Entries, radius: int) -> Iterator[np.ndarray]:
+    """Links of spanning forests over many whole buckets, numbered by ``group``; all near pairs if there are roots."""
     size = np.bincount(group)
-    small, u, v, found = size[group] <= PAIRS, [], [], []
+    small, u, v = size[group] <= PAIRS, [], []
     for step in range(1, int(size[size <= PAIRS].max(initial=0))):
         at = np.flatnonzero((group[step:] == group[:-step]) & small[step:])
         at = at[e.near(at, at + step, radius)]
@@ -229,32 +281,45 @@ def _inside(group: np.ndarray, e: Entries, radius: int) -> np.ndarray:
         v.append(at + step)
     if u:
         i, j = np.concatenate(u), np.concatenate(v)
-        kept = _forest(len(group), i, j)
-        found.append(np.stack([e.ids[i[kept]], e.ids[j[kept]]], axis=1))
+        kept = _forest(len(group), i, j) if e.roots is None else slice(None)
+        yield np.stack([e.ids[i[kept]], e.ids[j[kept]]], axis=1)
     for g in np.flatnonzero(size > PAIRS).tolist():
+        if e.roots is not None:
+            yield from _every(e.at(group == g), radius)
+            continue
         bucket = Bucket(0, len(group))
-        found += [bucket.add(e.at(group == g))[0], bucket.end(radius)]
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        yield bucket.add(e.at(group == g))[0]
+        yield from bucket.end(radius)
 
 
-def _buckets(entries: DataFrame, radius: int, most: int) -> DataFrame:
-    """Entries by (t, y) to candidate pairs (u, v), and the entries (u: id, v: x, t, w0, w1) of buckets of more than ``most`` fingerprints."""
+def _buckets(entries: DataFrame, kept: list[int], radius: int, most: int) -> DataFrame:
+    """Entries to candidate pairs (u, v), and the entries (u: id, v: tx, w0, w1, root) of buckets of more than ``most`` fingerprints.
+
+    ``kept`` are the bits that each table keeps.
+    """
+    rooted = "root" in entries.columns
+    kind, names = (WholeBucket if rooted else Bucket), ["u", "v", "w0", "w1", *(["root"] if rooted else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(u: np.ndarray, v: np.ndarray, t: int | None = None, w: np.ndarray | None = None) -> pa.RecordBatch:
-            others = [pa.nulls(len(u), pa.int64())] * 2 if w is None else [pa.array(np.ascontiguousarray(w[:, k])) for k in (0, 1)]
-            arrays = [pa.array(np.ascontiguousarray(u)), pa.array(np.ascontiguousarray(v)), pa.array([t] * len(u), pa.int32()), *others]
-            return pa.RecordBatch.from_arrays(arrays, names=["u", "v", "t", "w0", "w1"])
+        keep = np.array(kept, np.uint32)
+
+        def pairs(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for links in found:
+                arrays = [pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(len(links), pa.int64())] * (len(names) - 2)], names=names)
 
         def absorbed(e: Entries) -> Iterator[pa.RecordBatch]:
             links, on = bucket.add(e)
-            yield rows(links[:, 0], links[:, 1])
-            yield rows(on.ids, on.x.astype(np.int64), bucket.table, on.w)
+            yield from pairs([links])
+            arrays = [on.ids, on.x.astype(np.int64) | bucket.table << BITS, on.w[:, 0], on.w[:, 1], *([on.roots] if rooted else [])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)) for a in arrays], names=names)
 
         now, bucket = None, None
         for batch in batches:
-            t, y, ids, x, w0, w1 = (batch.column(c).to_numpy() for c in ("t", "y", "id", "x", "w0", "w1"))
-            e = Entries(ids, x.view(np.uint32), np.stack([w0, w1], axis=1))
+            tx, ids, w0, w1 = (batch.column(c).to_numpy() for c in ("tx", "id", "w0", "w1"))
+            t, x = tx >> BITS, (tx & ((1 << BITS) - 1)).astype(np.uint32)
+            y = x & keep[t]
+            e = Entries(ids, x, np.stack([w0, w1], axis=1), batch.column("root").to_numpy() if rooted else None)
             cut = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (y[1:] != y[:-1])])
             last, inner = int(cut[-1]), 0
             if (int(t[0]), int(y[0])) == now:
@@ -262,41 +327,45 @@ def _buckets(entries: DataFrame, radius: int, most: int) -> DataFrame:
                 yield from absorbed(e.at(slice(0, inner)))
             if inner < len(t):
                 if bucket:
-                    yield rows(*bucket.end(radius).T)
+                    yield from pairs(bucket.end(radius))
                 # whole buckets, and the last one, which may go on in the next batch
                 if inner < last:
                     group = np.cumsum(np.isin(np.arange(inner, last), cut)) - 1
-                    yield rows(*_inside(group, e.at(slice(inner, last)), radius).T)
-                now, bucket = (int(t[last]), int(y[last])), Bucket(int(t[last]), most)
+                    yield from pairs(_inside(group, e.at(slice(inner, last)), radius))
+                now, bucket = (int(t[last]), int(y[last])), kind(int(t[last]), most)
                 yield from absorbed(e.at(slice(last, None)))
         if bucket:
-            yield rows(*bucket.end(radius).T)
+            yield from pairs(bucket.end(radius))
 
-    return entries.repartition("t", "y").sortWithinPartitions("t", "y").mapInArrow(work, "u long, v long, t int, w0 long, w1 long")
+    dealt = entries.repartition(_bucket(kept)).sortWithinPartitions(_bucket(kept))
+    return dealt.mapInArrow(work, ", ".join(f"{c} long" for c in names))
 
 
 def candidates(texts: DataFrame, radius: int = RADIUS, most: int = BUCKET) -> DataFrame:
-    """(id, prints) of distinct texts to pairs (u, v) that connect all texts near in a fingerprint."""
+    """(id, prints) of distinct texts to pairs (u, v) that connect all texts near in a fingerprint.
+
+    With a column root: all pairs near in a fingerprint whose roots differ.
+    """
     masks = covering_masks(list(range(BITS)), radius)
-    known = {t: masks[t % len(masks)] for t in range(PRINTS * len(masks))}
+    known = masks * PRINTS
     entries, found = _entries(texts, masks), []
+    more = [c for c in ("root",) if c in texts.columns]
     while True:
-        both = written(_buckets(entries, radius, most), "near-buckets")
-        found.append(both.filter("t is null").select("u", "v"))
-        hot = both.filter("t is not null")
+        both = written(_buckets(entries, known, radius, most), "near-buckets")
+        found.append(both.filter("w0 is null").select("u", "v"))
+        hot = both.filter("w0 is not null").withColumn("t", F.shiftright("v", BITS))
         tables = sorted(r["t"] for r in hot.select("t").distinct().collect())  # as many as there are masks, not rows
         if not tables:
             break
         # the tables of a hot bucket keep more of the bits, a text without any difference left in the rest shares all of them
         finer = [(t, known[t] | m) for t in tables for m in covering_masks([b for b in range(BITS) if not known[t] >> b & 1], radius)]
-        signed = [(t, i, m - (1 << BITS) if m >> (BITS - 1) else m) for i, (t, m) in enumerate(finer)]
-        table = texts.sparkSession.createDataFrame(signed, "t int, next int, m int")
-        x = F.when(F.col("v") >= 1 << (BITS - 1), F.col("v") - (1 << BITS)).otherwise(F.col("v")).cast("int")
-        entries = hot.join(F.broadcast(table), "t").select(F.col("next").alias("t"), x.bitwiseAND(F.col("m")).alias("y"), F.col("u").alias("id"), x.alias("x"), "w0", "w1")
-        known = {i: m for i, (_, m) in enumerate(finer)}
+        table = texts.sparkSession.createDataFrame([(t, i << BITS) for i, (t, _) in enumerate(finer)], "t long, next long")
+        x = F.col("v").bitwiseAND(F.lit((1 << BITS) - 1))
+        entries = hot.join(F.broadcast(table), "t").select(F.col("next").bitwiseOR(x).alias("tx"), F.col("u").alias("id"), "w0", "w1", *more)
+        known = [m for _, m in finer]
     out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    for pairs in found[1:]:
+        out = out.unionByName(pairs)
     return out.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
@@ -311,8 +380,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFr
             last, one = None, None
             for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
                 if a != last:
-                    last, one = a, np.cumsum(np.frombuffer(open_(a), "<u4"), dtype=np.uint32)
-                two = np.cumsum(np.frombuffer(open_(b), "<u4"), dtype=np.uint32)
+                    last, one = a, np.cumsum(np.frombuffer(open_(a), "<u8"), dtype=np.uint64)
+                two = np.cumsum(np.frombuffer(open_(b), "<u8"), dtype=np.uint64)
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 good[i] = common >= least * (len(one) + len(two) - common)
             yield pa.RecordBatch.from_arrays([pa.array(u[good]), pa.array(v[good])], names=["u", "v"])
@@ -322,6 +391,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFr
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(work, "u long, v long")
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components."""
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    both = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    return both.filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+
+
 def groups(docs: DataFrame, radius: int = RADIUS, least: float = LEAST) -> DataFrame:
     """(key_, text) to (key_, root): a number that near-duplicate texts share."""
     texts = written(_texts(docs), "near-texts")
@@ -333,10 +409,22 @@ def groups(docs: DataFrame, radius: int = RADIUS, least: float = LEAST) -> DataF
     sets = written(_sets(_by_key(docs.select("key_", "text"), wanted, "inner")), "near-sets")
     # first each text and the smallest of its partners; then only pairs that this has not joined
     first = written(confirmed(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), sets, least), "near-first")
-    roots = connected(first, "near-roots")
-    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-    apart = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v"))
-    links = first.union(written(confirmed(apart.select("u", "v"), sets, least), "near-second"))
+    second = written(confirmed(_apart(pairs, connected(first, "near-roots")), sets, least), "near-second")
+    links = first.union(second)
+    roots = connected(links, "near-components")
+    # a refused link may have stood for pairs that a forest leaves out
+    whole = connected(pairs, "near-connected").select(F.col("node").alias("id"), F.col("root").alias("tree"))
+    whole = whole.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "tree", F.coalesce("root", "id").alias("root"))
+    parted = whole.groupBy("tree").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    parted = written(whole.join(parted.select("tree"), "tree", "left_semi").select("id", "root"), "near-parted")
+    every = candidates(distinct.select("id", "prints").join(parted, "id"), radius)
+    every = written(every.join(pairs, ["u", "v"], "left_anti"), "near-every")
+    # again a few pairs of each text and group first
+    of_u = parted.select(F.col("id").alias("u"), F.col("root").alias("root_u"))
+    some = every.join(of_u, "u").groupBy("v", "root_u").agg(F.min("u").alias("u")).select("u", "v")
+    links = links.union(written(confirmed(some, sets, least), "near-third"))
+    last = _apart(every.join(some, ["u", "v"], "left_anti"), connected(links, "near-roots"))
+    links = links.union(written(confirmed(last, sets, least), "near-fourth"))
     roots = connected(links, "near-components")
     ids = distinct.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left")
     ids = ids.select("digest", F.coalesce("root", "id").alias("root"))

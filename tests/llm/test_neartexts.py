@@ -94,6 +94,38 @@ def test_candidates_connect_all_within_the_radius(spark, most):
     assert all(top(i) == top(j) for i, j in want)
 
 
+def test_other_bits_are_counted_whatever_their_sign():
+    w = np.array([[-(2**63), 0], [0, 0], [2**62, -1]], np.int64)
+    e = near.Entries(np.arange(3), np.zeros(3, np.uint32), w)
+    assert e.near(np.array([0, 0]), np.array([1, 2]), 0).tolist() == [True, False]
+
+
+@pytest.mark.parametrize("most", [4096, 5])
+def test_candidates_of_different_roots_are_all_pairs(spark, most):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**32, (8, near.PRINTS), dtype=np.uint64)
+    x = np.concatenate([base, *[base ^ (np.uint64(1) << rng.integers(0, 32, base.shape, dtype=np.uint64)) for _ in range(12)]]).astype(np.uint32)
+    x = np.concatenate([x, np.repeat(x[:1], 100, axis=0)])
+    roots = rng.integers(0, 3, len(x)).tolist()
+    rows = [(i, r.astype("<u4").tobytes(), roots[i]) for i, r in enumerate(x)]
+    texts = spark.createDataFrame(rows, "id long, prints binary, root long").repartition(3)
+    got = {(r["u"], r["v"]) for r in near.candidates(texts, most=most).collect()}
+    assert got == {(i, j) for i, j in near_pairs(x.tolist(), near.RADIUS) if roots[i] != roots[j]}
+
+
+def test_no_pair_of_candidates_is_left_out(spark):
+    """A refused link of a forest takes no other pair with it."""
+    draw, texts = random.Random(3), []
+    for share in (0.012, 0.016, 0.02, 0.024):
+        texts += family(draw, 120, 40, share)
+    docs = spark.createDataFrame(list(enumerate(texts)), "key_ long, text string").repartition(4)
+    root = {r["key_"]: r["root"] for r in near.groups(docs).collect()}
+    hashes, bounds, _ = near.shingles(*text_bytes(pa.array(texts)))
+    sets, x = sets_of(texts), near.prints(hashes, bounds).tolist()
+    pairs = [(i, j) for i, j in near_pairs(x, near.RADIUS) if jaccard(sets[i], sets[j]) >= 0.8]
+    assert len(pairs) > 500 and all(root[i] == root[j] for i, j in pairs)
+
+
 def test_prints_by_hand():
     texts = ["a b c d e f a b c d e f", "x", "", "Q r s t"]
     data, offsets = text_bytes(pa.array(texts))

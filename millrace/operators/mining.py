@@ -19,12 +19,14 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.config import MiningLimits
 from millrace.functions.numbers import round_half_even
+from millrace.operators import forests
 from millrace.operators.lookup import join_lookup, scalars
 from millrace.operators.quantiles import quantile_table, table_quantiles
 from millrace.operators.transform import label_encode, label_encode_all
@@ -372,6 +374,39 @@ def _fitted(learner, table: DataFrame, features: Sequence[str], name: str) -> tu
     return model, model.score(test)
 
 
+def _fitted_forest(
+    learner, classes: int, table: DataFrame, features: Sequence[str], limits: MiningLimits, max_depth: int | None
+) -> tuple[StoredModel, DataFrame]:
+    """Beyond ``ROWS_PER_TASK`` training rows and with few features the trees grow from cells, as ``forests`` says."""
+    rows = written(table, "samples")
+    train = rows.where(~F.col("es_prueba"))
+    if not forests.fits(features) or train.count() <= ROWS_PER_TASK:
+        return _fitted(learner, rows, features, "forest")
+    spark, subset = table.sparkSession, -int(-(len(features) ** 0.5) // 1) if classes else len(features)
+    nodes = forests.nodes(train, features, classes, limits.trees, subset, max_depth or limits.max_depth, limits.min_leaf, limits.seed)
+    # a forest of as many trees with a row of each class, whose nodes are replaced
+    pattern = [(float(k), Vectors.dense([float(k)] * len(features))) for k in range(classes or 2)]
+    empty = store_model(spark, learner.fit(spark.createDataFrame(pattern, ["label", "features"])), "forest")
+    path = empty.path
+    stored = spark.read.parquet(f"{path}/data").schema
+    weight = F.aggregate("sumas", F.lit(0.0), lambda a, x: a + x) if classes else F.col("sumas")[0]
+    node = F.struct(
+        F.col("nodo").alias("id"), F.col("prediccion").alias("prediction"), F.col("impureza").alias("impurity"),
+        F.col("sumas").alias("impurityStats"), weight.cast("long").alias("rawCount"), F.col("ganancia").alias("gain"),
+        F.col("izquierdo").alias("leftChild"), F.col("derecho").alias("rightChild"),
+        F.struct(
+            F.col("caracteristica").alias("featureIndex"),
+            F.when(F.col("izquierdo") < 0, F.array().cast("array<double>")).otherwise(F.array("umbral")).alias("leftCategoriesOrThreshold"),
+            F.lit(-1).alias("numCategories"),
+        ).alias("split"),
+    )
+    told = nodes.select(F.col("arbol").alias("treeID"), node.alias("nodeData")).to(stored)
+    told.write.mode("overwrite").parquet(f"{path}/data")
+    model = load_model(path, type(empty.model))
+    test = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows.where("es_prueba"))
+    return model, model.score(test)
+
+
 def fit_linear(table: DataFrame, features: Sequence[str] = REGRESSION_FEATURES):
     """Model and test predictions of a least-squares fit on the training rows."""
     return _fitted(LinearRegression(solver="normal"), table, features, "linear")
@@ -385,7 +420,7 @@ def fit_forest_regressor(
         numTrees=limits.trees, seed=limits.seed, featureSubsetStrategy="all", maxDepth=max_depth or limits.max_depth,
         minInstancesPerNode=limits.min_leaf,
     )
-    return _fitted(forest, table, features, "forest")
+    return _fitted_forest(forest, 0, table, features, limits, max_depth)
 
 
 # -- forests as tables --------------------------------------------------------------------
@@ -497,7 +532,7 @@ def fit_forest_classifier(
     forest = RandomForestClassifier(
         numTrees=limits.trees, seed=limits.seed, maxDepth=max_depth or limits.max_depth, minInstancesPerNode=limits.min_leaf
     )
-    return _fitted(forest, table, features, "forest")
+    return _fitted_forest(forest, 2, table, features, limits, max_depth)
 
 
 def fit_logistic(table: DataFrame, features: Sequence[str] = CLASSIFIER_FEATURES):

@@ -181,3 +181,34 @@ def test_models_are_read_back_and_score_in_many_runs(spark, samples):
     assert mining.classification_scores(again.score(told.drop("rawPrediction", "probability", "prediction"))).first() == scores
     _, logistic = mining.fit_logistic(samples)
     assert mining.classification_scores(logistic).first()["precision"] > 0.5
+
+
+@pytest.mark.parametrize("fit", [mining.fit_forest_classifier, mining.fit_forest_regressor])
+def test_large_tables_are_read_once_for_a_forest(spark, monkeypatch, fit):
+    """Trees of cells judge as well as those of rows, by the same features, and only two rows are given to the learner."""
+    from pyspark.ml import base
+
+    features = ("x", "y", "z")
+    rows = spark.range(12_000).select(
+        F.col("id").cast("string").alias("id_registro"), (F.pmod(F.xxhash64("id"), F.lit(1_000)) / 10.0).alias("x"),
+        F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(5)).cast("double").alias("y"), F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(90)).alias("z"),
+    )
+    rows = mining.random_split(rows.withColumn("label", ((F.col("x") > 33) & (F.col("y") != 2)).cast("int")), "id_registro")
+    limits, seen, plain = MiningLimits(trees=9), [], base.Estimator.fit
+
+    def counted(self, data, *more):
+        seen.append(data.count())
+        return plain(self, data, *more)
+
+    monkeypatch.setattr(base.Estimator, "fit", counted)
+    by_rows, told = fit(rows, features, limits, 5)
+    right = F.avg((F.round("prediction") == F.col("label")).cast("int"))
+    assert told.select(right).first()[0] > 0.99 and seen.pop() > 8_000
+    monkeypatch.setattr(mining, "ROWS_PER_TASK", 1_000)
+    model, told = fit(rows, features, limits, 5)
+    assert seen == [2] and told.select(right).first()[0] > 0.99
+    nodes = model.nodes(spark)
+    assert nodes.where("nodo = 0").count() == 9 and nodes.where("filas < 1").count() == 0
+    assert nodes.where("nodo = 0").agg(F.avg("filas")).first()[0] == pytest.approx(rows.where("not es_prueba").count(), rel=0.02)
+    own = {r[0]: r[1] for r in mining.importances(spark, features, model).collect()}
+    assert own == pytest.approx({r[0]: r[1] for r in mining.importances(spark, features, by_rows).collect()}, abs=0.15)

@@ -59,6 +59,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 DIGIT = re.compile(r"[0-9]")
 LETTER = re.compile(r"[A-Za-z]")
+WORD = re.compile(r"\S{8,}")
 
 WIDTH = 4
 FILTERS = 24
@@ -66,6 +67,8 @@ LENGTH = 2 * CONTEXT + SHOWN
 #: Classes of characters: letters by case, digits one by one, punctuation one by one, other.
 CODES = {c: i + 2 for i, c in enumerate("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-.:;,'\"@()[]{}<>#$%&*!?|\\")}
 SYMBOLS = len(CODES) + 2
+#: Class of each code point, the last one stands for all from there on.
+TABLE = np.array([0, *[CODES.get(chr(c), 1) for c in range(1, 256)]], np.uint8)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -83,13 +86,21 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in RUN.finditer(text) if DIGIT.search(m.group()) and LETTER.search(m.group())]
 
 
-def encode(text: str, start: int, end: int) -> list[int]:
-    """Context, candidate and context as codes of fixed length; a candidate of more than ``SHOWN`` characters takes ``windows``."""
-    value = text[start:end]
-    before = text[max(0, start - CONTEXT) : start].rjust(CONTEXT, "\0")
-    after = text[end : end + CONTEXT].ljust(CONTEXT, "\0")
-    shown = value.ljust(SHOWN, "\0")
-    return [0 if c == "\0" else CODES.get(c, 1) for c in before + shown + after]
+def codes(text: str) -> np.ndarray:
+    """Class of each character of a text, with ``CONTEXT`` empty places before and after."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.pad(TABLE[np.minimum(points, len(TABLE) - 1)], CONTEXT)
+
+
+def encode(of: np.ndarray, places: list[tuple[int, int]], context: bool = True) -> np.ndarray:
+    """Context, candidate and context of places of a text as rows of fixed length; longer candidates than ``SHOWN`` take ``windows``."""
+    rows = np.zeros((len(places), LENGTH), np.uint8)
+    for row, (start, end) in zip(rows, places, strict=True):
+        row[CONTEXT : CONTEXT + end - start] = of[CONTEXT + start : CONTEXT + end]
+        if context:
+            row[:CONTEXT] = of[start : start + CONTEXT]
+            row[CONTEXT + SHOWN :] = of[CONTEXT + end : 2 * CONTEXT + end]
+    return rows
 
 
 def windows(start: int, end: int) -> list[tuple[int, int]]:
@@ -220,8 +231,8 @@ def find(text: str, network: Network | None) -> list[tuple[str, int, int, float]
     # the largest response of the windows of each place
     cut = [windows(start, end) for _, start, end in places]
     first = np.cumsum([0, *map(len, cut)])[:-1]
-    seen = (encode(text, *w) for ws in cut for w in ws)
-    p = np.concatenate([network.probabilities(np.array(part)) for part in iter(lambda: list(islice(seen, 4096)), [])])
+    of, seen = codes(text), (w for ws in cut for w in ws)
+    p = np.concatenate([network.probabilities(encode(of, part)) for part in iter(lambda: list(islice(seen, 4096)), [])])
     p = np.maximum.reduceat(p, first)
     found = [(*s, float(q)) for s, q in zip(places, p, strict=True)]
     clear = clear_of(spans)
@@ -229,28 +240,32 @@ def find(text: str, network: Network | None) -> list[tuple[str, int, int, float]
     return found[: len(spans)] + free
 
 
+def shown(text: str) -> list[tuple[int, int, int]]:
+    """Places (start, end, label) for training: values that the patterns found, and runs and words that they did not."""
+    base, out = base_spans(text), []
+    for kind, start, end in base:
+        if kind == "assign":
+            start += len(text[start:end]) - len(ASSIGN.match(text, start)[2])
+        out += [(*w, 1) for w in windows(start, end)]
+    clear = clear_of(base)
+    others = [s for s in candidates(text) if clear(*s)]
+    long_words = islice(WORD.finditer(text), 0, None, max(1, len(text) // 500))
+    others += islice((m.span() for m in long_words if clear(*m.span())), HARMLESS)
+    return out + [(*w, 0) for s in others for w in windows(*s)]
+
+
+def rows_of(text: str, places: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Two rows for each place, with its context and without: the words that patterns ask for stand there, and candidates of the
+    network lack them."""
+    of, ends = codes(text), [p[:2] for p in places]
+    both = np.stack([encode(of, ends), encode(of, ends, context=False)], axis=1)
+    return both.reshape(-1, LENGTH), np.repeat(np.array([label for *_, label in places], np.float32), 2)
+
+
 def labelled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Rows for training: values that the patterns found, and runs and words that they did not."""
-    rows, y = [], []
-
-    def show(start: int, end: int, label: int) -> None:
-        """Also without context: the words that patterns ask for stand there, and candidates of the network lack them."""
-        for a, b in windows(start, end):
-            rows.extend((encode(text, a, b), encode(text[a:b], 0, b - a)))
-            y.extend((label, label))
-
-    for text in texts:
-        base = base_spans(text)
-        for kind, start, end in base:
-            if kind == "assign":
-                start += len(text[start:end]) - len(ASSIGN.match(text, start)[2])
-            show(start, end, 1)
-        clear = clear_of(base)
-        others = [s for s in candidates(text) if clear(*s)]
-        others += [m.span() for m in list(re.finditer(r"\S{8,}", text))[:: max(1, len(text) // 500)] if clear(*m.span())][:HARMLESS]
-        for start, end in others:
-            show(start, end, 0)
-    return np.array(rows, np.int64).reshape(-1, LENGTH), np.array(y, np.float32)
+    """Rows for training of all places of the texts."""
+    found = [rows_of(text, shown(text)) for text in texts]
+    return np.concatenate([np.zeros((0, LENGTH), np.uint8), *[x for x, _ in found]]), np.concatenate([np.zeros(0, np.float32), *[y for _, y in found]])
 
 
 def _rows(batches: Iterator[pa.RecordBatch], out: bool | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -258,13 +273,12 @@ def _rows(batches: Iterator[pa.RecordBatch], out: bool | None) -> Iterator[tuple
     held, n = [], 0
     for batch in batches:
         for text, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist(), strict=True):
-            x, y = labelled([text or ""])
+            places = shown(text or "")
             if out is not None:
-                some = ((np.arange(len(y)) // 2 + part) % HELD == 0) == out  # a place with and without context stays together
-                x, y = x[some], y[some]
-            if len(y):
-                held.append((x.astype(np.uint8), y))
-                n += len(y)
+                places = [p for i, p in enumerate(places) if ((i + part) % HELD == 0) == out]
+            if places:
+                held.append(rows_of(text, places))
+                n += 2 * len(places)
             if n >= ROWS:
                 yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
                 held, n = [], 0
@@ -291,7 +305,8 @@ def _fitted(marked: DataFrame, out: bool | None) -> Network | None:
 
         some = marked.filter(F.pmod("mark", F.lit(shares)) == number % shares).select("text", "part").coalesce(tasks)
         steps = some.mapInArrow(work, "rows long, found long, state binary")
-        got = steps.withColumn("task", F.spark_partition_id()).orderBy("task").collect()  # weights of a fixed size for each task
+        # weights of a fixed size for each task; a sort in Spark would train twice, as it samples its input first
+        got = sorted(steps.withColumn("task", F.spark_partition_id()).collect(), key=lambda r: r["task"])
         seen += sum(r["found"] for r in got)
         if got:
             network.put(sum(r["rows"] * np.frombuffer(r["state"], "<f4").astype(np.float64) for r in got) / sum(r["rows"] for r in got))

@@ -192,6 +192,20 @@ def test_secrets_learn_from_every_document(spark, monkeypatch):
     assert seen[:, 2].sum() == sum(len(secrets.labelled([r["text"]])[1]) for r in docs.collect())
 
 
+def test_secrets_are_trained_once_a_round(spark):
+    """One pass counts the documents, one a round trains, and one gives the responses."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(i, f"password = s{i}cretwordofmine and some words") for i in range(60)], "doc_id long, text string")
+    assert secrets.train(docs.mapInArrow(counted, docs.schema)) is not None
+    assert read.value <= 60 * (secrets.ROUNDS + 2)
+
+
 def test_threshold_follows_the_recall():
     network = secrets.Network()
     x = np.random.default_rng(1).integers(0, secrets.SYMBOLS, (200, secrets.LENGTH))

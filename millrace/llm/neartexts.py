@@ -398,6 +398,13 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
 
 
+def _met(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Components, each once, that a pair brings together with another one."""
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    both = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("root_u", "u").alias("a"), F.coalesce("root_v", "v").alias("b"))
+    return both.filter("a <> b").select(F.explode(F.array("a", "b")).alias("root")).distinct()
+
+
 def groups(docs: DataFrame, radius: int = RADIUS, least: float = LEAST) -> DataFrame:
     """(key_, text) to (key_, root): a number that near-duplicate texts share."""
     texts = written(_texts(docs), "near-texts")
@@ -413,10 +420,8 @@ def groups(docs: DataFrame, radius: int = RADIUS, least: float = LEAST) -> DataF
     links = first.union(second)
     roots = connected(links, "near-components")
     # a refused link may have stood for pairs that a forest leaves out
-    whole = connected(pairs, "near-connected").select(F.col("node").alias("id"), F.col("root").alias("tree"))
-    whole = whole.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "tree", F.coalesce("root", "id").alias("root"))
-    parted = whole.groupBy("tree").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    parted = written(whole.join(parted.select("tree"), "tree", "left_semi").select("id", "root"), "near-parted")
+    whole = wanted.select("id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    parted = written(whole.join(_met(pairs, roots), "root", "left_semi").select("id", "root"), "near-parted")
     every = candidates(distinct.select("id", "prints").join(parted, "id"), radius)
     every = written(every.join(pairs, ["u", "v"], "left_anti"), "near-every")
     # again a few pairs of each text and group first

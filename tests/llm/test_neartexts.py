@@ -126,6 +126,20 @@ def test_no_pair_of_candidates_is_left_out(spark):
     assert len(pairs) > 500 and all(root[i] == root[j] for i, j in pairs)
 
 
+def test_refused_pairs_are_not_walked(spark, monkeypatch):
+    """Only confirmed links go through the rounds of components, as there may be many refused pairs in a large group."""
+    draw, walked, plain = random.Random(3), [], near.connected
+    docs = spark.createDataFrame(list(enumerate(family(draw, 200, 40, 0.005))), "key_ long, text string")
+
+    def counted(edges, *more):
+        walked.append(edges.count())
+        return plain(edges, *more)
+
+    monkeypatch.setattr(near, "connected", counted)
+    assert near.groups(docs, least=1.01).select("root").distinct().count() == docs.select("text").distinct().count() > 5
+    assert walked and not any(walked)
+
+
 def test_prints_by_hand():
     texts = ["a b c d e f a b c d e f", "x", "", "Q r s t"]
     data, offsets = text_bytes(pa.array(texts))

@@ -5,6 +5,8 @@ A null text counts as empty everywhere here. Words are ``[^\\x20\\x09-\\x0D]+``
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +46,16 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES):
         low = high
 
 
+def parts(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch cut into batches of ``pieces`` of that column, without a copy.
+
+    Who hands these on one by one holds the results of one part only, as does the task that takes them; a worker keeps for later
+    tasks what it once needed at a time.
+    """
+    for low, high in pieces(text_bytes(batch.column(column))[1], limit):
+        yield batch.slice(low, high - low)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and for each text the number of its first word (n + 1 values)."""
     n = len(data)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import pieces, text_bytes
+from millrace.llm.arrays import parts, text_bytes
 from millrace.llm.common import Shared, written
 from millrace.operators.lookup import fits_broadcast
 
@@ -188,16 +188,14 @@ def predict(docs: DataFrame, network: Network | None, columns: list[str]) -> Dat
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.get()
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             data, offsets = text_bytes(batch.column("text"))
             letter = np.asarray(batch.column("has_letter_").to_pylist(), bool)
             best, score = np.zeros(len(letter), np.int64), np.zeros(len(letter))
             if net is None:
                 letter[:] = False
             else:
-                for low, high in pieces(offsets):
-                    part = data[offsets[low] : offsets[high]]
-                    best[low:high], score[low:high] = net.predict(part, offsets[low : high + 1] - offsets[low])
+                best[:], score[:] = net.predict(data, offsets)
             lang = [net.languages[b] if ok else UND for b, ok in zip(best, letter, strict=True)]
             arrays = [batch.column(c) for c in columns] + [pa.array(lang, pa.string()), pa.array(np.where(letter, score, 0.0))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)

@@ -47,8 +47,10 @@ SEEN, APART = 128, 42
 PAIRS, BUCKET = 64, 4096
 #: Texts whose entries are made at once.
 TEXTS = 500
+#: Pairs whose sets are unpacked at once.
+SETS = 500
 #: Shingles whose bits are counted at once.
-AT_ONCE = 200_000
+AT_ONCE = 50_000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -374,10 +376,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        last, one = None, None
+        for batch in (part.slice(low, SETS) for part in batches for low in range(0, part.num_rows, SETS)):
             u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
             good = np.zeros(len(u), bool)
-            last, one = None, None
             for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
                 if a != last:
                     last, one = a, np.cumsum(np.frombuffer(open_(a), "<u8"), dtype=np.uint64)

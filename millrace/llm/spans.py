@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from millrace.llm.arrays import parts
 from millrace.llm.common import Shared
 
 Span = tuple[str, int, int]
@@ -33,7 +34,7 @@ def over_texts(docs: DataFrame, columns: list[str], schema: str, row: Callable[[
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         more = (shared.get(),) if shared else ()
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             found = [row(text or "", *more) for text in batch.column("text").to_pylist()]
             width = len(found[0]) if found else 0
             arrays = [batch.column(c) for c in columns] + [pa.array([f[i] for f in found]) for i in range(width)]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import LOWER, mixed, pieces, prefix_sums, span_hashes, text_bytes, word_hashes, words
+from millrace.llm.arrays import LOWER, mixed, parts, pieces, prefix_sums, span_hashes, text_bytes, word_hashes, words
 from millrace.llm.common import Shared
 
 SEED = 5
@@ -236,7 +236,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int =
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.get()
-            for batch in batches:
+            for batch in (part for whole in batches for part in parts(whole)):
                 stays = np.ones(batch.num_rows, bool)
                 stays[[f[0] for f in _matches(block, batch, least, coverage)]] = False
                 yield batch.filter(pa.array(stays))

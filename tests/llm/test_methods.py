@@ -478,3 +478,41 @@ def test_steps_of_tasks_are_added_in_order(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     once, again = (sorted((r["doc_id"], r["score"]) for r in lm.score(docs).collect()) for _ in range(2))
     assert once == again
+
+
+def test_batches_of_long_texts_go_in_parts(spark):
+    """No task hands on, or holds results of, more than ``PIECE_BYTES`` of texts at a time; one longer text goes alone."""
+    import pyarrow as pa
+
+    from millrace.llm.arrays import PIECE_BYTES
+
+    class Frame:
+        """Gives the function that a task would run over Arrow batches."""
+
+        def __init__(self, frame):
+            self.frame, self.schema, self.sparkSession = frame, frame.schema, frame.sparkSession
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, work, _):
+            return work
+
+    texts = ["a@b.co " + "word " * 400, None, "", "x" * (PIECE_BYTES + 5)] * 300
+    texts[7::4] = ["y"] * 299
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1200)), "text": texts, "has_letter_": [bool(t) for t in texts]})
+    docs = Frame(spark.createDataFrame([(0, "")], "doc_id long, text string"))
+    tests = spark.createDataFrame([(1, "no such words anywhere in these texts at all")], "item_id long, text string")
+    network = language.Network(["de", "en"])
+    for work in (
+        pii.over_texts(docs, ["doc_id"], "masked string", lambda text: (pii.mask(text),)),
+        tiling.clean(docs, tests),
+        language.predict(docs, network, ["doc_id", "text"]),
+    ):
+        got = list(work(iter([batch])))
+        assert [i for part in got for i in part.column("doc_id").to_pylist()] == list(range(1200))
+        sizes = [sum(len(texts[i] or "") for i in part.column("doc_id").to_pylist()) for part in got]
+        assert all(size <= PIECE_BYTES or part.num_rows == 1 for size, part in zip(sizes, got, strict=True))
+        if "score" in got[0].schema.names:
+            assert all(part.schema.field("score").type == pa.float64() for part in got)
+    assert list(pii.over_texts(docs, ["doc_id"], "masked string", lambda text: (text,))(iter([batch.slice(0, 0)]))) == []
